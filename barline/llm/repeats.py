@@ -5,7 +5,8 @@ piece itself and sends one entry for each different key, so a line that stands i
 documents costs one entry for each piece.  Entries are dealt to buckets by the upper bits of the
 key, as packed arrays.  The number of buckets follows the size of the input, so a bucket holds a
 bounded number of entries at any scale.  A bucket sorts its keys and answers with the positions that
-recur, one row for each document.
+recur, packed by home; a home is a group of documents by the hash of their rid.  Each home then puts
+together one row for each of its documents.
 
 ``any``: a position is reported if its key stands at another position too.
 ``later``: a position is reported if its key also stands at a smaller (order, position).
@@ -27,9 +28,11 @@ from . import textkit as tk
 
 BUCKET_BYTES = 12 << 20
 ENTRY = "bucket int, keys binary, gaps binary, wide boolean, rids binary, base binary, ords binary"
-REPLY = "rid long, pos binary"
+REPLY = "home int, rids binary, counts binary, pos binary"
+FOUND = "rid long, at binary"
 _ENTRY = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("gaps", pa.binary()), ("wide", pa.bool_()), ("rids", pa.binary()), ("base", pa.binary()), ("ords", pa.binary())])
-_REPLY = pa.schema([("rid", pa.int64()), ("pos", pa.binary())])
+_REPLY = pa.schema([("home", pa.int32()), ("rids", pa.binary()), ("counts", pa.binary()), ("pos", pa.binary())])
+_FOUND = pa.schema([("rid", pa.int64()), ("at", pa.binary())])
 
 
 def buckets_for(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -154,42 +157,64 @@ def _answer(table: pa.Table, mode: str, narrow: bool) -> Iterator[tuple[np.ndarr
             yield rid[doc[hit]], pos[hit]
 
 
-def replies(df: DataFrame, mode: str, narrow: bool) -> DataFrame:
-    """From entry rows to (rid, positions) rows; a document may have several rows."""
+def _packed(rid: np.ndarray, pos: np.ndarray, homes: int) -> pa.Table:
+    """Reported positions as one row for each home."""
+    home = ((rid.view(tk.U64) >> tk.U64(32)) * tk.U64(homes) >> tk.U64(32)).astype(np.int64)
+    by = np.lexsort((pos, rid, home))
+    rid, pos, home = rid[by], pos[by], home[by]
+    head = np.flatnonzero(np.diff(home, prepend=-1))
+    new = np.ones(len(rid), bool)
+    new[1:] = rid[1:] != rid[:-1]
+    docs = np.flatnonzero(new)
+    counts = np.diff(docs, append=len(rid)).astype(np.uint32)
+    cuts = np.append(np.searchsorted(docs, head), len(docs))
+    cols = [pa.array(home[head], pa.int32()), tk.ragged_binary(rid[docs], cuts), tk.ragged_binary(counts, cuts), tk.ragged_binary(pos, np.append(head, len(rid)))]
+    return pa.Table.from_arrays(cols, schema=_REPLY)
+
+
+def replies(df: DataFrame, mode: str, narrow: bool, homes: int) -> DataFrame:
+    """From entry rows to reply rows."""
 
     def answer(table: pa.Table) -> pa.Table:
-        rids, pos, counts = [], [], []
-        for r, p in _answer(table, mode, narrow):
-            cuts = np.flatnonzero(np.diff(r, prepend=r[0] - 1)) if len(r) else np.zeros(0, np.int64)
-            rids.append(r[cuts])
-            pos.append(p)
-            counts.append(np.diff(cuts, append=len(r)))
-        if not rids:
+        found = list(_answer(table, mode, narrow))
+        if not found:
             return _REPLY.empty_table()
-        bounds = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
-        return pa.Table.from_arrays([pa.array(np.concatenate(rids)), tk.ragged_binary(np.concatenate(pos), bounds)], schema=_REPLY)
+        return _packed(np.concatenate([r for r, _ in found]), np.concatenate([p for _, p in found]), homes)
 
     return df.groupBy("bucket").applyInArrow(answer, REPLY)
 
 
-def by_document(found: DataFrame) -> DataFrame:
-    """(rid, at): all positions reported for a document, as a list of packed arrays."""
-    return found.groupBy("rid").agg(F.collect_list("pos").alias("at"))
+def by_document(packed: DataFrame) -> DataFrame:
+    """(rid, at): the positions reported for a document, ascending, each once, as a packed array."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        whole = {c: b"".join(x.as_py() for x in table.column(c)) for c in ("rids", "counts", "pos")}
+        rid = np.repeat(np.frombuffer(whole["rids"], np.int64), np.frombuffer(whole["counts"], np.uint32))
+        pos = np.frombuffer(whole["pos"], np.uint32)
+        by = np.lexsort((pos, rid))
+        rid, pos = rid[by], pos[by]
+        new = np.ones(len(rid), bool)
+        new[1:] = (rid[1:] != rid[:-1]) | (pos[1:] != pos[:-1])
+        rid, pos = rid[new], pos[new]
+        docs = np.flatnonzero(np.append(True, rid[1:] != rid[:-1]))
+        return pa.Table.from_arrays([pa.array(rid[docs]), tk.ragged_binary(pos, np.append(docs, len(rid)))], schema=_FOUND)
+
+    return packed.groupBy("home").applyInArrow(gather, FOUND)
 
 
 def positions(col: pa.Array, k: int) -> np.ndarray:
-    """The positions of row k, ascending, each once."""
+    """The positions of row k."""
     x = col[k].as_py()
-    return np.unique(np.frombuffer(b"".join(x), np.uint32)).astype(np.int64) if x else np.zeros(0, np.int64)
+    return np.frombuffer(x, np.uint32).astype(np.int64) if x else np.zeros(0, np.int64)
 
 
 def flat_positions(col: pa.Array, rows: slice, base: np.ndarray) -> np.ndarray:
     """Positions of some rows, each counted from base of its document."""
-    out = [positions(col, k) + base[i] for i, k in enumerate(range(rows.start, rows.stop)) if col[k].is_valid]
+    out = [positions(col, k) + base[i] for i, k in enumerate(range(rows.start, rows.stop))]
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def find(docs: DataFrame, keyed: Callable[[pa.RecordBatch], Iterator[tuple]], mode: str, narrow: bool) -> DataFrame:
+def find(docs: DataFrame, keyed: Callable[[pa.RecordBatch], Iterator[tuple]], mode: str, narrow: bool, buckets: int) -> DataFrame:
     """(rid, at) of the documents with reported positions. keyed yields entry rows for a batch."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +223,7 @@ def find(docs: DataFrame, keyed: Callable[[pa.RecordBatch], Iterator[tuple]], mo
             if rows:
                 yield entry_batch(rows)
 
-    return by_document(replies(docs.mapInArrow(send, ENTRY), mode, narrow))
+    return by_document(replies(docs.mapInArrow(send, ENTRY), mode, narrow, max(buckets // 2, 4)))
 
 
 def with_row_id(docs: DataFrame) -> DataFrame:

@@ -120,8 +120,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             keys = tk.seq_hash(tk.seq_prefix(names), at, window)
             yield from repeats.entries(keys, at, rid[piece.rows], words.bounds[:-1], ords[piece.rows], buckets, "later", False, int(rid[0]) + k)
 
-    hinted = repeats.find(docs.select("rid", "text"), name_anchors, "any", True)
-    return repeats.find(docs.join(hinted, "rid").select("rid", "doc_id", "text", "at"), name_windows, "later", False)
+    hinted = repeats.find(docs.select("rid", "text"), name_anchors, "any", True, buckets)
+    return repeats.find(docs.join(hinted, "rid").select("rid", "doc_id", "text", "at"), name_windows, "later", False, buckets)
 
 
 def substring_dedup(documents: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
@@ -140,7 +140,7 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, with_text: bool
             for k in range(len(text)):
                 words = (text[k].as_py() or "").encode().split()
                 n.append(len(words))
-                starts = repeats.positions(at, k) if at[k].is_valid else ()
+                starts = repeats.positions(at, k)
                 if len(starts):
                     out = tk.cover(len(words), starts, window)
                     gone.append(int(out.sum()))

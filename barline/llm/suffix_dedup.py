@@ -89,8 +89,8 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + length)
             yield from repeats.entries(keys, at, rid[piece.rows], piece.offs[:-1], None, buckets, "any", False, int(rid[0]) + k)
 
-    hinted = repeats.find(docs.select("rid", "text"), name_tuples, "any", True)
-    return repeats.find(docs.join(hinted, "rid").select("rid", "text", "at"), name_strings, "any", False)
+    hinted = repeats.find(docs.select("rid", "text"), name_tuples, "any", True, buckets)
+    return repeats.find(docs.join(hinted, "rid").select("rid", "text", "at"), name_strings, "any", False, buckets)
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
@@ -110,7 +110,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
             for k in range(len(text)):
                 left = (text[k].as_py() or "").encode()
                 size.append(len(left))
-                starts = repeats.positions(at, k) if at[k].is_valid else ()
+                starts = repeats.positions(at, k)
                 if len(starts):
                     out = tk.cover(len(left), starts, length)
                     gone.append(int(out.sum()))
