@@ -8,9 +8,12 @@ sampled, and its tuples are 64 bytes long for strings of 400.
 
 1. Sampled tuples are sorted over the corpus, in buckets by hash; equal neighbours get one name, and
    a tuple whose name nobody shares is dropped: no repeat runs through it.
-2. The suffixes that remain are those at most v - 1 before a tuple with a shared name.  They are
-   sorted by their first ``length`` bytes, and equal neighbours in that order are the repeats.  As no
-   comparison needs more than ``length`` bytes, recursion on names ends here.
+2. The names are refined: tuples of one name are sorted by what stands v - 1 bytes to either side.
+   Where two agree in that too, every string of ``length`` bytes through them recurs.  This settles
+   the inside of copies.  Where a name has different surroundings, one tuple of each goes on.
+3. The suffixes that begin at most v - 1 bytes before those are sorted by their first ``length`` bytes
+   and equal neighbours in that order are the rest of the repeats.  As no comparison needs more than
+   ``length`` bytes, recursion on names ends here.
 
 Defined results: a null text is empty; a text shorter than ``length`` loses nothing; a copy of a row,
 doc_id included, counts as another occurrence; an empty table gives an empty result; other columns of
@@ -59,7 +62,91 @@ def sampled(offs: np.ndarray, v: int, cover: np.ndarray, width: int) -> np.ndarr
     return at[at + width <= end]
 
 
-def _candidates(found: np.ndarray, offs: np.ndarray, v: int, length: int) -> np.ndarray:
+_CONTEXT = "bucket int, keys binary, contexts binary, gaps binary, wide boolean, rids binary, base binary"
+SETTLED, OPEN = 1, 2
+
+
+def _send_contexts(docs: DataFrame, v: int, width: int, buckets: int) -> DataFrame:
+    """Tuples with shared names: name, surroundings, place. One entry for each different pair in a piece;
+    a pair that stands twice in the piece is settled there."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rid, rows = tk.i64(batch.column("rid")), []
+            for n, piece in enumerate(tk.pieces(batch.column("text"), 1 << 20)):
+                offs, rids = piece.offs, rid[piece.rows]
+                found = repeats.flat_positions(batch.column("at"), piece.rows, offs[:-1])
+                if not len(found):
+                    continue
+                doc = np.searchsorted(offs, found, "right") - 1
+                low, high = np.maximum(found - (v - 1), offs[doc]), np.minimum(found + width + v - 1, offs[doc + 1])
+                prefix = tk.prefix_hash(piece.data)
+                keys = tk.span_hash(prefix, found, found + width)
+                context = tk.mix(tk.span_hash(prefix, low, high) + (found - low).astype(tk.U64))
+                by = np.lexsort((context, keys))
+                new = np.ones(len(by), bool)
+                new[1:] = (keys[by][1:] != keys[by][:-1]) | (context[by][1:] != context[by][:-1])
+                again = ~new
+                again[:-1] |= ~new[1:]
+                twins = np.sort(by[again])
+                if len(twins):
+                    rows.append((int(n + rid[0]) % buckets, b"", b"", *repeats._rows(0, twins, found[twins], rids, offs[:-1], None)[2:6]))
+                sent = np.sort(by[new])
+                to = ((keys[sent] >> tk.U64(32)) * tk.U64(buckets) >> tk.U64(32)).astype(np.int64)
+                o = np.argsort(to, kind="stable")
+                sent, to = sent[o], to[o]
+                cuts = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    some = sent[a:b]
+                    rows.append((int(to[a]), keys[some].tobytes(), context[some].tobytes(), *repeats._rows(0, some, found[some], rids, offs[:-1], None)[2:6]))
+            if rows:
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.binary())
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in _CONTEXT.split(", ")])
+
+    return docs.mapInArrow(send, _CONTEXT)
+
+
+def _refine(sent: DataFrame, homes: int) -> DataFrame:
+    """(rid, at) with at = position * 4 + SETTLED and OPEN."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys, contexts, rids, marks, twins = [], [], [], [], []
+        for row in table.to_pylist():
+            at = np.cumsum(np.frombuffer(row["gaps"], np.uint32 if row["wide"] else np.uint16).astype(np.int64))
+            base = np.frombuffer(row["base"], np.int64)
+            doc = np.searchsorted(base, at, "right") - 1
+            rid, pos = np.frombuffer(row["rids"], np.int64)[doc], (at - base[doc]).astype(np.uint32) * np.uint32(4)
+            if row["keys"]:
+                keys.append(np.frombuffer(row["keys"], tk.U64))
+                contexts.append(np.frombuffer(row["contexts"], tk.U64))
+                rids.append(rid)
+                marks.append(pos)
+            else:
+                twins.append((rid, pos + np.uint32(SETTLED)))
+        if keys:
+            key, context, rid, mark = map(np.concatenate, (keys, contexts, rids, marks))
+            by = np.lexsort((context, key))
+            key, context = key[by], context[by]
+            new_key = np.append(True, key[1:] != key[:-1])
+            new = new_key | np.append(True, context[1:] != context[:-1])
+            settled = ~new
+            settled[:-1] |= ~new[1:]
+            # Names with more than one kind of surroundings: the first tuple of each kind goes on.
+            kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_key))
+            goes_on = new & (kinds[np.cumsum(new_key) - 1] > 1)
+            told = settled | goes_on
+            status = (settled * SETTLED + goes_on * OPEN).astype(np.uint32)
+            twins.append((rid[by[told]], mark[by[told]] + status[told]))
+        if not twins:
+            return repeats._REPLY.empty_table()
+        return repeats._packed(np.concatenate([r for r, _ in twins]), np.concatenate([p for _, p in twins]), homes)
+
+    return repeats.by_document(sent.groupBy("bucket").applyInArrow(answer, repeats.REPLY))
+
+
+def _through(found: np.ndarray, offs: np.ndarray, v: int, length: int) -> np.ndarray:
+    """Starts of the strings that hold one of the tuples found."""
     if not len(found):
         return found
     doc = np.searchsorted(offs, found, "right") - 1
@@ -68,11 +155,20 @@ def _candidates(found: np.ndarray, offs: np.ndarray, v: int, length: int) -> np.
     return hit[hit + length <= offs[np.searchsorted(offs, hit, "right")]]
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(rid, at): where strings of ``length`` bytes begin that also begin elsewhere."""
+def _marked(col: pa.Array, rows: slice, base: np.ndarray, status: int) -> np.ndarray:
+    out = []
+    for i, k in enumerate(range(rows.start, rows.stop)):
+        x = repeats.positions(col, k)
+        out.append((x[x & status > 0] >> 2) + base[i])
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def repeated_strings(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame, int]:
+    """(rid, at) of the tuples with their status, (rid, at) of the starts found last, and the period."""
     v, cover = cover_for(length)
     width = length - v + 1
     buckets = repeats.buckets_for(docs)
+    docs = docs.select("rid", "doc_id", "text")
 
     def name_tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
         rid = tk.i64(batch.column("rid"))
@@ -84,13 +180,14 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def name_strings(batch: pa.RecordBatch) -> Iterator[tuple]:
         rid = tk.i64(batch.column("rid"))
         for k, piece in enumerate(tk.pieces(batch.column("text"), 1 << 20)):
-            found = repeats.flat_positions(batch.column("at"), piece.rows, piece.offs[:-1])
-            at = _candidates(found, piece.offs, v, length)
+            at = _through(_marked(batch.column("at"), piece.rows, piece.offs[:-1], OPEN), piece.offs, v, length)
             keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + length)
             yield from repeats.entries(keys, at, rid[piece.rows], piece.offs[:-1], None, buckets, "any", False, int(rid[0]) + k)
 
-    hinted = repeats.find(docs.select("rid", "text"), name_tuples, "any", True, buckets)
-    return repeats.find(docs.join(hinted, "rid").select("rid", "text", "at"), name_strings, "any", False, buckets)
+    # All joins read the same columns of docs, so that one shuffle of the texts serves them all.
+    shared = repeats.find(docs.select("rid", "text"), name_tuples, "any", True, buckets)
+    marked = _refine(_send_contexts(docs.join(shared, "rid"), v, width, buckets), max(buckets // 2, 4))
+    return marked, repeats.find(docs.join(marked, "rid"), name_strings, "any", False, buckets), v
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
@@ -100,17 +197,20 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
     with_text adds kept_text; where a removed span cuts a character, its other bytes are left out of
     kept_text too, while the digest is of the bytes.
     """
-    docs = repeats.with_row_id(documents)
-    repeated = repeated_starts(docs, length)
+    docs = repeats.with_row_id(documents).select("rid", "doc_id", "text")
+    marked, strings, v = repeated_strings(docs, length)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, at = batch.column("text"), batch.column("at")
+            text, at, tuples = batch.column("text"), batch.column("at"), batch.column("tuples")
             size, gone, spans, digest, kept = [], [], [], [], []
             for k in range(len(text)):
                 left = (text[k].as_py() or "").encode()
                 size.append(len(left))
-                starts = repeats.positions(at, k)
+                starts, mark = repeats.positions(at, k), repeats.positions(tuples, k)
+                if len(mark):
+                    whole = np.array([0, len(left)])
+                    starts = np.concatenate([starts, _through(mark[mark & SETTLED > 0] >> 2, whole, v, length)])
                 if len(starts):
                     out = tk.cover(len(left), starts, length)
                     gone.append(int(out.sum()))
@@ -130,4 +230,5 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
-    return docs.join(repeated, "rid", "left").select("doc_id", "text", "at").mapInArrow(strip, shape)
+    found = docs.join(marked.withColumnRenamed("at", "tuples"), "rid", "left").join(strings, "rid", "left")
+    return found.select("doc_id", "text", "tuples", "at").mapInArrow(strip, shape)
