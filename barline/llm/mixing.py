@@ -128,9 +128,9 @@ goals AS (SELECT source, source_size, least(cap, weight * max(level) OVER ()) AS
 ranked AS (
   SELECT s.doc_id, s.source, CAST(s.size AS BIGINT) AS size, g.source_size, g.target, g.u,
          CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS e,
-         CAST(row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) AS DOUBLE) AS at
+         CAST(row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) AS DOUBLE) AS nth
   FROM sizes s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
-       CAST((floor(at * e + u) - floor((at - 1) * e + u)) * size AS BIGINT) AS taken
+       CAST((floor(nth * e + u) - floor((nth - 1) * e + u)) * size AS BIGINT) AS taken
 FROM ranked
 """

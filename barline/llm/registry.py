@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import mixing
+from .decontaminate import decontaminate
+from .langid import language_id
+from .ngram_join import jaccard_components
+from .quality import quality_scores
 from .substring_dedup import substring_dedup
 from .suffix_dedup import remove_repeats
 
@@ -16,20 +21,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("rid")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "op6_suffix_array_dedup": op6_suffix_array_dedup,
-        "op10_substring_dedup": op10_substring_dedup,
-    }
+    named = (
+        op3_mix_sources,
+        op4_ngram_jaccard_join,
+        op5_decontaminate,
+        op6_suffix_array_dedup,
+        op7_quality_classifier,
+        op8_language_id,
+        op10_substring_dedup,
+    )
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mix_sources": mixing.ORACLE_SQL}
