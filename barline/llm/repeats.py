@@ -22,15 +22,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textkit as tk
 
 BUCKET_BYTES = 12 << 20
-ENTRY = "bucket int, keys binary, gaps binary, wide boolean, rids binary, base binary, ords binary"
+ENTRY = "bucket int, keys binary, gaps binary, rids binary, base binary, ords binary"
 REPLY = "home int, rids binary, counts binary, pos binary"
 FOUND = "rid long, at binary"
-_ENTRY = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("gaps", pa.binary()), ("wide", pa.bool_()), ("rids", pa.binary()), ("base", pa.binary()), ("ords", pa.binary())])
+_ENTRY = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("gaps", pa.binary()), ("rids", pa.binary()), ("base", pa.binary()), ("ords", pa.binary())])
 _REPLY = pa.schema([("home", pa.int32()), ("rids", pa.binary()), ("counts", pa.binary()), ("pos", pa.binary())])
 _FOUND = pa.schema([("rid", pa.int64()), ("at", pa.binary())])
 
@@ -41,12 +41,36 @@ def buckets_for(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     return int(min(max(bytes_of(docs) // bucket_bytes, 8), 1 << 22))
 
 
+def pack_gaps(at: np.ndarray) -> bytes:
+    """Ascending numbers as the gaps between them, a byte each; 255 says that 255 and the next byte add up."""
+    more, last = np.divmod(np.diff(at, prepend=0), 255)
+    ends = np.cumsum(more + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = last
+    return out.tobytes()
+
+
+def unpack_gaps(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(packed, np.uint8)
+    return np.cumsum(raw, dtype=np.int64)[raw != 255]
+
+
+def placed(at: np.ndarray, rids: np.ndarray, base: np.ndarray) -> tuple[bytes, bytes, bytes, np.ndarray]:
+    """Packed positions and the documents they are in. at ascends and counts from the piece's start."""
+    used = np.unique(np.searchsorted(base, at, "right") - 1)
+    return pack_gaps(at), rids[used].tobytes(), base[used].astype(np.uint32).tobytes(), used
+
+
+def places(gaps: bytes, rids: bytes, base: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the document, its rid, position in it) of each entry."""
+    at, first = unpack_gaps(gaps), np.frombuffer(base, np.uint32).astype(np.int64)
+    doc = np.searchsorted(first, at, "right") - 1
+    return doc, np.frombuffer(rids, np.int64)[doc], (at - first[doc]).astype(np.uint32)
+
+
 def _rows(bucket: int, keys: np.ndarray, at: np.ndarray, rids: np.ndarray, base: np.ndarray, ords: np.ndarray | None) -> tuple:
-    """One entry row. at ascends and counts from the first document of the piece."""
-    gaps = np.diff(at, prepend=0)
-    wide = bool(len(gaps)) and int(gaps.max()) > 0xFFFF
-    used = np.unique(np.searchsorted(base, at, "right") - 1)  # only documents with entries
-    return bucket, keys.tobytes(), gaps.astype(np.uint32 if wide else np.uint16).tobytes(), wide, rids[used].tobytes(), base[used].astype(np.int64).tobytes(), b"" if ords is None else ords[used].tobytes()
+    gaps, rid, first, used = placed(at, rids, base)
+    return bucket, keys.tobytes(), gaps, rid, first, b"" if ords is None else ords[used].tobytes()
 
 
 def entries(keys: np.ndarray, at: np.ndarray, rids: np.ndarray, base: np.ndarray, ords: np.ndarray | None, buckets: int, mode: str, narrow: bool, salt: int) -> Iterator[tuple]:
@@ -109,19 +133,15 @@ def entry_batch(rows: list[tuple]) -> pa.RecordBatch:
 def _answer(table: pa.Table, mode: str, narrow: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rid of each reported position, position in its document), by entry row."""
     kind = np.uint32 if narrow else tk.U64
-    raw = {c: [x.as_py() for x in table.column(c)] for c in ("keys", "gaps", "wide", "rids", "base", "ords")}
     keys, parts, n = [], [], 0
-    for k, g, w, r, b, o in zip(*raw.values(), strict=True):
-        kk = np.frombuffer(k, kind)
-        at = np.cumsum(np.frombuffer(g, np.uint32 if w else np.uint16).astype(np.int64))
-        base, rid = np.frombuffer(b, np.int64), np.frombuffer(r, np.int64)
-        doc = np.searchsorted(base, at, "right") - 1
-        pos = (at - base[doc]).astype(np.uint32)
+    for row in table.to_pylist():
+        kk = np.frombuffer(row["keys"], kind)
+        doc, rid, pos = places(row["gaps"], row["rids"], row["base"])
         if not len(kk):  # settled inside the piece
-            yield rid[doc], pos
+            yield rid, pos
             continue
         keys.append(kk)
-        parts.append((n, n + len(kk), rid, doc.astype(np.int32), pos, np.frombuffer(o, np.int64)))
+        parts.append((n, n + len(kk), rid, doc, pos, np.frombuffer(row["ords"], np.int64)))
         n += len(kk)
     if not n:
         return
@@ -151,10 +171,10 @@ def _answer(table: pa.Table, mode: str, narrow: bool) -> Iterator[tuple[np.ndarr
         lead = o[np.maximum.accumulate(np.where(first, np.arange(len(o)), 0))]
         late = (order[o] != order[lead]) | (place[o] != place[lead])
         flag[e[o[late]]] = True
-    for a, b, rid, doc, pos, _ in parts:
+    for a, b, rid, _, pos, _ in parts:
         hit = np.flatnonzero(flag[a:b])
         if len(hit):
-            yield rid[doc[hit]], pos[hit]
+            yield rid[hit], pos[hit]
 
 
 def _packed(rid: np.ndarray, pos: np.ndarray, homes: int) -> pa.Table:
@@ -208,9 +228,10 @@ def positions(col: pa.Array, k: int) -> np.ndarray:
     return np.frombuffer(x, np.uint32).astype(np.int64) if x else np.zeros(0, np.int64)
 
 
-def flat_positions(col: pa.Array, rows: slice, base: np.ndarray) -> np.ndarray:
-    """Positions of some rows, each counted from base of its document."""
-    out = [positions(col, k) + base[i] for i, k in enumerate(range(rows.start, rows.stop))]
+def flat_positions(col: pa.Array, rows: slice, base: np.ndarray, place: Callable[[np.ndarray], np.ndarray] = lambda x: x) -> np.ndarray:
+    """Positions of some rows, each counted from base of its document; place turns what is reported into
+    positions."""
+    out = [place(positions(col, k)) + base[i] for i, k in enumerate(range(rows.start, rows.stop))]
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
@@ -226,6 +247,21 @@ def find(docs: DataFrame, keyed: Callable[[pa.RecordBatch], Iterator[tuple]], mo
     return by_document(replies(docs.mapInArrow(send, ENTRY), mode, narrow, max(buckets // 2, 4)))
 
 
-def with_row_id(docs: DataFrame) -> DataFrame:
-    """rid names a row by its doc_id and text: rows that are equal in both share it."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"))
+def with_row_id(docs: DataFrame, with_row: bool = False) -> DataFrame:
+    """rid names a row by its doc_id and text: rows that are equal in both share it. with_row adds ``row``,
+    a struct of all columns but text."""
+    rest = [F.struct(*[c for c in docs.columns if c != "text"]).alias("row")] if with_row else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"), *rest)
+
+
+def with_new_text(edited: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents again, from kept_text and row; n_chars follows the text."""
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("kept_text").alias("text")
+        if name == "n_chars":
+            return F.length("kept_text").cast(edited.schema["row"].dataType["n_chars"].dataType).alias("n_chars")
+        return F.col("row")[name].alias(name)
+
+    return edited.select(*map(column, columns))

@@ -3,8 +3,8 @@
 A difference cover D modulo v has, for any two positions i and j, a shift d < v with (i + d) mod v and
 (j + d) mod v both in D.  So if a string of ``length`` bytes stands at i and at j, the sampled
 suffixes at i + d and j + d share ``length - v + 1`` bytes at least.  The classic cover is {1, 2} of 3
-and its tuples are triples; the cover used here has 22 of 337, so that only one position in 15 is
-sampled, and its tuples are 64 bytes long for strings of 400.
+and its tuples are triples; the cover used here has 16 of 181, so that one position in 11 is
+sampled, and its tuples are 220 bytes long for strings of 400.
 
 1. Sampled tuples are sorted over the corpus, in buckets by hash; equal neighbours get one name, and
    a tuple whose name nobody shares is dropped: no repeat runs through it.
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from . import repeats, textkit as tk
 
@@ -41,32 +41,38 @@ def difference_cover(r: int) -> tuple[int, np.ndarray]:
 
 
 def cover_for(length: int) -> tuple[int, np.ndarray]:
-    """The longest period that leaves tuples of a seventh of the length; {1, 2} of 3 for short ones."""
+    """The longest period that leaves tuples of half the length; {1, 2} of 3 for short ones."""
     best = (3, np.array([1, 2]))
     for r in range(0, 40):
         v, d = difference_cover(r)
-        if length - v + 1 >= max(length // 7, 1):
+        if length - v + 1 >= max(length // 2, 1):
             best = (v, d)
     return best
 
 
-def sampled(offs: np.ndarray, v: int, cover: np.ndarray, width: int) -> np.ndarray:
-    """Sampled positions from which width bytes remain in their document, counted through the piece."""
+def sampled(offs: np.ndarray, v: int, cover: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sampled positions from which width bytes remain in their document, counted through the piece; the
+    same as numbers of samples, and the number of each document's first sample."""
     size = np.diff(offs)
-    rounds = np.maximum((size + v - 1) // v, 0)
-    home = np.repeat(offs[:-1], rounds)
+    rounds = (size + v - 1) // v
     first = np.cumsum(rounds) - rounds
     turn = np.arange(int(rounds.sum())) - np.repeat(first, rounds)
-    at = ((home + turn * v)[:, None] + cover[None, :]).ravel()
+    at = ((np.repeat(offs[:-1], rounds) + turn * v)[:, None] + cover[None, :]).ravel()
     end = np.repeat(np.repeat(offs[1:], rounds), len(cover))
-    return at[at + width <= end]
+    fits = np.flatnonzero(at + width <= end)
+    return at[fits], fits, first * len(cover)
 
 
-_CONTEXT = "bucket int, keys binary, contexts binary, gaps binary, wide boolean, rids binary, base binary"
+def sample_places(numbers: np.ndarray, v: int, cover: np.ndarray) -> np.ndarray:
+    """Positions in a document of its samples with these numbers."""
+    return numbers // len(cover) * v + cover[numbers % len(cover)]
+
+
+_CONTEXT = "bucket int, keys binary, contexts binary, gaps binary, rids binary, base binary"
 SETTLED, OPEN = 1, 2
 
 
-def _send_contexts(docs: DataFrame, v: int, width: int, buckets: int) -> DataFrame:
+def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, buckets: int) -> DataFrame:
     """Tuples with shared names: name, surroundings, place. One entry for each different pair in a piece;
     a pair that stands twice in the piece is settled there."""
 
@@ -75,7 +81,7 @@ def _send_contexts(docs: DataFrame, v: int, width: int, buckets: int) -> DataFra
             rid, rows = tk.i64(batch.column("rid")), []
             for n, piece in enumerate(tk.pieces(batch.column("text"), 1 << 20)):
                 offs, rids = piece.offs, rid[piece.rows]
-                found = repeats.flat_positions(batch.column("at"), piece.rows, offs[:-1])
+                found = repeats.flat_positions(batch.column("at"), piece.rows, offs[:-1], lambda x: sample_places(x, v, cover))
                 if not len(found):
                     continue
                 doc = np.searchsorted(offs, found, "right") - 1
@@ -90,7 +96,7 @@ def _send_contexts(docs: DataFrame, v: int, width: int, buckets: int) -> DataFra
                 again[:-1] |= ~new[1:]
                 twins = np.sort(by[again])
                 if len(twins):
-                    rows.append((int(n + rid[0]) % buckets, b"", b"", *repeats._rows(0, twins, found[twins], rids, offs[:-1], None)[2:6]))
+                    rows.append((int(n + rid[0]) % buckets, b"", b"", *repeats.placed(found[twins], rids, offs[:-1])[:3]))
                 sent = np.sort(by[new])
                 to = ((keys[sent] >> tk.U64(32)) * tk.U64(buckets) >> tk.U64(32)).astype(np.int64)
                 o = np.argsort(to, kind="stable")
@@ -98,9 +104,9 @@ def _send_contexts(docs: DataFrame, v: int, width: int, buckets: int) -> DataFra
                 cuts = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     some = sent[a:b]
-                    rows.append((int(to[a]), keys[some].tobytes(), context[some].tobytes(), *repeats._rows(0, some, found[some], rids, offs[:-1], None)[2:6]))
+                    rows.append((int(to[a]), keys[some].tobytes(), context[some].tobytes(), *repeats.placed(found[some], rids, offs[:-1])[:3]))
             if rows:
-                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.binary())
+                kinds = (pa.int32(), *[pa.binary()] * 5)
                 cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in _CONTEXT.split(", ")])
 
@@ -113,10 +119,8 @@ def _refine(sent: DataFrame, homes: int) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         keys, contexts, rids, marks, twins = [], [], [], [], []
         for row in table.to_pylist():
-            at = np.cumsum(np.frombuffer(row["gaps"], np.uint32 if row["wide"] else np.uint16).astype(np.int64))
-            base = np.frombuffer(row["base"], np.int64)
-            doc = np.searchsorted(base, at, "right") - 1
-            rid, pos = np.frombuffer(row["rids"], np.int64)[doc], (at - base[doc]).astype(np.uint32) * np.uint32(4)
+            _, rid, pos = repeats.places(row["gaps"], row["rids"], row["base"])
+            pos = pos * np.uint32(4)
             if row["keys"]:
                 keys.append(np.frombuffer(row["keys"], tk.U64))
                 contexts.append(np.frombuffer(row["contexts"], tk.U64))
@@ -168,14 +172,12 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     v, cover = cover_for(length)
     width = length - v + 1
     buckets = repeats.buckets_for(docs)
-    docs = docs.select("rid", "doc_id", "text")
-
     def name_tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
         rid = tk.i64(batch.column("rid"))
         for k, piece in enumerate(tk.pieces(batch.column("text"))):
-            at = sampled(piece.offs, v, cover, width)
+            at, numbers, first = sampled(piece.offs, v, cover, width)
             keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + width)
-            yield from repeats.entries(keys, at, rid[piece.rows], piece.offs[:-1], None, buckets, "any", True, int(rid[0]) + k)
+            yield from repeats.entries(keys, numbers, rid[piece.rows], first, None, buckets, "any", True, int(rid[0]) + k)
 
     def name_strings(batch: pa.RecordBatch) -> Iterator[tuple]:
         rid = tk.i64(batch.column("rid"))
@@ -184,9 +186,9 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
             keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + length)
             yield from repeats.entries(keys, at, rid[piece.rows], piece.offs[:-1], None, buckets, "any", False, int(rid[0]) + k)
 
-    # All joins read the same columns of docs, so that one shuffle of the texts serves them all.
+    # All joins read all columns of docs, so that one shuffle of the texts serves them all.
     shared = repeats.find(docs.select("rid", "text"), name_tuples, "any", True, buckets)
-    marked = _refine(_send_contexts(docs.join(shared, "rid"), v, width, buckets), max(buckets // 2, 4))
+    marked = _refine(_send_contexts(docs.join(shared, "rid"), v, cover, width, buckets), max(buckets // 2, 4))
     return marked, repeats.find(docs.join(marked, "rid"), name_strings, "any", False, buckets), v
 
 
@@ -194,10 +196,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each document.
 
     Removes each byte covered by a string of ``length`` bytes that also starts anywhere else.
-    with_text adds kept_text; where a removed span cuts a character, its other bytes are left out of
-    kept_text too, while the digest is of the bytes.
+    with_text adds kept_text, and ``row``, a struct of the document's other columns; where a removed
+    span cuts a character, its other bytes are left out of kept_text too, while the digest is of the
+    bytes.
     """
-    docs = repeats.with_row_id(documents).select("rid", "doc_id", "text")
+    carried = ("row",) if with_text else ()
+    docs = repeats.with_row_id(documents, with_text).select("rid", "doc_id", "text", *carried)
     marked, strings, v = repeated_strings(docs, length)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,10 +229,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
             cols = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (size, gone, spans)), pa.array(digest, pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if with_text:
-                cols.append(pa.array(kept, pa.string()))
-                names.append("kept_text")
+                cols += [pa.array(kept, pa.string()), batch.column("row")]
+                names += ["kept_text", "row"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
+    shape = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
+    for name in carried:
+        shape.add(docs.schema[name])
     found = docs.join(marked.withColumnRenamed("at", "tuples"), "rid", "left").join(strings, "rid", "left")
-    return found.select("doc_id", "text", "tuples", "at").mapInArrow(strip, shape)
+    return found.select("doc_id", "text", "tuples", "at", *carried).mapInArrow(strip, shape)
