@@ -3,12 +3,16 @@
 A document is the set of its distinct shingles, and 1 - Jaccard is a metric on sets.  Equal sets are one
 point, so a group of copies costs one point whatever its size.
 
-Regions.  Points at distance 0.2 or less share at least one of their first ``n - ceil(0.8 n) + 1``
-shingles in any one order of all shingles.  The order is by hash, with shingles that are frequent in
-some piece of the corpus last.  Points that share such a shingle, and whose sizes allow a link, form a
-cell around a pivot, the least of them; all cells of a pivot make its region.  A point may lie in several
-regions: it is replicated to each pivot that it can be linked through, and two linked points always have
-a region in common.
+Candidates.  In any one order of all shingles, points at distance 0.2 or less share at least ``l`` of
+their first ``n - ceil(0.8 n) + l`` shingles.  With l an eighth of the set, a point of which too few of
+these shingles stand in other points too has no links, and is done; passages that documents have in
+common do not get them over that bar.  The order is by hash, with shingles that are frequent in some
+piece of the corpus last.
+
+Regions.  Candidates that share one of their first ``n - ceil(0.8 n) + 1`` shingles, and whose sizes
+allow a link, form a cell around a pivot, the least of them; all cells of a pivot make its region.  A
+point may lie in several regions: it is replicated to each pivot that it can be linked through, and two
+linked points always have a region in common.
 
 Inside a region the join is recursive.  The distances of all points to the pivot are taken; those
 within 0.2 are linked to it.  Linked points in turn are compared with points not yet reached, but only
@@ -27,7 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import repeats, textkit as tk
 from .shared import components, cut
@@ -36,6 +41,8 @@ WORDS = 5
 PERCENT = 80
 #: How many of the shingles that are frequent in pieces go to the end of the order. Any choice is right.
 FREQUENT = 20_000
+#: A set's longer prefix has this share of its shingles more, 1 / EXTRA.
+EXTRA = 8
 _BASE = "doc_id long, rid long, n_shingles long, sid long, frequent long, weight long"
 _PREFIX = "bucket int, keys binary, counts binary, sids binary, sizes binary"
 _PAIRS = "home int, sids binary, pivots binary"
@@ -89,7 +96,7 @@ def _describe(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "rid", "text").mapInArrow(describe, _BASE)
 
 
-def _prefixes(keys: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _prefixes(keys: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, percent: int, longer: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Places of the shingles in the prefix of their document, and their documents."""
     size = np.diff(bounds)
     doc = np.repeat(np.arange(len(size)), size)
@@ -100,24 +107,39 @@ def _prefixes(keys: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, percen
         late = np.zeros(len(keys), bool)
     by = np.lexsort((keys, late, doc))
     nth = np.arange(len(keys)) - bounds[:-1][doc]
-    take = size - (percent * size + 99) // 100 + 1
-    chosen = nth < take[doc]
+    take = size - (percent * size + 99) // 100 + 1 + (size // EXTRA if longer else 0)
+    chosen = nth < np.minimum(take, size)[doc]
     return by[chosen], doc[chosen]
 
 
-def _send_prefixes(docs: DataFrame, frequent: np.ndarray, buckets: int, width: int, percent: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def needed(size: Column, percent: int) -> Column:
+    """How many of the first shingles of a set must stand in another: what the smallest set that it can
+    be linked with adds to its own."""
+    return F.floor(F.ceil(size * percent / 100) / EXTRA) + 1
+
+
+def _shared_prefixes(docs: DataFrame, frequent: Broadcast, buckets: int, width: int, percent: int) -> DataFrame:
+    """(rid, at): which of the first shingles of each document stand in others."""
+
+    def send(batch: pa.RecordBatch) -> Iterator[tuple]:
+        rid = tk.i64(batch.column("rid"))
+        for k, piece in enumerate(tk.pieces(batch.column("text"))):
+            keys, bounds = shingle_sets(piece, width)
+            at, doc = _prefixes(keys, bounds, frequent.value, percent, longer=True)
+            base = np.searchsorted(doc, np.arange(piece.n))
+            yield from repeats.entries(keys[at], np.arange(len(at)), rid[piece.rows], base, None, buckets, "any", True, int(rid[0]) + k)
+
+    return repeats.find(docs, send, "any", True, buckets)
+
 
+def _send_prefixes(docs: DataFrame, frequent: Broadcast, buckets: int, width: int, percent: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for piece in tk.pieces(batch.column("text")):
                 keys, bounds = shingle_sets(piece, width)
                 sid, size = set_ids(keys, bounds), np.diff(bounds)
-                at, doc = _prefixes(keys, bounds, shared.value, percent)
-                once = np.zeros(piece.n, bool)
-                once[np.unique(sid, return_index=True)[1]] = True  # copies in the piece are one point
-                at, doc = at[once[doc]], doc[once[doc]]
+                at, doc = _prefixes(keys, bounds, frequent.value, percent)
                 to = ((keys[at] >> tk.U64(32)) * tk.U64(buckets) >> tk.U64(32)).astype(np.int64)
                 by = np.argsort(to, kind="stable")
                 at, doc, to = at[by], doc[by], to[by]
@@ -129,7 +151,7 @@ def _send_prefixes(docs: DataFrame, frequent: np.ndarray, buckets: int, width: i
                 b, *blobs = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), *map(tk.binary_column, blobs)], names=[x.split()[0] for x in _PREFIX.split(", ")])
 
-    return docs.select("text").mapInArrow(send, _PREFIX)
+    return docs.mapInArrow(send, _PREFIX)
 
 
 def _home(x: np.ndarray, homes: int) -> np.ndarray:
@@ -153,7 +175,7 @@ def _cells(prefixes: DataFrame, homes: int, percent: int) -> DataFrame:
         by = np.lexsort((sid, size, key))
         key, sid, size = key[by], sid[by], size[by]
         new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])  # copies from other pieces
+        new[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
         key, sid, size = key[new], sid[new], size[new]
         if not len(key):
             return pa.schema([("home", pa.int32()), ("sids", pa.binary()), ("pivots", pa.binary())]).empty_table()
@@ -242,14 +264,20 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
     """
     docs = repeats.with_row_id(documents)
     described = cut(_describe(docs, width))
+    docs = docs.select("rid", "text")
     base = described.where("frequent is null").select("doc_id", "rid", "n_shingles", "sid")
     often = described.where("frequent is not null").groupBy("frequent").agg(F.sum("weight").alias("weight"))
     often = [r[0] for r in often.orderBy(F.desc("weight"), "frequent").limit(FREQUENT).collect()]
-    frequent = np.sort(np.array(often, np.int64).view(tk.U64))
+    frequent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(often, np.int64).view(tk.U64)))
     buckets = repeats.buckets_for(docs)
-    cells = _cells(_send_prefixes(docs, frequent, buckets, width, percent), max(buckets // 2, 4), percent)
-    points = base.where("sid is not null").groupBy("sid").agg(F.min("rid").alias("rid"))
-    members = cells.join(points, "sid").select("rid", "pivots")
+    # One document stands for each set. All joins read the same columns of docs, so its texts are
+    # shuffled once.
+    points = base.where("sid is not null").groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n_shingles").alias("n"))
+    shared = _shared_prefixes(docs.join(points.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
+    likely = shared.join(points, "rid").where(F.length("at") / 4 >= needed(F.col("n"), percent)).select("rid", "sid")
+    likely = cut(likely)
+    sent = _send_prefixes(docs.join(likely, "rid").select("rid", "text"), frequent, buckets, width, percent)
+    members = _cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots")
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,19 +314,34 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
         return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     homes = buckets * 2
-    regions = docs.select("rid", "text").join(members, "rid").mapInArrow(ship, _MEMBER)
+    regions = docs.join(members, "rid").select("rid", "text", "pivots").mapInArrow(ship, _MEMBER)
     return base, regions.groupBy("home").applyInArrow(link, "a long, b long")
 
 
 def jaccard_components(documents: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, rid, n_shingles, component_id) of each document."""
+    """(doc_id, rid, n_shingles, component, component_id) of each document; component names it by a set,
+    null without shingles, component_id by its smallest doc_id."""
     base, links = jaccard_links(documents, width, percent)
     labels = components(links).withColumnRenamed("node", "sid")
     # One row for each distinct set, then each document takes over what its set has.
     points = base.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first"))
     points = points.join(labels, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = points.groupBy("component").agg(F.min("first").alias("component_id"))
-    points = points.join(least, "component").select("sid", "component_id")
+    points = points.join(least, "component").select("sid", "component", "component_id")
     joined = base.join(points, "sid", "left")
     own = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "rid", "n_shingles", own.alias("component_id"))
+    return joined.select("doc_id", "rid", "n_shingles", "component", own.alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents without those that a smaller doc_id of their component stands for."""
+    found = jaccard_components(documents, width, percent).where("component is not null")
+    found = cut(found.select("component", "doc_id", "rid"))
+    lead = found.groupBy("component").agg(F.min(F.struct("doc_id", "rid")).alias("lead")).select(F.col("lead.rid").alias("rid"))
+    # Rows that repeat a leading row are few: they are set apart and made one.
+    often = found.groupBy("rid").count().where("count > 1").join(lead, "rid", "left_semi").select("rid")
+    gone = found.join(lead, "rid", "left_anti").select("rid").distinct().unionByName(often)
+    rows = documents.withColumn("jaccard_rid", F.xxhash64("doc_id", "text"))
+    once = rows.join(often.withColumnRenamed("rid", "jaccard_rid"), "jaccard_rid", "left_semi").dropDuplicates(["jaccard_rid"])
+    kept = rows.join(gone.withColumnRenamed("rid", "jaccard_rid"), "jaccard_rid", "left_anti")
+    return kept.unionByName(once).select(*documents.columns)
