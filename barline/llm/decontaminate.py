@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import repeats, textkit as tk
 
@@ -205,9 +205,25 @@ def _digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-def _result(doc_id: pa.Array, n: list, hit: list, items: list[list[str]]) -> pa.RecordBatch:
-    cols = [doc_id, pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(map(len, items), pa.int64()), pa.array(map(_digest, items), pa.string()), pa.array([h > 0 for h in hit], pa.bool_())]
-    return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+def _result(batch: pa.RecordBatch, n: list, hit: list, items: list[list[str]], texts: list[str] | None) -> pa.RecordBatch:
+    cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(map(len, items), pa.int64()), pa.array(map(_digest, items), pa.string()), pa.array([h > 0 for h in hit], pa.bool_())]
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    if texts is not None:
+        cols += [pa.array(texts, pa.string()), batch.column("row")]
+        names += ["kept_text", "row"]
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _cut(piece: tk.Piece, words: tk.Words, hit: np.ndarray) -> list[str]:
+    """Texts without the spans of words that are hit; what stands between two words of a span goes too."""
+    start, end = words.start[hit], words.end[hit].copy()
+    joined = np.flatnonzero(np.diff(np.flatnonzero(hit)) == 1)
+    same = np.searchsorted(piece.offs, start[joined], "right") == np.searchsorted(piece.offs, start[joined + 1], "right")
+    end[joined[same]] = start[joined[same] + 1]
+    out = tk.cover(len(piece.data), start, end - start)
+    kept = piece.data[~out].tobytes()
+    bounds = np.concatenate(([0], np.cumsum(~out)))[piece.offs]
+    return [kept[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
@@ -219,13 +235,22 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[objec
         yield [(r[0], r[1]) for r in (rows.where(key == b) if blocks > 1 else rows).collect()]
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each document."""
+def _shape(docs: DataFrame, with_text: bool) -> T.StructType:
+    shape = T.StructType.fromDDL(RESULT)
+    return shape.add("kept_text", "string").add(docs.schema["row"]) if with_text else shape
+
+
+def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each document.
+
+    with_text adds kept_text, the text without the spans that are hit, and ``row``, a struct of the
+    document's other columns.
+    """
     context = documents.sparkSession.sparkContext
     blocks = [context.broadcast(Phrases.of(items, window)) for items in _blocks(benchmark, block_bytes)]
+    docs = repeats.with_row_id(documents, with_text)
     if len(blocks) == 1:
-        return _one_block(documents, blocks[0])
-    docs = repeats.with_row_id(documents)
+        return _one_block(docs.drop("rid"), blocks[0], with_text)
     found = None
     for phrases in blocks:
 
@@ -245,27 +270,36 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n: list[int] = []
+            n, hits, texts = [], [], []
             for piece in tk.pieces(batch.column("text")):
-                n += np.diff(tk.find_words(tk.LOWER[piece.data], piece.offs, tk.ALNUM).bounds).tolist()
-            at, items = batch.column("at"), batch.column("items")
-            hit = [len(np.unique(np.frombuffer(b"".join(x.as_py() or []), np.uint32))) for x in at]
-            yield _result(batch.column("doc_id"), n, hit, [sorted(set(x.as_py() or [])) for x in items])
+                words = tk.find_words(tk.LOWER[piece.data], piece.offs, tk.ALNUM)
+                hit = np.zeros(len(words), bool)
+                for d, k in enumerate(range(piece.rows.start, piece.rows.stop)):
+                    at = np.frombuffer(b"".join(batch.column("at")[k].as_py() or []), np.uint32)
+                    hit[words.bounds[d] + at.astype(np.int64)] = True
+                n += np.diff(words.bounds).tolist()
+                hits += tk.sums_of(hit, words.bounds).tolist()
+                if with_text:
+                    texts += _cut(piece, words, hit)
+            items = [sorted(set(x.as_py() or [])) for x in batch.column("items")]
+            yield _result(batch, n, hits, items, texts if with_text else None)
 
-    return docs.join(merged, "rid", "left").select("doc_id", "text", "at", "items").mapInArrow(report, RESULT)
+    return docs.join(merged, "rid", "left").drop("rid").mapInArrow(report, _shape(docs, with_text))
 
 
-def _one_block(documents: DataFrame, phrases) -> DataFrame:
+def _one_block(docs: DataFrame, phrases, with_text: bool) -> DataFrame:
     """Without a shuffle: each task searches its own shards and reports at once."""
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, hits, items = [], [], []
+            n, hits, items, texts = [], [], [], []
             for piece in tk.pieces(batch.column("text")):
                 words, hit, found = _hits(piece, phrases.value)
                 n += np.diff(words.bounds).tolist()
                 hits += tk.sums_of(hit, words.bounds).tolist()
                 items += found
-            yield _result(batch.column("doc_id"), n, hits, items)
+                if with_text:
+                    texts += _cut(piece, words, hit)
+            yield _result(batch, n, hits, items, texts if with_text else None)
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(report, RESULT)
+    return docs.mapInArrow(report, _shape(docs, with_text))

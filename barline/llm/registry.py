@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import chat, mixing
 from .decontaminate import decontaminate
+from .fingerprints import fingerprint_versions
 from .langid import language_id
+from .licenses import license_scan
 from .ngram_join import jaccard_components
 from .quality import quality_scores
 from .substring_dedup import substring_dedup
@@ -21,12 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest_conversations(chat.format_conversations(chat.with_control_strings(table(spark, sf_dir, "conversations"))))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("rid")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("rid", "component")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,22 +55,29 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
     named = (
+        op1_license_scan,
+        op2_chat_format,
         op3_mix_sources,
         op4_ngram_jaccard_join,
         op5_decontaminate,
         op6_suffix_array_dedup,
         op7_quality_classifier,
         op8_language_id,
+        op9_fingerprints,
         op10_substring_dedup,
     )
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.ORACLE_SQL}
+    return {"op2_chat_format": chat.ORACLE_SQL, "op3_mix_sources": mixing.ORACLE_SQL}

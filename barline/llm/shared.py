@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 UNKNOWN = 1 << 50
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Take the folder that the cluster names in spark.checkpoint.dir; only where none is set, as in
-    tests on one machine, use a folder of our own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only where none is set, as in tests on
+    one machine, a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named or os.path.join(tempfile.gettempdir(), "checkpoints")
+
+
+def use_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
-    have = context._jsc.sc().getCheckpointDir()
-    if have.isDefined():
-        return
-    context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "checkpoints"))
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_folder(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:
