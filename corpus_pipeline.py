@@ -1,10 +1,66 @@
-"""The corpus pipeline: stages in order, each a filter or an edit of documents."""
+"""The corpus pipeline: language ID, near-duplicate removal, repeated passages, benchmark leaks, mixing.
+
+Each stage takes (spark, docs, sf_dir) and returns documents; all but the last return the columns they
+were given.  ``run`` writes each stage's result to the shared folder and reads it again for the next.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from barline.llm import decontaminate, langid, mixing, ngram_join, repeats, suffix_dedup
+from barline.llm.shared import shared_folder
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: those with no text or no letter."""
+    marked = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = langid.identify(marked, langid.fit(docs), ("row",))
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    return ngram_join.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes or more that stand more than once go out of the texts."""
+    return repeats.with_new_text(suffix_dedup.remove_repeats(docs, with_text=True), docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of words that stand in the benchmark go out of the texts."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return repeats.with_new_text(decontaminate.decontaminate(docs, benchmark, with_text=True), docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix_documents(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard_join", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("decontaminate", benchmark_leaks),
+    ("mix_sources", mix),
+]
+
+# Several stages cannot be said in SQL; tests hold the whole against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}-{name}")
+            docs = spark.read.parquet(f"{folder}/{k}-{name}")
+    return docs
