@@ -1,0 +1 @@
+"""Market-data analytics on stock Apache Spark: ingestion, validation, dedup, roll-ups, serving queries."""
