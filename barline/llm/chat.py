@@ -4,9 +4,10 @@ A template says how a turn of each role is written, which text counts for the lo
 follow which.  Rows are dealt by conversation, sorted by turn, and streamed: the machine holds one
 conversation's state, never a group of conversations.
 
-A turn is written ``### Role: text </turn>``.  Inside roles and texts, a backslash goes before each
-backslash, before ``###`` and before ``</turn>``, and in roles before each colon, so no control string
-of a text can be taken for one of the template, and reading back restores every text.
+A turn is written ``### Role: text </turn>``; a role that the template does not name is written
+``role=`` and the role.  Inside roles and texts, a backslash goes before each backslash, before ``###``
+and before ``</turn>``, and in roles before each colon, so no control string of a text can be taken for
+one of the template, and reading back restores every role and text.
 
 A conversation whose turns are out of order is formatted too; ``valid`` is false then and ``error``
 names the first turn that no rule allows.
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 START, END = "<start>", "<end>"
+OTHER = "role="
 _ESCAPE = re.compile(r"\\|###|</turn>")
 _UNESCAPE = re.compile(r"\\(\\|###|</turn>|:)")
 # A turn as written: an escaped role up to a colon that is not escaped, then an escaped text.
@@ -46,8 +48,10 @@ class Template:
     def allows(self, before: str, role: str) -> bool:
         return role in self.follows.get(before, ())
 
-    def role_of(self, name: str) -> str:
-        return next((r for r, n in self.names.items() if n == name), name)
+    def role_of(self, head: str) -> str:
+        if head.startswith(OTHER):
+            return unescape(head.removeprefix(OTHER))
+        return next(r for r, n in self.names.items() if n == head)
 
 
 CHAT = Template()
@@ -79,10 +83,8 @@ def format_turns(turns: Iterable[tuple[str | None, str | None]], template: Templ
         if error is None and not template.allows(state, role):
             error = f"turn {n}: {role or 'no role'} after {state}"
         state = role
-        # Only the name of a role that the template knows stands for it; another that looks like a
-        # name is written with a backslash, which reading back takes away.
         name = template.names.get(role)
-        head = name if name is not None else escape(role).replace(":", "\\:")
+        head = name if name is not None else OTHER + escape(role).replace(":", "\\:")
         pending += f"### {head}: "
         body = escape(text or "")
         if role in template.loss:
@@ -104,7 +106,7 @@ def read_back(text: str, template: Template = CHAT) -> list[tuple[str, str]]:
         m = _TURN.match(text, at)
         if m is None:
             raise ValueError(f"not a turn at {at}")
-        out.append((template.role_of(unescape(m[1])), unescape(m[2])))
+        out.append((template.role_of(m[1]), unescape(m[2])))
         at = m.end()
     return out
 
@@ -205,7 +207,7 @@ joined AS (
   SELECT conv_id, count(*) AS n_turns,
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY n) AS turns,
          coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '') AS loss,
-         sum(chars + length(role) + 15) AS formatted_chars,
+         sum(chars + length(role) + CASE WHEN role IN ('system', 'user', 'assistant') THEN 15 ELSE 20 END) AS formatted_chars,
          min(n) FILTER (WHERE NOT ok) AS bad,
          arg_min(role, n) FILTER (WHERE NOT ok) AS bad_role,
          arg_min(coalesce(before, '<start>'), n) FILTER (WHERE NOT ok) AS bad_before,
