@@ -274,7 +274,7 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
     # shuffled once.
     points = base.where("sid is not null").groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n_shingles").alias("n"))
     shared = _shared_prefixes(docs.join(points.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
-    likely = shared.join(points, "rid").where(F.length("at") / 4 >= needed(F.col("n"), percent)).select("rid", "sid")
+    likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid")
     likely = cut(likely)
     sent = _send_prefixes(docs.join(likely, "rid").select("rid", "text"), frequent, buckets, width, percent)
     members = _cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots")

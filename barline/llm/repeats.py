@@ -41,13 +41,18 @@ def buckets_for(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     return int(min(max(bytes_of(docs) // bucket_bytes, 8), 1 << 22))
 
 
-def pack_gaps(at: np.ndarray) -> bytes:
-    """Ascending numbers as the gaps between them, a byte each; 255 says that 255 and the next byte add up."""
-    more, last = np.divmod(np.diff(at, prepend=0), 255)
+def pack(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in a byte each, and where each ends; 255 says that 255 and the next byte add up."""
+    more, last = np.divmod(numbers, 255)
     ends = np.cumsum(more + 1)
     out = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
     out[ends - 1] = last
-    return out.tobytes()
+    return out, ends
+
+
+def pack_gaps(at: np.ndarray) -> bytes:
+    """Ascending numbers as the gaps between them."""
+    return pack(np.diff(at, prepend=0))[0].tobytes()
 
 
 def unpack_gaps(packed: bytes) -> np.ndarray:
@@ -55,6 +60,14 @@ def unpack_gaps(packed: bytes) -> np.ndarray:
     return np.cumsum(raw, dtype=np.int64)[raw != 255]
 
 
+def _gaps_by_document(pos: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gaps inside each document, packed, with the end of each entry; docs has the first entry of each."""
+    gaps = np.diff(pos.astype(np.int64), prepend=0)
+    gaps[docs] = pos[docs]
+    packed, ends = pack(gaps)
+    return packed, np.append(0, ends)
+
+
 def placed(at: np.ndarray, rids: np.ndarray, base: np.ndarray) -> tuple[bytes, bytes, bytes, np.ndarray]:
     """Packed positions and the documents they are in. at ascends and counts from the piece's start."""
     used = np.unique(np.searchsorted(base, at, "right") - 1)
@@ -179,16 +192,20 @@ def _answer(table: pa.Table, mode: str, narrow: bool) -> Iterator[tuple[np.ndarr
 
 def _packed(rid: np.ndarray, pos: np.ndarray, homes: int) -> pa.Table:
     """Reported positions as one row for each home."""
+    if not len(rid):
+        return _REPLY.empty_table()
     home = ((rid.view(tk.U64) >> tk.U64(32)) * tk.U64(homes) >> tk.U64(32)).astype(np.int64)
     by = np.lexsort((pos, rid, home))
     rid, pos, home = rid[by], pos[by], home[by]
-    head = np.flatnonzero(np.diff(home, prepend=-1))
     new = np.ones(len(rid), bool)
-    new[1:] = rid[1:] != rid[:-1]
-    docs = np.flatnonzero(new)
+    new[1:] = (rid[1:] != rid[:-1]) | (pos[1:] != pos[:-1])
+    rid, pos, home = rid[new], pos[new], home[new]
+    head = np.flatnonzero(np.diff(home, prepend=-1))
+    docs = np.flatnonzero(np.append(True, rid[1:] != rid[:-1]))
     counts = np.diff(docs, append=len(rid)).astype(np.uint32)
     cuts = np.append(np.searchsorted(docs, head), len(docs))
-    cols = [pa.array(home[head], pa.int32()), tk.ragged_binary(rid[docs], cuts), tk.ragged_binary(counts, cuts), tk.ragged_binary(pos, np.append(head, len(rid)))]
+    packed, ends = _gaps_by_document(pos, docs)
+    cols = [pa.array(home[head], pa.int32()), tk.ragged_binary(rid[docs], cuts), tk.ragged_binary(counts, cuts), tk.ragged_binary(packed, ends[np.append(head, len(rid))])]
     return pa.Table.from_arrays(cols, schema=_REPLY)
 
 
@@ -205,27 +222,37 @@ def replies(df: DataFrame, mode: str, narrow: bool, homes: int) -> DataFrame:
 
 
 def by_document(packed: DataFrame) -> DataFrame:
-    """(rid, at): the positions reported for a document, ascending, each once, as a packed array."""
+    """(rid, at): the positions reported for a document, ascending, each once, as packed gaps."""
 
     def gather(table: pa.Table) -> pa.Table:
         whole = {c: b"".join(x.as_py() for x in table.column(c)) for c in ("rids", "counts", "pos")}
-        rid = np.repeat(np.frombuffer(whole["rids"], np.int64), np.frombuffer(whole["counts"], np.uint32))
-        pos = np.frombuffer(whole["pos"], np.uint32)
+        counts = np.frombuffer(whole["counts"], np.uint32)
+        rid = np.repeat(np.frombuffer(whole["rids"], np.int64), counts)
+        total = np.append(0, unpack_gaps(whole["pos"]))
+        before = total[np.cumsum(counts) - counts]
+        pos = total[1:] - np.repeat(before, counts)
         by = np.lexsort((pos, rid))
         rid, pos = rid[by], pos[by]
         new = np.ones(len(rid), bool)
         new[1:] = (rid[1:] != rid[:-1]) | (pos[1:] != pos[:-1])
         rid, pos = rid[new], pos[new]
         docs = np.flatnonzero(np.append(True, rid[1:] != rid[:-1]))
-        return pa.Table.from_arrays([pa.array(rid[docs]), tk.ragged_binary(pos, np.append(docs, len(rid)))], schema=_FOUND)
+        gaps, ends = _gaps_by_document(pos, docs)
+        return pa.Table.from_arrays([pa.array(rid[docs]), tk.ragged_binary(gaps, ends[np.append(docs, len(rid))])], schema=_FOUND)
 
     return packed.groupBy("home").applyInArrow(gather, FOUND)
 
 
+def reported(at: str) -> Column:
+    """At least how many positions a packed column holds: its bytes but for fillers of long gaps, of which
+    there are few.  Counting a filler keeps a row that might go, and never drops one."""
+    return F.length(at)
+
+
 def positions(col: pa.Array, k: int) -> np.ndarray:
     """The positions of row k."""
     x = col[k].as_py()
-    return np.frombuffer(x, np.uint32).astype(np.int64) if x else np.zeros(0, np.int64)
+    return unpack_gaps(x) if x else np.zeros(0, np.int64)
 
 
 def flat_positions(col: pa.Array, rows: slice, base: np.ndarray, place: Callable[[np.ndarray], np.ndarray] = lambda x: x) -> np.ndarray:
