@@ -194,7 +194,7 @@ def identify(documents: DataFrame, model: Model | None, keep: tuple[str, ...] =
                 for piece in pieces(text):
                     best, score = m.predict(features(piece))
                     langs += names[best].tolist()
-                    scores += score.tolist()
+                    scores += np.round(score, 6).tolist()  # the same for equal texts in any piece
             else:
                 langs, scores = [UNKNOWN] * len(text), [0.0] * len(text)
             letters = batch.column("identify_letters").to_pylist()

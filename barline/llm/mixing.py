@@ -95,18 +95,18 @@ def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats:
 
 def mix_documents(documents: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, seed: int = 7) -> DataFrame:
     """The documents of the mix: each row as often as the mix takes it."""
-    key = F.xxhash64("doc_id", "text", "source")
-    rows = documents.withColumn("mix_key", key)
+    row = F.struct(*documents.columns).alias("mix_row")
+    rows = documents.select("doc_id", "text", "source", F.xxhash64("doc_id", "text", "source").alias("mix_key"), row)
     plan = mixed(rows, weights, max_repeats, seed, keep=("doc_id", "mix_key"))
     # Rows that repeat doc_id, text and source share a key; they share out the copies of all of them.
-    plan = plan.groupBy("mix_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-    plan = plan.where("copies > 0")
-    share = W.partitionBy("mix_key").orderBy("doc_id")
-    repeated = rows.join(plan.where("rows > 1"), "mix_key").withColumn("nth", F.row_number().over(share) - 1)
+    plan = plan.groupBy("mix_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    rows = rows.select("mix_key", "mix_row")
+    nth = F.row_number().over(W.partitionBy("mix_key").orderBy(F.col("mix_row.doc_id"))) - 1
+    repeated = rows.join(plan.where("rows > 1"), "mix_key").withColumn("nth", nth)
     repeated = repeated.withColumn("copies", F.expr("copies div rows + if(nth < copies % rows, 1, 0)")).drop("nth")
-    single = rows.join(plan.where("rows = 1"), "mix_key")
-    emitted = single.unionByName(repeated).where("copies > 0")
-    return emitted.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*documents.columns)
+    emitted = rows.join(plan.where("rows = 1"), "mix_key").unionByName(repeated).where("copies > 0")
+    emitted = emitted.select("mix_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return emitted.select(*[F.col("mix_row")[c].alias(c) for c in documents.columns])
 
 
 ORACLE_SQL = r"""
