@@ -203,8 +203,8 @@ def recent_rejections(spark, sf_dir):
 
 @named(query(BARS_L, DIRTY, select="""
 , c AS (
-  SELECT date AS audit_date, count(*) AS total_count, count_if(NOT (ok_price AND ok_logic AND ok_volume)) AS rejected_count, count_if(NOT ok_price) AS rejected_price_positive,
-         count_if(coalesce(ok_price, true) AND NOT ok_logic) AS rejected_ohlc_logic, count_if(coalesce(ok_price AND ok_logic, true) AND coalesce(ok_price, true) AND coalesce(ok_logic, true) AND NOT ok_volume) AS rejected_volume
+  SELECT date AS audit_date, count(*) AS total_count, count(*) FILTER (WHERE NOT (ok_price AND ok_logic AND ok_volume)) AS rejected_count, count(*) FILTER (WHERE NOT ok_price) AS rejected_price_positive,
+         count(*) FILTER (WHERE coalesce(ok_price, true) AND NOT ok_logic) AS rejected_ohlc_logic, count(*) FILTER (WHERE coalesce(ok_price AND ok_logic, true) AND coalesce(ok_price, true) AND coalesce(ok_logic, true) AND NOT ok_volume) AS rejected_volume
   FROM judged GROUP BY 1),
 s AS (SELECT date, max(n) AS session_bars FROM (SELECT date, symbol, count(*) AS n FROM judged GROUP BY 1, 2) GROUP BY 1)
 SELECT c.*, total_count - rejected_count AS valid_count, rejected_count * 100.0::DOUBLE / total_count AS rejection_rate_pct,

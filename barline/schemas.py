@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str, required: tuple[str, ...] = ()) -> T.StructType:
-    shape = T.StructType.fromDDL(ddl)
-    return T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in shape])
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(), "binary": T.BinaryType(), "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(columns: str, required: tuple[str, ...] = ()) -> T.StructType:
+    """A schema from "name type, ...": unlike Spark's own parser it needs no session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind], name not in required) for name, kind in pairs])
 
 
 #: A vendor's daily flat file: window_start counts nanoseconds, volume may be fractional.
@@ -44,13 +51,13 @@ DEAD_LETTER = _struct(
     " quarantine_timestamp timestamp, correlation_id string, quarantine_reason string"
 )
 
-INSIGHTS = T.ArrayType(T.StructType.fromDDL("sentiment string, sentiment_reasoning string, ticker string"))
+INSIGHTS = T.ArrayType(_struct("sentiment string, sentiment_reasoning string, ticker string"))
 
 NEWS = T.StructType(
     [
-        *T.StructType.fromDDL("article_id string, title string, description string, author string, published_utc string, article_url string, amp_url string, image_url string, tickers array<string>, keywords array<string>"),
+        *_struct("article_id string, title string, description string, author string, published_utc string, article_url string, amp_url string, image_url string, tickers array<string>, keywords array<string>"),
         T.StructField("insights", INSIGHTS),
-        *T.StructType.fromDDL("publisher_name string, publisher_homepage_url string, publisher_logo_url string, publisher_favicon_url string"),
+        *_struct("publisher_name string, publisher_homepage_url string, publisher_logo_url string, publisher_favicon_url string"),
     ]
 )
 
@@ -67,10 +74,10 @@ SPLITS = _struct(
 )
 
 #: What the message on the wire says, in the order of the contract.
-BAR_MESSAGE = T.StructType.fromDDL(
+BAR_MESSAGE = _struct(
     "event_type string, symbol string, open double, high double, low double, close double, volume long,"
     " start_timestamp long, end_timestamp long, accumulated_volume long, official_open double,"
     " average_trade_size double, otc boolean, transactions long, ingestion_timestamp long"
 )
 
-DRAIN_METRICS = T.StructType.fromDDL("pipeline string, drain_status string, residual_lag_rows long, captured_at timestamp")
+DRAIN_METRICS = _struct("pipeline string, drain_status string, residual_lag_rows long, captured_at timestamp")

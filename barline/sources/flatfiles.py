@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.timeunits import market_date
+from ..functions.timeunits import floor_div, market_date
 from ..schemas import FLAT_FILE, HISTORICAL_BRONZE
 
 MINUTE_MS = 60_000
@@ -52,7 +52,7 @@ def historical_bars(raw: DataFrame, correlation_id: str, ingested: Column | None
     ingestion_timestamp is when the file was published, so that reading it again gives the same sequence.
     Fractions of a share are cut off.
     """
-    start = F.floor(F.col("window_start") / 1_000_000).cast("long")
+    start = floor_div(F.col("window_start"), 1_000_000)
     out = raw.select(
         F.col("ticker").alias("symbol"),
         F.lit("AM").alias("event_type"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.timeunits import market_date
+from ..functions.timeunits import floor_div, market_date
 from ..schemas import BAR_MESSAGE, STREAM_BRONZE
 
 #: Magic byte and schema id that the serializer puts before each payload.
@@ -49,7 +49,7 @@ def split_messages(messages: DataFrame, correlation_id: str, **how) -> tuple[Dat
     kafka = [F.col(c).alias(n) for c, n in (("timestamp", "kafka_ingestion_timestamp"), ("topic", "topic"), ("partition", "partition"), ("offset", "offset"))]
     rows = told.where("data IS NOT NULL")
     fields = [F.col(f"data.{f.name}").alias(f.name) for f in BAR_MESSAGE if f.name != "ingestion_timestamp"]
-    good = rows.select(*fields, F.floor(F.col("data.ingestion_timestamp") / 1000).cast("long").alias("ingestion_timestamp"), *kafka)
+    good = rows.select(*fields, floor_div(F.col("data.ingestion_timestamp"), 1000).alias("ingestion_timestamp"), *kafka)
     dead = told.where("data IS NULL").select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("binary").alias("raw_value"),
