@@ -30,7 +30,7 @@ from .shared import bytes_of
 
 CELLS = 24
 HASHES = 3
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 4 << 20
 _U32 = tk.U64(32)
 _STOP = tk.byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 
@@ -203,7 +203,7 @@ def next_document(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataF
     to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
     heads = heads.select(F.element_at(to, F.col("part")).alias("part"), F.lit(True).alias("wrapped"), "doc_id", "text")
     rows = docs.select("part", F.lit(False).alias("wrapped"), "doc_id", "text").unionByName(heads)
-    return rows.repartition(max(parts, 8), "part").sortWithinPartitions("part", "wrapped", F.col("doc_id").asc_nulls_first(), "text")
+    return rows.repartition("part").sortWithinPartitions("part", "wrapped", F.col("doc_id").asc_nulls_first(), "text")
 
 
 PRINT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
