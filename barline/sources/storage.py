@@ -147,3 +147,25 @@ def guarded_append(table: ParquetTable, df: DataFrame, dry_run: bool = True) ->
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header; for results that a person reads."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def table_name(*parts: str) -> str:
+    """A qualified name for spark.table, each part quoted."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts if p)
+
+
+def catalog_table(spark: SparkSession, *parts: str) -> DataFrame:
+    return spark.table(table_name(*parts))
+
+
+def path_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet folder by path in SQL, without a catalog entry."""
+    return spark.sql(f"SELECT * FROM parquet.`{path.replace('`', '``')}`")
+
+
+def stream_table(spark: SparkSession, path: str, shape: T.StructType, files_per_batch: int | None = None, **options: str) -> DataFrame:
+    """A Parquet folder as a stream of the files that arrive; replaced or deleted files are not seen again."""
+    reader = spark.readStream.schema(shape).options(**options)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
+    return reader.parquet(path)

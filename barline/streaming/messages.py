@@ -79,3 +79,18 @@ def replay(messages: DataFrame, start_ms: int, end_ms: int, correlation_id: str,
     """Good rows of messages in [start_ms, end_ms) by their time in the log, for a backfill from files."""
     inside = messages.where((F.unix_millis("timestamp") >= start_ms) & (F.unix_millis("timestamp") < end_ms))
     return split_messages(inside, correlation_id, **how)[0]
+
+
+KAFKA_SINK = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.compression.type": "snappy", "kafka.linger.ms": "100"}
+
+
+def as_messages(rows: DataFrame, schema_id: int = 0) -> DataFrame:
+    """Bars as (key, value): keyed by symbol, JSON behind the wire header of a zero byte and a schema id."""
+    header = F.lit(b"\0" + schema_id.to_bytes(4, "big"))
+    body = F.to_json(F.struct(*[F.col(f.name) for f in BAR_MESSAGE if f.name in rows.columns])).cast("binary")
+    return rows.select(F.col("symbol").cast("binary").alias("key"), F.concat(header, body).alias("value"))
+
+
+def send(rows: DataFrame, topic: str, servers: str, **options: str) -> None:
+    """Writes bars to a topic. Needs the Kafka connector on the class path."""
+    as_messages(rows).write.format("kafka").options(**KAFKA_SINK | {"kafka.bootstrap.servers": servers, "topic": topic} | options).save()

@@ -353,3 +353,31 @@ def test_screener_paging_and_open_ranges(spark):
     assert analytics.filter_screener(grid).count() == 2 and analytics.volume_range_is_open((0.0, 500.0))
     assert analytics.filter_screener(grid, gains={"gain_1w_pct": (-100.0, 20.0), "absent": (1.0, 2.0)}).count() == 1
     assert analytics.filter_screener(grid, volume=(0.0, 100.0)).count() == 1
+
+
+def test_messages_round_trip(spark):
+    rows = spark.createDataFrame([("A", 1.5, 1704205800000, 1704206000000)], "symbol string, close double, start_timestamp long, ingestion_timestamp long")
+    sent = messages.as_messages(rows, 7)
+    assert bytes(sent.first().value[:5]) == b"\0\0\0\0\x07" and bytes(sent.first().key) == b"A"
+    wire = sent.select("*", F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.lit(1).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"))
+    got = messages.split_messages(wire, "run")[0].first()
+    assert (got.symbol, got.close, got.start_timestamp, got.ingestion_timestamp) == ("A", 1.5, 1704205800000, 1704206000)
+
+
+def test_tables_by_name_path_and_stream(spark, tmp_path):
+    df = spark.createDataFrame([("A", DAY)], "symbol string, date date")
+    df.write.parquet(str(tmp_path / "t"))
+    df.createOrReplaceTempView("some_table")
+    assert storage.table_name("a", "", "b`c") == "`a`.`b``c`"
+    assert storage.catalog_table(spark, "some_table").count() == storage.path_table(spark, str(tmp_path / "t")).count() == 1
+    q = storage.stream_table(spark, str(tmp_path / "t"), df.schema, 1).writeStream.format("memory").queryName("streamed").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert spark.table("streamed").count() == 1
+
+
+def test_display_text(spark):
+    from barline.functions import text
+
+    df = spark.createDataFrame([(" a \n <b> & 'c'  ", "https://x/?a=1&b=2"), (None, "javascript:x")], "t string, u string")
+    got = df.select(text.html_escaped(text.one_line(F.col("t"))).alias("t"), text.one_line(F.col("t"), 6).alias("s"), text.safe_url(F.col("u")).alias("u")).collect()
+    assert [tuple(r) for r in got] == [("a &lt;b&gt; &amp; &#x27;c&#x27;", "a <b>…", "https://x/?a=1&amp;b=2"), ("", "", None)]
