@@ -164,14 +164,27 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
+def bounded_sample(rows: DataFrame, by: str, most: int, groups: int) -> DataFrame:
+    """Of the most frequent values of a column, groups at most, up to ``most`` rows each: those whose
+    doc_id has the smallest hash. Counts set a bound on the hash that leaves some times as many rows as are
+    needed, so that ranking them takes no large group to one task."""
+    top = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(groups).collect()
+    if not top:
+        return rows.limit(0)
+    span = 1 << 30
+    bound = F.create_map(*[F.lit(x) for r in top for x in (r[0], min(span, span * 4 * most // r["count"] + 1))])
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(span))
+    near = rows.where(F.col(by).isin([r[0] for r in top])).where(h < F.element_at(bound, F.col(by)))
+    nth = F.row_number().over(W.partitionBy(by).orderBy(h, "doc_id"))
+    return near.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
+
+
 def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """The bounded sample: (text, lang) of up to per_language documents of each language."""
-    rows = documents.where(~held_out(F.col("doc_id"), 4, 2)).where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= per_language).select("lang", "text")
-    frequent = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    found = sorted((r[1], r[0]) for r in picked.where(F.col("lang").isin(frequent)).collect())
-    return [(t, c) for t, c in found if _LETTER.search(t)]
+    rows = documents.where(~held_out(F.col("doc_id"), 4, 2)).where("lang is not null").select("doc_id", "lang", "text")
+    picked = bounded_sample(rows, "lang", per_language, MAX_LANGUAGES)
+    found = sorted((r["lang"], r["text"]) for r in picked.where("text is not null").select("lang", "text").collect())
+    return [(t, c) for c, t in found if _LETTER.search(t)]
 
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
