@@ -195,7 +195,7 @@ def next_document(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataF
     numbers = [p for p, _ in lead]
     before = {p: numbers[k - 1] for k, p in enumerate(numbers)}
     # Candidates for the first place of a range share its least doc_id; the least text among them leads.
-    heads = docs.where(F.array_contains(F.array(*[F.lit(i) for _, i in lead if i is not None]), F.col("doc_id")) if any(i is not None for _, i in lead) else F.lit(False))
+    heads = docs.where(F.col("doc_id").isin([i for _, i in lead if i is not None]))
     if lead[0][1] is None:
         heads = heads.unionByName(docs.where("doc_id is null"))
     nth = W.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "text")

@@ -21,10 +21,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import as_strided
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import textkit as tk
-from .langid import held_out
+from .langid import bounded_sample, held_out
 
 BLOCK, WIDTH, STRIDE, EMBED, FILTERS = 128, 6, 2, 8, 24
 PLACES = BLOCK // STRIDE
@@ -150,11 +150,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 32
 
 def training_rows(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list[tuple[str, int]]:
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = documents.where(~held_out(F.col("doc_id"), 3, 1)).select("doc_id", "text").join(known, "doc_id")
-    by_hash = W.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.where(~held_out(F.col("doc_id"), 3, 1)).withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= per_class)
-    rows = rows.join(F.broadcast(picked.select("doc_id").limit(per_class * 2)), "doc_id", "left_semi")
-    return sorted((r[0] or "", int(r[1])) for r in rows.select("text", "quality").collect())
+    picked = bounded_sample(known.where(~held_out(F.col("doc_id"), 3, 1)), "quality", per_class, 2)
+    rows = documents.select("doc_id", "text").join(F.broadcast(picked.limit(per_class * 2)), "doc_id")
+    return sorted((r["text"] or "", int(r["quality"])) for r in rows.select("text", "quality").collect())
 
 
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Network | None:
