@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import textkit as tk
-from .shared import bytes_of
+from .shared import bounded_batches, bytes_of
 
 CELLS = 24
 HASHES = 3
@@ -181,6 +181,7 @@ def likeness(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nd
 def next_document(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(part, wrapped, doc_id, text) dealt and sorted so that each row but those marked ``wrapped`` has
     the next document in the row after it, in the same task."""
+    bounded_batches(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     parts = int(min(max(bytes_of(docs) // range_bytes, 4), 4096))
     cuts = docs.where("doc_id is not null").stat.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)

@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from . import textkit as tk
+from .shared import bounded_batches
 
 DIM = 4096
 PER_LANGUAGE = 700
@@ -194,6 +195,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
 
 def identify(documents: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, lang_pred and score of each document."""
+    bounded_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     shape = documents.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import textkit as tk
+from .shared import bounded_batches
 
 LEAST = 0.8
 
@@ -115,6 +116,7 @@ MATCH = "doc_id long, license string, dice double, unit string, line long, n_mat
 def license_scan(documents: DataFrame, least: float = LEAST, texts: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """(doc_id, license, dice, unit, line, n_matches) of each document: its best match, and how many of
     its lines match a template."""
+    bounded_batches(documents.sparkSession)
     templates = documents.sparkSession.sparkContext.broadcast(Templates.of(texts or TEMPLATES))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import textkit as tk
 from .langid import bounded_sample, held_out
+from .shared import bounded_batches
 
 BLOCK, WIDTH, STRIDE, EMBED, FILTERS = 128, 6, 2, 8, 24
 PLACES = BLOCK // STRIDE
@@ -162,6 +163,7 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
 
 def score_documents(documents: DataFrame, net: Network | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep and score of each document."""
+    bounded_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(net)
     shape = documents.select(*keep).schema.add("score", "double")
 

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textkit as tk
+from .shared import bounded_batches, bytes_of
 
 BUCKET_BYTES = 12 << 20
 ENTRY = "bucket int, keys binary, gaps binary, rids binary, base binary, ords binary"
@@ -36,8 +37,6 @@ _FOUND = pa.schema([("rid", pa.int64()), ("at", pa.binary())])
 
 
 def buckets_for(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
-    from .shared import bytes_of
-
     return int(min(max(bytes_of(docs) // bucket_bytes, 8), 1 << 22))
 
 
@@ -277,6 +276,7 @@ def find(docs: DataFrame, keyed: Callable[[pa.RecordBatch], Iterator[tuple]], mo
 def with_row_id(docs: DataFrame, with_row: bool = False) -> DataFrame:
     """rid names a row by its doc_id and text: rows that are equal in both share it. with_row adds ``row``,
     a struct of all columns but text."""
+    bounded_batches(docs.sparkSession)
     rest = [F.struct(*[c for c in docs.columns if c != "text"]).alias("row")] if with_row else []
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"), *rest)
 

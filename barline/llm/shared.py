@@ -8,6 +8,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 UNKNOWN = 1 << 50
+#: Rows of text that go to a Python worker at once.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches of whole texts small; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-PIECE_BYTES = 3 << 20
+PIECE_BYTES = 2 << 20
 _BASE = 0x9E6C63D0676A9A9B  # odd and 3 modulo 8, so that its powers have a long period
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
@@ -29,32 +29,55 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n; kept and grown on demand."""
+_STEP = 4096
+
+
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < _STEP, and of every _STEP-th i up to n, grown on demand."""
     key = f"{base:x}"
-    if key not in _tables or len(_tables[key][0]) < n:
-        size = max(n, 1 << 16)
+    high = n // _STEP + 2
+    if key not in _tables or len(_tables[key][1]) < high:
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, U64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=U64))
+            for first, size in ((b, _STEP), (pow(b, _STEP, 1 << 64), max(high, 256))):
+                p = np.full(size, first, U64)
+                p[0] = 1
+                out.append(np.cumprod(p, dtype=U64))
         _tables[key] = tuple(out)
-    p, q = _tables[key]
-    return p[:n], q[:n]
+    return _tables[key]
+
+
+def _prefix(values: np.ndarray, base: int, coded: bool) -> np.ndarray:
+    """Prefix sums of value[k] * base**k, block by block; coded values are bytes and stand for their codes."""
+    n = len(values)
+    low, high, _, _ = _powers(n, base)
+    out = np.zeros(n + 1, U64)
+    width = 64 * _STEP
+    for at in range(0, n, width):
+        part = values[at : at + width]
+        rows = -(-len(part) // _STEP)
+        power = (high[at // _STEP : at // _STEP + rows, None] * low[None, :]).ravel()[: len(part)]
+        power *= _BYTE[part] if coded else part
+        to = out[at + 1 : at + 1 + len(part)]
+        np.cumsum(power, out=to)
+        to += out[at]
+    return out
+
+
+def _shift_back(total: np.ndarray, start: np.ndarray, n: int, base: int) -> np.ndarray:
+    """total * base**-start."""
+    _, _, low, high = _powers(n, base)
+    return total * low[start % _STEP] * high[start // _STEP]
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """P with P[j] - P[i] = sum of code(data[k]) * base**k over i <= k < j."""
-    out = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE[data] * powers(len(data))[0], out=out[1:])
-    return out
+    return _prefix(data, _BASE, True)
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of data[start:end], the same wherever equal bytes stand; the length counts too."""
-    inv = powers(len(prefix))[1]
-    return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(U64))
+    return mix(_shift_back(prefix[end] - prefix[start], start, len(prefix), _BASE) + (end - start).astype(U64))
 
 
 @dataclass
@@ -147,16 +170,13 @@ _WORD = 0xD1342543DE82EF95  # base of sequences of word names
 
 def seq_prefix(names: np.ndarray) -> np.ndarray:
     """Prefix sums for hashes of word sequences, as prefix_hash() for bytes."""
-    out = np.zeros(len(names) + 1, U64)
-    np.cumsum(names * powers(len(names), _WORD)[0], out=out[1:])
-    return out
+    return _prefix(names, _WORD, False)
 
 
 def seq_hash(prefix: np.ndarray, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
     """Hash of the names at[i] .. at[i] + length - 1."""
-    inv = powers(len(prefix), _WORD)[1]
     size = np.asarray(length)
-    return mix((prefix[at + size] - prefix[at]) * inv[at] + size.astype(U64))
+    return mix(_shift_back(prefix[at + size] - prefix[at], at, len(prefix), _WORD) + size.astype(U64))
 
 
 def doc_of(bounds: np.ndarray) -> np.ndarray:
@@ -164,28 +184,6 @@ def doc_of(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def window_starts(bounds: np.ndarray, width: int) -> np.ndarray:
-    """Starts of all windows of width items that lie in one document."""
-    n = int(bounds[-1])
-    ok = np.zeros(n + 1, bool)
-    ok[:n] = True
-    for k in range(len(bounds) - 1) if len(bounds) < 64 else ():
-        ok[max(int(bounds[k]), int(bounds[k + 1]) - width + 1) : int(bounds[k + 1])] = False
-    if len(bounds) >= 64:
-        end = np.repeat(bounds[1:], np.diff(bounds))
-        return np.flatnonzero(np.arange(n) + width <= end)
-    return np.flatnonzero(ok[:n])
-
-
-def runs_of(covered: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Number of maximal runs of True in each document."""
-    first = covered.copy()
-    first[1:] &= ~covered[:-1]
-    full = offs[:-1] < offs[1:]
-    first[offs[:-1][full]] = covered[offs[:-1][full]]
-    return np.add.reduceat(np.append(first, False).astype(np.int64), offs[:-1]) * full if len(offs) > 1 else np.zeros(0, np.int64)
-
-
 def sums_of(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Sum of each document's values; 0 where it has none."""
     total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
@@ -215,7 +213,3 @@ def ragged_binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     offs = ((bounds - bounds[0]) * size).astype(np.int32)
     body = np.ascontiguousarray(values[bounds[0] : bounds[-1]])
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offs), pa.py_buffer(body)])
-
-
-def utf8(col: pa.Array) -> pa.Array:
-    return col.fill_null("") if col.null_count else col
