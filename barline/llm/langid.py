@@ -29,7 +29,7 @@ from . import textkit as tk
 from .shared import bounded_batches
 
 DIM = 4096
-PER_LANGUAGE = 700
+PER_LANGUAGE = 400
 MAX_LANGUAGES = 64
 UNKNOWN = "und"
 
@@ -85,19 +85,25 @@ def linear_svm(x: np.ndarray, y: np.ndarray, strength: float = 1e-4, rounds: int
 
     Accelerated gradient descent on the scaled problem; classes weigh equally.
     """
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
-    v = np.ones(x.shape[1], np.float32)
+
+    def up(errors: np.ndarray) -> np.ndarray:  # weights, then the bias, whose feature is always 1
+        return np.append(errors @ x, errors.sum()).astype(np.float32)
+
+    def down(w: np.ndarray) -> np.ndarray:
+        return x @ w[:-1] + w[-1]
+
+    v = np.ones(x.shape[1] + 1, np.float32)
     for _ in range(8):  # largest curvature, by the power method
-        v = x.T @ (share * (x @ v))
+        v = up(share * down(v))
         v /= np.linalg.norm(v) + 1e-12
-    step = 1 / (2 * float(np.linalg.norm(x.T @ (share * (x @ v)))) + strength)
-    w, ahead = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
+    step = np.float32(1 / (2 * float(np.linalg.norm(up(share * down(v)))) + strength))
+    w, ahead = np.zeros_like(v), np.zeros_like(v)
     for k in range(rounds):
-        slack = np.maximum(1 - y * (x @ ahead), 0)
-        grad = -2 * (x.T @ (share * slack * y)) + strength * ahead
+        slack = np.maximum(1 - y * down(ahead), 0)
+        grad = -2 * up(share * slack * y) + np.float32(strength) * ahead
         new = ahead - step * grad
-        ahead = new + (k / (k + 3)) * (new - w)
+        ahead = new + np.float32(k / (k + 3)) * (new - w)
         w = new
     return w
 
@@ -145,18 +151,21 @@ def train(texts: list[str], langs: list[str]) -> Model | None:
     families = sorted({family_of(c) for c in languages})
     family = np.array([families.index(family_of(c)) for c in languages])
     y = np.array([languages.index(c) for c in langs])
-    scale = 1 / (x.std(0) + 1e-4)  # frequent trigrams vary more; folded back into the weights below
-    xs = x * scale / np.sqrt(DIM)
+    # Frequent trigrams vary more; the scale is folded back into the weights below.
+    mean = x.mean(0)
+    deviation = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x) / len(x) - mean * mean, 0))
+    scale = (1 / (deviation + 1e-4) / np.sqrt(DIM)).astype(np.float32)
+    x *= scale
     machines, pairs = [], []
     for f in range(len(families)):
-        machines.append(linear_svm(xs, np.where(family[y] == f, 1, -1).astype(np.float32)) if len(families) > 1 else np.zeros(DIM + 1, np.float32))
+        machines.append(linear_svm(x, np.where(family[y] == f, 1, -1).astype(np.float32)) if len(families) > 1 else np.zeros(DIM + 1, np.float32))
     for a, b in combinations(range(len(languages)), 2):
         if family[a] == family[b]:
             some = (y == a) | (y == b)
-            machines.append(linear_svm(xs[some], np.where(y[some] == a, 1, -1).astype(np.float32)))
+            machines.append(linear_svm(x[some], np.where(y[some] == a, 1, -1).astype(np.float32)))
             pairs.append((a, b))
     weights = np.stack(machines, 1).astype(np.float32)
-    weights[:-1] *= (scale / np.sqrt(DIM))[:, None]
+    weights[:-1] *= scale[:, None]
     return Model(languages, families, weights, pairs, family)
 
 
