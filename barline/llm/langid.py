@@ -6,8 +6,8 @@ lower-cased text with everything but letters folded into one blank, as shares of
 document's margin is the mean of its trigrams' weights, over the whole text.
 
 Training uses a bounded sample: at most ``per_language`` documents of each language, chosen by a hash
-of doc_id, and at most ``MAX_LANGUAGES`` languages, the most frequent ones.  Everything else covers all
-rows.
+of doc_id.  All languages are learnt; features stay sparse and are made dense block by block.  Everything
+else covers all rows.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with nothing to learn
 from, all is ``und``; with one language, all other texts get it; repeated rows get equal rows; extra
@@ -30,7 +30,8 @@ from .shared import bounded_batches
 
 DIM = 4096
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+#: Bytes of dense training features that are held; those beyond are made anew in each round. Any choice is right.
+HELD = 64 << 20
 UNKNOWN = "und"
 
 # Families of ISO 639-1 codes; a code that is not here is a family of its own.
@@ -80,28 +81,61 @@ def pieces(col: pa.Array, rows: int = 512) -> Iterator[tk.Piece]:
             yield tk.Piece(p.data, p.offs, slice(p.rows.start + at, p.rows.stop + at))
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, strength: float = 1e-4, rounds: int = 150) -> np.ndarray:
-    """Weights and bias of a linear support vector machine with squared hinge loss; y is -1 or 1.
+@dataclass
+class Block:
+    """Features of some training rows of one family: columns and values of each row, and its language."""
 
-    Accelerated gradient descent on the scaled problem; classes weigh equally.
-    """
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
+    lang: np.ndarray
+    size: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+
+    def dense(self) -> np.ndarray:
+        x = np.zeros((len(self.size), DIM), np.float32)
+        x[np.repeat(np.arange(len(self.size)), self.size), self.column] = self.value
+        return x
 
-    def up(errors: np.ndarray) -> np.ndarray:  # weights, then the bias, whose feature is always 1
-        return np.append(errors @ x, errors.sum()).astype(np.float32)
 
-    def down(w: np.ndarray) -> np.ndarray:
-        return x @ w[:-1] + w[-1]
+def blocks_of(texts: list[str], lang: np.ndarray) -> list[Block]:
+    out, at = [], 0
+    for p in pieces(pa.array(texts, pa.large_string())):
+        x = features(p)
+        row, column = np.nonzero(x)
+        out.append(Block(lang[at : at + p.n], np.bincount(row, minlength=p.n), column.astype(np.uint16), x[row, column]))
+        at += p.n
+    return out
 
-    v = np.ones(x.shape[1] + 1, np.float32)
+
+def linear_svms(blocks: list[Block], signs: np.ndarray, strength: float = 1e-4, rounds: int = 150) -> np.ndarray:
+    """Weights and bias, by column, of linear support vector machines with squared hinge loss; signs has
+    1, -1 or 0, for none, of each language in each machine.
+
+    Accelerated gradient descent on the scaled problem; classes weigh equally.
+    """
+    rows = np.bincount(np.concatenate([b.lang for b in blocks]), minlength=len(signs))
+    share = np.zeros(signs.shape, np.float32)
+    for side in (1, -1):
+        share += (signs == side) * (0.5 / np.maximum(rows @ (signs == side), 1)).astype(np.float32)
+    held = [b.dense() for b in blocks[: max(HELD // (512 * DIM * 4), 1)]]
+
+    def through(v: np.ndarray, errors) -> np.ndarray:  # weights, then the bias, whose feature is always 1
+        out = np.zeros_like(v)
+        for k, b in enumerate(blocks):
+            x = held[k] if k < len(held) else b.dense()
+            e = errors(x @ v[:-1] + v[-1], share[b.lang], signs[b.lang])
+            out[:-1] += x.T @ e
+            out[-1] += e.sum(0)
+        return out
+
+    v = np.ones((DIM + 1, signs.shape[1]), np.float32)
     for _ in range(8):  # largest curvature, by the power method
-        v = up(share * down(v))
-        v /= np.linalg.norm(v) + 1e-12
-    step = np.float32(1 / (2 * float(np.linalg.norm(up(share * down(v)))) + strength))
+        v = through(v, lambda m, share, _: share * m)
+        v /= np.linalg.norm(v, axis=0) + np.float32(1e-12)
+    curvature = np.linalg.norm(through(v, lambda m, share, _: share * m), axis=0)
+    step = (1 / (2 * curvature + strength)).astype(np.float32)
     w, ahead = np.zeros_like(v), np.zeros_like(v)
     for k in range(rounds):
-        slack = np.maximum(1 - y * down(ahead), 0)
-        grad = -2 * up(share * slack * y) + np.float32(strength) * ahead
+        grad = -2 * through(ahead, lambda m, share, y: share * np.maximum(1 - y * m, 0) * y) + np.float32(strength) * ahead
         new = ahead - step * grad
         ahead = new + np.float32(k / (k + 3)) * (new - w)
         w = new
@@ -146,25 +180,35 @@ class Model:
 def train(texts: list[str], langs: list[str]) -> Model | None:
     if not texts:
         return None
-    x = np.concatenate([features(p) for p in pieces(pa.array(texts, pa.large_string()))])
     languages = sorted(set(langs))
     families = sorted({family_of(c) for c in languages})
     family = np.array([families.index(family_of(c)) for c in languages])
-    y = np.array([languages.index(c) for c in langs])
+    code = {c: k for k, c in enumerate(languages)}
+    y = np.array([code[c] for c in langs])
+    of_family = [np.flatnonzero(family[y] == f) for f in range(len(families))]
+    blocks = [blocks_of([texts[k] for k in rows], y[rows]) for rows in of_family]
     # Frequent trigrams vary more; the scale is folded back into the weights below.
-    mean = x.mean(0)
-    deviation = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x) / len(x) - mean * mean, 0))
+    total, squares = np.zeros(DIM), np.zeros(DIM)
+    for b in sum(blocks, []):
+        total += np.bincount(b.column, b.value, DIM)
+        squares += np.bincount(b.column, b.value * b.value, DIM)
+    mean = total / len(texts)
+    deviation = np.sqrt(np.maximum(squares / len(texts) - mean * mean, 0))
     scale = (1 / (deviation + 1e-4) / np.sqrt(DIM)).astype(np.float32)
-    x *= scale
-    machines, pairs = [], []
+    for b in sum(blocks, []):
+        b.value *= scale[b.column]
+    machines, pairs = [np.zeros((DIM + 1, 1), np.float32)], []
+    if len(families) > 1:
+        machines = [linear_svms(sum(blocks, []), np.where(family[:, None] == np.arange(len(families)), 1, -1).astype(np.int8))]
     for f in range(len(families)):
-        machines.append(linear_svm(x, np.where(family[y] == f, 1, -1).astype(np.float32)) if len(families) > 1 else np.zeros(DIM + 1, np.float32))
-    for a, b in combinations(range(len(languages)), 2):
-        if family[a] == family[b]:
-            some = (y == a) | (y == b)
-            machines.append(linear_svm(x[some], np.where(y[some] == a, 1, -1).astype(np.float32)))
-            pairs.append((a, b))
-    weights = np.stack(machines, 1).astype(np.float32)
+        inside = list(combinations(np.flatnonzero(family == f).tolist(), 2))
+        if inside:
+            signs = np.zeros((len(languages), len(inside)), np.int8)
+            for k, (a, b) in enumerate(inside):
+                signs[a, k], signs[b, k] = 1, -1
+            machines.append(linear_svms(blocks[f], signs))
+            pairs += inside
+    weights = np.concatenate(machines, 1)
     weights[:-1] *= scale[:, None]
     return Model(languages, families, weights, pairs, family)
 
@@ -174,17 +218,17 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, by: str, most: int, groups: int) -> DataFrame:
-    """Of the most frequent values of a column, groups at most, up to ``most`` rows each: those whose
+def bounded_sample(rows: DataFrame, by: str, most: int, groups: int | None = None) -> DataFrame:
+    """Up to ``most`` rows of each value of a column, or of its most frequent ``groups`` values: those whose
     doc_id has the smallest hash. Counts set a bound on the hash that leaves some times as many rows as are
     needed, so that ranking them takes no large group to one task."""
-    top = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(groups).collect()
-    if not top:
-        return rows.limit(0)
+    top = rows.where(F.col(by).isNotNull()).groupBy(by).count()
+    if groups is not None:
+        top = top.orderBy(F.desc("count"), by).limit(groups)
     span = 1 << 30
-    bound = F.create_map(*[F.lit(x) for r in top for x in (r[0], min(span, span * 4 * most // r["count"] + 1))])
+    bound = F.least(F.lit(span), F.floor(F.lit(float(span * 4 * most)) / F.col("count")) + 1)
     h = F.pmod(F.xxhash64("doc_id"), F.lit(span))
-    near = rows.where(F.col(by).isin([r[0] for r in top])).where(h < F.element_at(bound, F.col(by)))
+    near = rows.join(F.broadcast(top.select(by, bound.alias("bound"))), by).where(h < F.col("bound")).drop("bound")
     nth = F.row_number().over(W.partitionBy(by).orderBy(h, "doc_id"))
     return near.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
 
@@ -192,7 +236,7 @@ def bounded_sample(rows: DataFrame, by: str, most: int, groups: int) -> DataFram
 def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """The bounded sample: (text, lang) of up to per_language documents of each language."""
     rows = documents.where(~held_out(F.col("doc_id"), 4, 2)).where("lang is not null").select("doc_id", "lang", "text")
-    picked = bounded_sample(rows, "lang", per_language, MAX_LANGUAGES)
+    picked = bounded_sample(rows, "lang", per_language)
     found = sorted((r["lang"], r["text"]) for r in picked.where("text is not null").select("lang", "text").collect())
     return [(t, c) for c, t in found if _LETTER.search(t)]
 
