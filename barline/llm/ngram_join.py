@@ -20,8 +20,11 @@ inside the window that the triangle inequality leaves, |d(x, pivot) - d(y, pivot
 more is reached, one of the points left over becomes the pivot of the next round.  A region yields the
 links of a spanning forest, never all pairs of a group; components are then merged over all regions.
 
+Numbers of links are exact: all points of a region whose sizes allow a link are compared, block by block,
+and a linked pair counts in the region of its smallest common pivot only, as often as there are copies.
+
 Defined results: a text without words, or null, has no shingles and is linked with nothing, its
-component is its own doc_id; repeated rows are copies; a null doc_id is never a component's id unless
+component is its own doc_id; a copy is a link; repeated rows are copies; a null doc_id is never a component's id unless
 all its documents lack one; an empty table gives an empty result; other columns are not read.
 """
 
@@ -46,7 +49,9 @@ EXTRA = 8
 _BASE = "doc_id long, rid long, n_shingles long, sid long, frequent long, weight long"
 _PREFIX = "bucket int, keys binary, counts binary, sids binary, sizes binary"
 _PAIRS = "home int, sids binary, pivots binary"
-_MEMBER = "home int, pivot long, sid long, shingles binary"
+_MEMBER = "home int, pivot long, sid long, shingles binary, pivots binary, weight long"
+#: Rows and columns of a block of overlaps, and the entries that are expanded at once. Any choice is right.
+BLOCK, COLUMNS, EXPAND = 256, 4096, 4_000_000
 
 
 def shingle_sets(piece: tk.Piece, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -256,9 +261,96 @@ def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[i
     return links
 
 
+class Overlaps:
+    """Sizes of the intersections of sets, by blocks: keys that many sets have by products of 0-1 matrices,
+    others by the lists of the sets that have them. Keys of a single set are left out, so a set's overlap with
+    itself is not given."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        n, size = len(sets), np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(n), size)
+        _, key, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        heavy = often > max(n // 16, 1)
+        column = np.cumsum(heavy) - 1
+        some = heavy[key]
+        column, at = column[key[some]], row[some]
+        self.chunks = []
+        for c in range(0, int(heavy.sum()), COLUMNS):
+            here = (column >= c) & (column < c + COLUMNS)
+            self.chunks.append((at[here], column[here] - c))
+        some = (often[key] > 1) & ~some
+        self.row, self.key, self.often = row[some], key[some], often
+        by = np.argsort(self.key, kind="stable")
+        self.rows_of, self.first = self.row[by], np.searchsorted(self.key[by], np.arange(len(often)))
+
+    def block(self, a: int, b: int, c: int, d: int) -> np.ndarray:
+        """Of sets a to b, by row, with sets c to d."""
+        out = np.zeros((b - a, d - c), np.int64)
+        for rows, columns in self.chunks:
+            wide = int(columns.max()) + 1
+
+            def dense(x: int, y: int) -> np.ndarray:
+                i, j = np.searchsorted(rows, (x, y))
+                m = np.zeros((y - x, wide), np.float32)
+                m[rows[i:j] - x, columns[i:j]] = 1
+                return m
+
+            left = dense(a, b)
+            for x in range(c, d, BLOCK):
+                y = min(x + BLOCK, d)
+                out[:, x - c : y - c] += (left @ dense(x, y).T).astype(np.int64)
+        i, j = np.searchsorted(self.row, (a, b))
+        upto = np.concatenate(([0], np.cumsum(self.often[self.key[i:j]])))
+        while i < j:
+            k = i + max(int(np.searchsorted(upto - upto[0], EXPAND, "right")) - 1, 1)
+            k = min(k, j)
+            key, many = self.key[i:k], self.often[self.key[i:k]]
+            nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            other = self.rows_of[np.repeat(self.first[key], many) + nth]
+            mine = np.repeat(self.row[i:k], many)
+            here = (other >= c) & (other < d)
+            out += np.bincount((mine[here] - a) * (d - c) + other[here] - c, minlength=out.size).reshape(out.shape)
+            upto, i = upto[k - i :], k
+        return out
+
+
+def region_counts(sets: list[np.ndarray], weight: np.ndarray, smaller: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """How many documents each set is linked with, by pairs of different sets that have no smaller pivot
+    in common; weight has the documents of each set."""
+    size = np.array([len(s) for s in sets])
+    order = np.argsort(size, kind="stable")
+    size, mine = size[order], weight[order]
+    common, other = Overlaps([sets[k] for k in order]), Overlaps([smaller[k] for k in order])
+    counts = np.zeros(len(sets), np.int64)
+    for a in range(0, len(sets), BLOCK):
+        b = min(a + BLOCK, len(sets))
+        d = int(np.searchsorted(size * percent, size[b - 1] * 100, "right"))
+        both = common.block(a, b, a, d)
+        linked = 100 * both >= percent * (size[a:b, None] + size[None, a:d] - both)
+        linked &= np.arange(a, b)[:, None] < np.arange(a, d)[None, :]
+        if linked.any():
+            linked &= other.block(a, b, a, d) == 0
+            counts[a:b] += linked @ mine[a:d]
+            counts[a:d] += mine[a:b] @ linked
+    out = np.zeros_like(counts)
+    out[order] = counts
+    return out
+
+
 def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rid, n_shingles, sid) of each document, and links (a, b) between sids of a spanning forest.
 
+    Documents with one sid have equal sets; links between others that a spanning forest leaves out join
+    points that it connects already.
+    """
+    base, found = _join(documents, width, percent, False)
+    return base, found.where("b is not null").select("a", "b")
+
+
+def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, rid, n_shingles, sid) of each document, and rows (a, b, n): links between sids of a spanning
+    forest and, if counted, rows without b of how many documents with other sets a is linked with.
+
     Documents with one sid have equal sets; links between others that a spanning forest leaves out join
     points that it connects already.
     """
@@ -272,12 +364,12 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
     buckets = repeats.buckets_for(docs)
     # One document stands for each set. All joins read the same columns of docs, so its texts are
     # shuffled once.
-    points = base.where("sid is not null").groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n_shingles").alias("n"))
+    points = base.where("sid is not null").groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n_shingles").alias("n"), F.count("*").alias("weight"))
     shared = _shared_prefixes(docs.join(points.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
-    likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid")
+    likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid", "weight")
     likely = cut(likely)
-    sent = _send_prefixes(docs.join(likely, "rid").select("rid", "text"), frequent, buckets, width, percent)
-    members = _cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots")
+    sent = _send_prefixes(docs.join(likely.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
+    members = _cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots", "weight")
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,9 +380,11 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
                 for d, k in enumerate(range(piece.rows.start, piece.rows.stop)):
                     body = keys[bounds[d] : bounds[d + 1]].tobytes()
                     pivots = np.frombuffer(batch.column("pivots")[k].as_py(), np.int64)
-                    rows += [(int(h), int(p), int(sid[d]), body) for h, p in zip(_home(pivots, homes), pivots, strict=True)]
+                    weight = batch.column("weight")[k].as_py()
+                    # Pivots ascend: those before each one are the smaller ones.
+                    rows += [(int(h), int(p), int(sid[d]), body, pivots[:i].tobytes() if counted else b"", weight) for i, (h, p) in enumerate(zip(_home(pivots, homes), pivots, strict=True))]
                 cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["home", "pivot", "sid", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=[x.split()[0] for x in _MEMBER.split(", ")])
 
     def link(table: pa.Table) -> pa.Table:
         pivot, sid = np.asarray(table.column("pivot")), np.asarray(table.column("sid"))
@@ -299,9 +393,9 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
         new = np.ones(len(sid), bool)
         new[1:] = (pivot[1:] != pivot[:-1]) | (sid[1:] != sid[:-1])
         by, pivot, sid = by[new], pivot[new], sid[new]
-        body = table.column("shingles")
+        body, smaller, weight = table.column("shingles"), table.column("pivots"), np.asarray(table.column("weight"))
         head = np.flatnonzero(np.append(True, pivot[1:] != pivot[:-1]))
-        left, right = [], []
+        left, right, number = [], [], []
         for a, b in zip(head, np.append(head[1:], len(pivot)), strict=True):
             if b - a < 2:
                 continue
@@ -311,31 +405,45 @@ def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCE
             for x, y in region_links(sets, percent):
                 left.append(sid[order[x]])
                 right.append(sid[order[y]])
-        return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                number.append(None)
+            if counted:
+                before = [np.frombuffer(smaller[int(by[k])].as_py(), np.int64) for k in order]
+                counts = region_counts(sets, weight[by[order]], before, percent)
+                for x in np.flatnonzero(counts).tolist():
+                    left.append(sid[order[x]])
+                    right.append(None)
+                    number.append(int(counts[x]))
+        return pa.table([pa.array(x, pa.int64()) for x in (left, right, number)], names=["a", "b", "n"])
 
     homes = buckets * 2
-    regions = docs.join(members, "rid").select("rid", "text", "pivots").mapInArrow(ship, _MEMBER)
-    return base, regions.groupBy("home").applyInArrow(link, "a long, b long")
+    regions = docs.join(members, "rid").select("rid", "text", "pivots", "weight").mapInArrow(ship, _MEMBER)
+    return base, cut(regions.groupBy("home").applyInArrow(link, "a long, b long, n long"))
 
 
-def jaccard_components(documents: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, rid, n_shingles, component, component_id) of each document; component names it by a set,
-    null without shingles, component_id by its smallest doc_id."""
-    base, links = jaccard_links(documents, width, percent)
-    labels = components(links).withColumnRenamed("node", "sid")
+def jaccard_components(documents: DataFrame, width: int = WORDS, percent: int = PERCENT, counted: bool = True) -> DataFrame:
+    """(doc_id, rid, n_shingles, component, component_id, n_links) of each document; component names it by a
+    set, null without shingles, component_id by its smallest doc_id; n_links is the number of other documents
+    that it is linked with, left out unless counted."""
+    base, found = _join(documents, width, percent, counted)
+    labels = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "sid")
     # One row for each distinct set, then each document takes over what its set has.
-    points = base.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first"))
+    points = base.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     points = points.join(labels, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = points.groupBy("component").agg(F.min("first").alias("component_id"))
-    points = points.join(least, "component").select("sid", "component", "component_id")
+    points = points.join(least, "component").select("sid", "component", "component_id", "copies")
+    extra = []
+    if counted:
+        others = found.where("b is null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others"))
+        points = points.join(others, "sid", "left")
+        extra = [F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links")]
     joined = base.join(points, "sid", "left")
     own = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "rid", "n_shingles", "component", own.alias("component_id"))
+    return joined.select("doc_id", "rid", "n_shingles", "component", own.alias("component_id"), *extra)
 
 
 def one_of_each(documents: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without those that a smaller doc_id of their component stands for."""
-    found = jaccard_components(documents, width, percent).where("component is not null")
+    found = jaccard_components(documents, width, percent, False).where("component is not null")
     found = cut(found.select("component", "doc_id", "rid"))
     lead = found.groupBy("component").agg(F.min(F.struct("doc_id", "rid")).alias("lead")).select(F.col("lead.rid").alias("rid"))
     # Rows that repeat a leading row are few: they are set apart and made one.
