@@ -22,14 +22,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from . import textkit as tk
 from .shared import bounded_batches
 
 DIM = 4096
-PER_LANGUAGE = 400
+PER_LANGUAGE = 700
 #: Bytes of dense training features that are held; those beyond are made anew in each round. Any choice is right.
 HELD = 64 << 20
 UNKNOWN = "und"
@@ -52,7 +51,6 @@ _FOLD = np.zeros(256, np.int64)
 _FOLD[0x61:0x7B] = np.arange(1, 27)
 _FOLD[0x41:0x5B] = np.arange(1, 27)
 _FOLD[0x80:] = np.arange(27, 155)
-_LETTER = regex.compile(r"\p{L}")
 
 
 def family_of(lang: str) -> str:
@@ -233,12 +231,17 @@ def bounded_sample(rows: DataFrame, by: str, most: int, groups: int | None = Non
     return near.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
 
 
+def has_letter() -> Column:
+    """Whether text has a letter; a null one has none."""
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """The bounded sample: (text, lang) of up to per_language documents of each language."""
-    rows = documents.where(~held_out(F.col("doc_id"), 4, 2)).where("lang is not null").select("doc_id", "lang", "text")
+    rows = documents.where(~held_out(F.col("doc_id"), 4, 2)).where("lang is not null").where(has_letter()).select("doc_id", "lang", "text")
     picked = bounded_sample(rows, "lang", per_language)
-    found = sorted((r["lang"], r["text"]) for r in picked.where("text is not null").select("lang", "text").collect())
-    return [(t, c) for c, t in found if _LETTER.search(t)]
+    found = sorted((r["lang"], r["text"]) for r in picked.select("lang", "text").collect())
+    return [(t, c) for c, t in found]
 
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
@@ -271,7 +274,7 @@ def identify(documents: DataFrame, model: Model | None, keep: tuple[str, ...] =
             cols = [batch.column(k) for k in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("identify_letters")
+    letters = has_letter().alias("identify_letters")
     return documents.select(*keep, F.col("text").alias("identify_text"), letters).mapInArrow(label, shape)
 
 

@@ -29,3 +29,12 @@ def test_blocks_that_are_not_held_give_the_same_model(monkeypatch):
     monkeypatch.setattr(langid, "HELD", 0)
     two = langid.train([t for _, t, _ in docs], ["en", "de", "fr"] * 400)
     assert (one.weights == two.weights).all() and one.pairs == [(0, 1)]
+
+
+def test_rows_without_a_letter_do_not_use_up_the_sample(spark):
+    docs = [(k, ("le chat noir" if k % 50 == 7 else None if k % 2 else "12 !"), "fr") for k in range(400)] + [(500 + k, "the dog runs", "en") for k in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    want = df.where(~langid.held_out(langid.F.col("doc_id"), 4, 2)).where("text = 'le chat noir'").count()
+    assert want > 2
+    found = langid.training_rows(df, 3)
+    assert [c for _, c in found] == ["en"] * 3 + ["fr"] * 3
