@@ -231,9 +231,9 @@ def bounded_sample(rows: DataFrame, by: str, most: int, groups: int | None = Non
     return near.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
 
 
-def has_letter() -> Column:
-    """Whether text has a letter; a null one has none."""
-    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+def has_letter(text: str = "text") -> Column:
+    """Whether a text has a letter; a null one has none."""
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
 
 def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:

@@ -15,10 +15,10 @@ from barline.llm.shared import shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: those with no text or no letter."""
+    """Documents with no text or no letter go, and no others, even if there is no language to learn."""
     marked = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = langid.identify(marked, langid.fit(docs), ("row",))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return found.where(langid.has_letter("row.text")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

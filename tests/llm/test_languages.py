@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from barline.llm import langid
 
 
@@ -38,3 +39,10 @@ def test_rows_without_a_letter_do_not_use_up_the_sample(spark):
     assert want > 2
     found = langid.training_rows(df, 3)
     assert [c for _, c in found] == ["en"] * 3 + ["fr"] * 3
+
+
+def test_the_stage_keeps_texts_when_nothing_can_be_learnt(spark):
+    docs = [(1, "the dog", None), (2, "le chien", None), (3, "12 !", None), (4, None, None), (5, "", None), (None, "été", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = corpus_pipeline.language_id(spark, df, "")
+    assert got.columns == df.columns and sorted(r.text for r in got.collect()) == ["le chien", "the dog", "été"]
