@@ -21,9 +21,9 @@ def recent(df: DataFrame, as_of: dt.date | Column, days: int, date: str = "date"
 
 
 def since_latest(df: DataFrame, days: int, date: str = "date") -> DataFrame:
-    """Rows from days before the latest date of df on."""
-    latest = df.agg(F.max(date).alias("__latest"))
-    return df.join(F.broadcast(latest), F.col(date) >= F.date_sub("__latest", days)).drop("__latest")
+    """Rows from days before the latest date of df on. The date is a scalar, so partitions are pruned."""
+    latest = df.agg(F.max(date)).scalar()
+    return df.where(F.col(date) >= F.date_sub(latest, days))
 
 
 def with_lineage(df: DataFrame, run_id: str | None = None) -> DataFrame:

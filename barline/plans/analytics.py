@@ -37,9 +37,8 @@ def _priced(fact: DataFrame) -> DataFrame:
 
 
 def latest_day(fact: DataFrame, date: str = "date") -> DataFrame:
-    """Rows of the latest date: a scalar that is broadcast, no shuffle of the fact."""
-    newest = fact.agg(F.max(date).alias("__newest"))
-    return fact.join(F.broadcast(newest), F.col(date) == F.col("__newest")).drop("__newest")
+    """Rows of the latest date: a scalar in a filter, so other partitions are not read."""
+    return fact.where(F.col(date) == fact.agg(F.max(date)).scalar())
 
 
 def top_movers(fact: DataFrame, tickers: DataFrame, n: int = 20, losers: bool = False) -> DataFrame:
@@ -192,8 +191,8 @@ def page(rows: DataFrame, sort: str, number: int = 1, size: int = PAGE_SIZES[1],
 
 def watchlist_quotes(fact: DataFrame, tickers: DataFrame, symbols: Sequence[str], days: int = 150) -> DataFrame:
     """The latest session of each symbol in the list within days before the fact's latest date."""
-    newest = fact.agg(F.max("date").alias("__newest"))
-    rows = fact.where(F.col("symbol").isin(*symbols)).join(F.broadcast(newest), F.col("date") >= F.date_sub("__newest", days))
+    newest = fact.agg(F.max("date")).scalar()
+    rows = fact.where(F.col("symbol").isin(*symbols) & (F.col("date") >= F.date_sub(newest, days)))
     kept = ("adj_open", "adj_close", "adj_volume", "prev_adj_close", "rvol_20d", "close_5d", "close_21d", "close_63d")
     last = rows.groupBy("symbol").agg(F.max_by(F.struct(*kept), "date").alias("x")).select("symbol", "x.*").join(_tickers(tickers, "sector"), "symbol")
     return last.select(

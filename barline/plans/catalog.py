@@ -131,7 +131,7 @@ def range_breaks(spark, sf_dir):
 
 @named(query(BARS_L, select="""
 SELECT symbol, start_timestamp, CAST(start_timestamp // 1000 AS BIGINT) AS seconds, date AS market_date, CAST(strftime(timezone('America/New_York', timezone('UTC', make_timestamp(start_timestamp * 1000))), '%H%M') AS INTEGER) AS hhmm
-FROM bars WHERE l_orderkey % 7 = 0"""))
+FROM bars"""))
 def market_times(spark, sf_dir):
     b = td.minute_bars(spark, sf_dir)
     seconds = timeunits.epoch_seconds(F.col("start_timestamp"), F.col("ts_unit"))
@@ -232,12 +232,11 @@ def refreshed_daily(spark, sf_dir):
     return rollup.refreshed(before, bars, late)
 
 
-@named(query(BARS_L, select="SELECT symbol, start_timestamp, close FROM bars WHERE date >= DATE '2001-06-01' AND l_returnflag <> 'A'"))
+@named(query(BARS_L, select="SELECT symbol, start_timestamp, close FROM bars WHERE l_returnflag <> 'A'"))
 def insert_only(spark, sf_dir):
     """What an insert-only merge appends: rows whose key is not there yet."""
-    batch = td.minute_bars(spark, sf_dir).where("date >= '2001-06-01'")
-    there = batch.where("l_returnflag = 'A'")
-    return batch.join(there.select("symbol", "start_timestamp"), ["symbol", "start_timestamp"], "left_anti").select("symbol", "start_timestamp", "close")
+    batch = td.minute_bars(spark, sf_dir)
+    return storage.unknown_rows(batch, batch.where("l_returnflag = 'A'")).select("symbol", "start_timestamp", "close")
 
 
 @named(query(BARS_L, select="SELECT symbol, start_timestamp, end_ts AS end_timestamp, date, volume, CAST(NULL AS VARCHAR) AS topic FROM (SELECT *, start_timestamp + 60000 AS end_ts FROM bars)"))

@@ -11,6 +11,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
+def unknown_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str] = ("symbol", "start_timestamp"), day: str = "date") -> DataFrame:
+    """Rows of batch whose key target has not. The batch's first date is a scalar, so that only partitions
+    from it on are read of target."""
+    known = target.where(F.col(day) >= batch.agg(F.min(day)).scalar()).select(*keys)
+    return batch.join(known, list(keys), "left_anti")
+
+
 @dataclass
 class ParquetTable:
     """A table in a folder, partitioned by date columns. log holds one small JSON file for each commit."""
@@ -41,7 +48,7 @@ class ParquetTable:
 
     # ---- writing
 
-    def _commit(self, df: DataFrame, mode: str, operation: str, tables: Callable | None = None) -> dict:
+    def _commit(self, df: DataFrame, mode: str, operation: str, partitions: str = "dynamic") -> dict:
         """Writes and logs rows and dates, which are observed on the way: no second pass counts them."""
         day = self.partition[0] if self.partition else None
         seen = Observation()
@@ -51,7 +58,7 @@ class ParquetTable:
             rows = rows.repartition(*[F.col(c) for c in (*self.partition, *self.sort[:1])])
         if self.sort:
             rows = rows.sortWithinPartitions(*self.partition, *self.sort)
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", partitions)
         (writer.partitionBy(*self.partition) if self.partition else writer).parquet(self.path)
         found = seen.get
         entry = {"operation": operation, "rows": found["rows"], "first": str(found.get("first")), "last": str(found.get("last")), "at": dt.datetime.now(dt.timezone.utc).isoformat()}
@@ -76,9 +83,7 @@ class ParquetTable:
 
     def replace(self, df: DataFrame) -> dict:
         """The whole table: how a materialised view is recomputed."""
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*self.partition).parquet(self.path)
-        return {"operation": "replace", "rows": seen.get["rows"]}
+        return self._commit(df, "overwrite", "replace", "static")
 
     def overwrite_partitions(self, df: DataFrame) -> dict:
         """Replaces the partitions that df has rows in, and no others: writing again changes nothing."""
@@ -103,12 +108,9 @@ class ParquetTable:
         target = self.read_or_none()
         if target is None:
             return self._commit(batch, "append", "insert new (create)")
-        day = self.partition[0]
-        first = df.agg(F.min(day)).first()[0]
-        if first is None:
+        if df.isEmpty():
             return {"operation": "insert new", "rows": 0}
-        known = target.where(F.col(day) >= F.lit(first)).select(*keys)
-        return self._commit(batch.join(known, list(keys), "left_anti"), "append", "insert new")
+        return self._commit(unknown_rows(batch, target, keys, self.partition[0]), "append", "insert new")
 
     def upsert(self, events: ParquetTable, changed: DataFrame, winner: Callable[[DataFrame], DataFrame]) -> dict:
         """Derives the partitions of changed anew from all their events, and replaces them.
