@@ -1,19 +1,25 @@
 """Exact-substring dedup with a difference cover, as in distributed suffix sorting (operator 6).
 
 A difference cover D modulo v has, for any two positions i and j, a shift d < v with (i + d) mod v and
-(j + d) mod v both in D.  So if a string of ``length`` bytes stands at i and at j, the sampled
-suffixes at i + d and j + d share ``length - v + 1`` bytes at least.  The classic cover is {1, 2} of 3
-and its tuples are triples; the cover used here has 16 of 181, so that one position in 11 is
-sampled, and its tuples are 220 bytes long for strings of 400.
+(j + d) mod v both in D.  So if a string of ``passage`` bytes stands at i and at j, the sampled
+suffixes at i + d and j + d share ``passage - v + 1`` bytes at least.  The classic cover is {1, 2} of 3
+and its tuples are triples; the covers used here are perfect difference sets, 12 of 133 for passages of
+256 bytes, so that one position in 11 is sampled and its tuples are 124 bytes long.
 
 1. Sampled tuples are sorted over the corpus, in buckets by hash; equal neighbours get one name, and
    a tuple whose name nobody shares is dropped: no repeat runs through it.
-2. The names are refined: tuples of one name are sorted by what stands v - 1 bytes to either side.
-   Where two agree in that too, every string of ``length`` bytes through them recurs.  This settles
-   the inside of copies.  Where a name has different surroundings, one tuple of each goes on.
-3. The suffixes that begin at most v - 1 bytes before those are sorted by their first ``length`` bytes
-   and equal neighbours in that order are the rest of the repeats.  As no comparison needs more than
-   ``length`` bytes, recursion on names ends here.
+2. The names are refined: tuples of one name are sorted by what stands to either side, as far as a
+   string of ``length`` bytes through the tuple can reach.  Where two agree in that too, every such
+   string recurs.  This settles the inside of copies.  Where a name has different surroundings, one
+   tuple of each goes on.
+3. The suffixes that begin where a string of ``length`` bytes can hold one of those are sorted by their
+   first ``length`` bytes, and equal neighbours in that order are the rest of the repeats.  As a repeat
+   has a shared tuple in every v positions, suffixes with wider gaps between shared tuples are left out.
+   No comparison needs more than ``length`` bytes, so recursion on names ends here.
+
+``length`` decides what is removed.  ``passage``, which is no longer, decides what is noticed: n_shared is
+the number of bytes in sampled tuples that also stand elsewhere, and it is above 0 in every document that
+has a string of ``passage`` bytes which also starts anywhere else.
 
 Defined results: a null text is empty; a text shorter than ``length`` loses nothing; a copy of a row,
 doc_id included, counts as another occurrence; an empty table gives an empty result; other columns of
@@ -24,6 +30,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -32,21 +40,30 @@ from pyspark.sql import DataFrame, types as T
 from . import repeats, textkit as tk
 
 LENGTH = 400
+PASSAGE = 256
 
 
-def difference_cover(r: int) -> tuple[int, np.ndarray]:
-    """Period 24 r**2 + 36 r + 13 and a cover of 6 r + 4 elements (Colbourn and Ling, 2000)."""
-    steps = [1] * r + [r + 1] + [2 * r + 1] * r + [4 * r + 3] * (2 * r + 1) + [2 * r + 2] * (r + 1) + [1] * r
-    return 24 * r * r + 36 * r + 13, np.cumsum([0, *steps])
+def difference_set(p: int) -> tuple[int, np.ndarray]:
+    """v = p * p + p + 1 and p + 1 residues whose differences are all of 1 .. v - 1, once each (Singer, 1938),
+    for a prime p: the zeros of a linear recurrence of order 3 modulo p."""
+    v = p * p + p + 1
+    for a, b, c in product(range(p), range(p), range(1, p)):
+        s = [0, 0, 1]
+        while len(s) < v:
+            s.append((a * s[-1] + b * s[-2] + c * s[-3]) % p)
+        d = np.flatnonzero(np.array(s) == 0)
+        if len(d) == p + 1 and len(np.unique((d[:, None] - d[None, :]) % v)) == v:
+            return v, d
+    raise ValueError(f"{p} is not a prime")
 
 
+@cache
 def cover_for(length: int) -> tuple[int, np.ndarray]:
-    """The longest period that leaves tuples of half the length; {1, 2} of 3 for short ones."""
-    best = (3, np.array([1, 2]))
-    for r in range(0, 40):
-        v, d = difference_cover(r)
-        if length - v + 1 >= max(length // 2, 1):
-            best = (v, d)
+    """The longest period that leaves tuples of two fifths of the length; {0, 1} of 3 for short ones."""
+    best = (3, np.array([0, 1]))
+    for p in (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31):
+        if (length - (p * p + p + 1) + 1) * 5 >= length * 2:
+            best = difference_set(p)
     return best
 
 
@@ -68,11 +85,30 @@ def sample_places(numbers: np.ndarray, v: int, cover: np.ndarray) -> np.ndarray:
     return numbers // len(cover) * v + cover[numbers % len(cover)]
 
 
+def _samples(col: pa.Array, piece: tk.Piece, v: int, cover: np.ndarray, shift: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Reported samples of a piece: place, number through the piece, what stands below the number by shift
+    bits, and each document's first number."""
+    size = np.diff(piece.offs)
+    rounds = (size + v - 1) // v
+    first = (np.cumsum(rounds) - rounds) * len(cover)
+    at, numbers, status = [], [], []
+    for d, k in enumerate(range(piece.rows.start, piece.rows.stop)):
+        x = repeats.positions(col, k)
+        if len(x):
+            n = x >> shift
+            at.append(sample_places(n, v, cover) + piece.offs[d])
+            numbers.append(n + first[d])
+            status.append(x & ((1 << shift) - 1))
+    none = [np.zeros(0, np.int64)]
+    return *(np.concatenate(x or none) for x in (at, numbers, status)), first
+
+
 _CONTEXT = "bucket int, keys binary, contexts binary, gaps binary, rids binary, base binary"
-SETTLED, OPEN = 1, 2
+#: What is said of a tuple, in the lowest STATUS bits below its number.
+SETTLED, OPEN, STATUS = 1, 2, 2
 
 
-def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, buckets: int) -> DataFrame:
+def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, reach: int, buckets: int) -> DataFrame:
     """Tuples with shared names: name, surroundings, place. One entry for each different pair in a piece;
     a pair that stands twice in the piece is settled there."""
 
@@ -81,11 +117,11 @@ def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, bucke
             rid, rows = tk.i64(batch.column("rid")), []
             for n, piece in enumerate(tk.pieces(batch.column("text"), 1 << 20)):
                 offs, rids = piece.offs, rid[piece.rows]
-                found = repeats.flat_positions(batch.column("at"), piece.rows, offs[:-1], lambda x: sample_places(x, v, cover))
+                found, number, _, first = _samples(batch.column("at"), piece, v, cover)
                 if not len(found):
                     continue
                 doc = np.searchsorted(offs, found, "right") - 1
-                low, high = np.maximum(found - (v - 1), offs[doc]), np.minimum(found + width + v - 1, offs[doc + 1])
+                low, high = np.maximum(found - reach, offs[doc]), np.minimum(found + width + reach, offs[doc + 1])
                 prefix = tk.prefix_hash(piece.data)
                 keys = tk.span_hash(prefix, found, found + width)
                 context = tk.mix(tk.span_hash(prefix, low, high) + (found - low).astype(tk.U64))
@@ -96,7 +132,7 @@ def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, bucke
                 again[:-1] |= ~new[1:]
                 twins = np.sort(by[again])
                 if len(twins):
-                    rows.append((int(n + rid[0]) % buckets, b"", b"", *repeats.placed(found[twins], rids, offs[:-1])[:3]))
+                    rows.append((int(n + rid[0]) % buckets, b"", b"", *repeats.placed(number[twins], rids, first)[:3]))
                 sent = np.sort(by[new])
                 to = ((keys[sent] >> tk.U64(32)) * tk.U64(buckets) >> tk.U64(32)).astype(np.int64)
                 o = np.argsort(to, kind="stable")
@@ -104,7 +140,7 @@ def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, bucke
                 cuts = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     some = sent[a:b]
-                    rows.append((int(to[a]), keys[some].tobytes(), context[some].tobytes(), *repeats.placed(found[some], rids, offs[:-1])[:3]))
+                    rows.append((int(to[a]), keys[some].tobytes(), context[some].tobytes(), *repeats.placed(number[some], rids, first)[:3]))
             if rows:
                 kinds = (pa.int32(), *[pa.binary()] * 5)
                 cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -114,13 +150,13 @@ def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, bucke
 
 
 def _refine(sent: DataFrame, homes: int) -> DataFrame:
-    """(rid, at) with at = position * 4 + SETTLED and OPEN."""
+    """(rid, at) of all tuples whose name is shared, with at = number * 4 + SETTLED and OPEN."""
 
     def answer(table: pa.Table) -> pa.Table:
         keys, contexts, rids, marks, twins = [], [], [], [], []
         for row in table.to_pylist():
             _, rid, pos = repeats.places(row["gaps"], row["rids"], row["base"])
-            pos = pos * np.uint32(4)
+            pos = pos * np.uint32(1 << STATUS)
             if row["keys"]:
                 keys.append(np.frombuffer(row["keys"], tk.U64))
                 contexts.append(np.frombuffer(row["contexts"], tk.U64))
@@ -149,29 +185,31 @@ def _refine(sent: DataFrame, homes: int) -> DataFrame:
     return repeats.by_document(sent.groupBy("bucket").applyInArrow(answer, repeats.REPLY))
 
 
-def _through(found: np.ndarray, offs: np.ndarray, v: int, length: int) -> np.ndarray:
-    """Starts of the strings that hold one of the tuples found."""
+def _through(found: np.ndarray, offs: np.ndarray, reach: int, length: int) -> np.ndarray:
+    """Starts of the strings of ``length`` bytes that hold one of the tuples found."""
     if not len(found):
         return found
     doc = np.searchsorted(offs, found, "right") - 1
-    low = np.maximum(found - (v - 1), offs[doc])
+    low = np.maximum(found - reach, offs[doc])
     hit = np.flatnonzero(tk.cover(int(offs[-1]), low, found - low + 1))
     return hit[hit + length <= offs[np.searchsorted(offs, hit, "right")]]
 
 
-def _marked(col: pa.Array, rows: slice, base: np.ndarray, status: int) -> np.ndarray:
-    out = []
-    for i, k in enumerate(range(rows.start, rows.stop)):
-        x = repeats.positions(col, k)
-        out.append((x[x & status > 0] >> 2) + base[i])
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+def _without_gaps(starts: np.ndarray, shared: np.ndarray, offs: np.ndarray, v: int, slack: int) -> np.ndarray:
+    """Those of the starts p for which every v positions from p to p + slack + v - 1 have a shared tuple."""
+    if not len(starts) or not slack:
+        return starts
+    doc = np.searchsorted(offs, shared, "right") - 1
+    low = np.maximum(shared - (v - 1), offs[doc])
+    near = np.append(0, np.cumsum(tk.cover(int(offs[-1]), low, shared - low + 1)))
+    return starts[near[starts + slack + 1] - near[starts] == slack + 1]
 
 
-def repeated_strings(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame, int]:
-    """(rid, at) of the tuples with their status, (rid, at) of the starts found last, and the period."""
-    v, cover = cover_for(length)
-    width = length - v + 1
+def repeated_strings(docs: DataFrame, length: int, v: int, cover: np.ndarray, width: int) -> tuple[DataFrame, DataFrame]:
+    """(rid, at) of the shared tuples with their status, and (rid, at) of the starts found last."""
     buckets = repeats.buckets_for(docs)
+    reach = length - width
+
     def name_tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
         rid = tk.i64(batch.column("rid"))
         for k, piece in enumerate(tk.pieces(batch.column("text"))):
@@ -182,18 +220,20 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     def name_strings(batch: pa.RecordBatch) -> Iterator[tuple]:
         rid = tk.i64(batch.column("rid"))
         for k, piece in enumerate(tk.pieces(batch.column("text"), 1 << 20)):
-            at = _through(_marked(batch.column("at"), piece.rows, piece.offs[:-1], OPEN), piece.offs, v, length)
+            shared, _, status, _ = _samples(batch.column("at"), piece, v, cover, STATUS)
+            at = _through(shared[status & OPEN > 0], piece.offs, reach, length)
+            at = _without_gaps(at, shared, piece.offs, v, reach - (v - 1))
             keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + length)
             yield from repeats.entries(keys, at, rid[piece.rows], piece.offs[:-1], None, buckets, "any", False, int(rid[0]) + k)
 
     # All joins read all columns of docs, so that one shuffle of the texts serves them all.
-    shared = repeats.find(docs.select("rid", "text"), name_tuples, "any", True, buckets)
-    marked = _refine(_send_contexts(docs.join(shared, "rid"), v, cover, width, buckets), max(buckets // 2, 4))
-    return marked, repeats.find(docs.join(marked, "rid"), name_strings, "any", False, buckets), v
+    found = repeats.find(docs.select("rid", "text"), name_tuples, "any", True, buckets)
+    shared = _refine(_send_contexts(docs.join(found, "rid"), v, cover, width, reach, buckets), max(buckets // 2, 4))
+    return shared, repeats.find(docs.join(shared, "rid"), name_strings, "any", False, buckets)
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each document.
+def remove_repeats(documents: DataFrame, length: int = LENGTH, passage: int = PASSAGE, with_text: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared) of each document.
 
     Removes each byte covered by a string of ``length`` bytes that also starts anywhere else.
     with_text adds kept_text, and ``row``, a struct of the document's other columns; where a removed
@@ -202,19 +242,23 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
     """
     carried = ("row",) if with_text else ()
     docs = repeats.with_row_id(documents, with_text).select("rid", "doc_id", "text", *carried)
-    marked, strings, v = repeated_strings(docs, length)
+    v, cover = cover_for(min(length, passage))
+    width = min(length, passage) - v + 1
+    shared, strings = repeated_strings(docs, length, v, cover, width)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, at, tuples = batch.column("text"), batch.column("at"), batch.column("tuples")
-            size, gone, spans, digest, kept = [], [], [], [], []
+            size, gone, spans, digest, noticed, kept = [], [], [], [], [], []
             for k in range(len(text)):
                 left = (text[k].as_py() or "").encode()
                 size.append(len(left))
                 starts, mark = repeats.positions(at, k), repeats.positions(tuples, k)
+                noticed.append(0)
                 if len(mark):
-                    whole = np.array([0, len(left)])
-                    starts = np.concatenate([starts, _through(mark[mark & SETTLED > 0] >> 2, whole, v, length)])
+                    whole, place = np.array([0, len(left)]), sample_places(mark >> STATUS, v, cover)
+                    noticed[-1] = int(tk.cover(len(left), place, width).sum())
+                    starts = np.concatenate([starts, _through(place[mark & SETTLED > 0], whole, length - width, length)])
                 if len(starts):
                     out = tk.cover(len(left), starts, length)
                     gone.append(int(out.sum()))
@@ -226,15 +270,15 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
                 digest.append(hashlib.sha256(left).hexdigest())
                 if with_text:
                     kept.append(left.decode(errors="ignore"))
-            cols = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (size, gone, spans)), pa.array(digest, pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            cols = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (size, gone, spans)), pa.array(digest, pa.string()), pa.array(noticed, pa.int64())]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared"]
             if with_text:
                 cols += [pa.array(kept, pa.string()), batch.column("row")]
                 names += ["kept_text", "row"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    shape = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
+    shape = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long" + ", kept_text string" * with_text)
     for name in carried:
         shape.add(docs.schema[name])
-    found = docs.join(marked.withColumnRenamed("at", "tuples"), "rid", "left").join(strings, "rid", "left")
+    found = docs.join(shared.withColumnRenamed("at", "tuples"), "rid", "left").join(strings, "rid", "left")
     return found.select("doc_id", "text", "tuples", "at", *carried).mapInArrow(strip, shape)

@@ -7,6 +7,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+from barline.llm import suffix_dedup
+
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, score double, row string, at string, rid string"
@@ -81,6 +83,21 @@ def suffix(docs, length: int = 400):
     return out
 
 
+def shared_tuples(docs, passage: int):
+    """Bytes in sampled strings that stand at another sample too."""
+    v, cover = suffix_dedup.cover_for(passage)
+    width, body, at = passage - v + 1, {i: (t or "").encode() for i, t in docs}, defaultdict(list)
+    for i, b in body.items():
+        for p in range(len(b) - width + 1):
+            if p % v in cover:
+                at[b[p : p + width]].append((i, p))
+    gone = {i: bytearray(len(b)) for i, b in body.items()}
+    for places in at.values():
+        for i, p in places if len(places) > 1 else []:
+            gone[i][p : p + width] = b"\1" * width
+    return {i: sum(g) for i, g in gone.items()}
+
+
 def shingles(text, width: int = 5):
     w = SPACE_WORD.findall(lower(text or ""))
     if len(w) < width:

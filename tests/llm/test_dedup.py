@@ -14,10 +14,11 @@ def rows(df, *columns):
 
 
 def test_cover_holds_every_difference():
-    for r in range(6):
-        v, d = suffix_dedup.difference_cover(r)
-        assert len(d) == 6 * r + 4 and d.max() < v
+    for p in (2, 3, 5, 7, 11, 13):
+        v, d = suffix_dedup.difference_set(p)
+        assert (v, len(d)) == (p * p + p + 1, p + 1) and (np.diff(d) > 0).all() and d.max() < v
         assert len({(a - b) % v for a in d.tolist() for b in d.tolist()}) == v
+    assert [suffix_dedup.cover_for(n)[0] for n in (3, 5, 256, 400)] == [3, 3, 133, 183]
 
 
 @given(st.lists(st.integers(0, 10**6), min_size=1).map(sorted))
@@ -54,8 +55,8 @@ def test_substring_dedup_of_repeated_rows_and_nulls(spark):
     assert same == [0, 0]
 
 
-def test_suffix_dedup_is_what_a_plain_search_finds(spark):
-    rnd = random.Random(2)
+def edited_copies(seed: int = 2):
+    rnd = random.Random(seed)
     base = ["".join(rnd.choice("abcdefghij ") for _ in range(1500)) for _ in range(3)]
     docs = brute.corpus(n=30)
     for i in range(40):
@@ -67,8 +68,33 @@ def test_suffix_dedup_is_what_a_plain_search_finds(spark):
             k = rnd.randint(0, 900)
             t = t[k : k + rnd.randint(100, 600)]
         docs.append((100 + i, t * 2 if i % 7 == 0 else t))
-    got = rows(suffix_dedup.remove_repeats(brute.frame(spark, docs)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    assert got == brute.suffix(docs)
+    return docs
+
+
+@pytest.mark.parametrize(("length", "passage"), [(400, 256), (256, 256), (120, 30), (9, 400)])
+def test_suffix_dedup_is_what_a_plain_search_finds(spark, length, passage):
+    docs = edited_copies(length)
+    got = rows(suffix_dedup.remove_repeats(brute.frame(spark, docs), length, passage), "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared")
+    assert {i: x[:4] for i, x in got.items()} == brute.suffix(docs, length)
+    assert {i: x[4] for i, x in got.items()} == brute.shared_tuples(docs, min(length, passage))
+    short = brute.suffix(docs, min(length, passage))
+    assert all(got[i][4] > 0 for i in got if short[i][1])
+
+
+def test_passages_at_the_limit(spark):
+    """Strings of 399, 400 and 401 bytes, with characters of two and three bytes at their ends."""
+    rnd, docs = random.Random(8), []
+    for k, n in enumerate((399, 400, 401)):
+        for j, (head, tail) in enumerate((("", ""), ("é", "é"), ("€", "é"), ("", "€"))):
+            inside = n - len((head + tail).encode())
+            passage = head + "".join(rnd.choice("abcdefgh") for _ in range(inside)) + tail
+            for copy in range(2):
+                around = ["".join(rnd.choice("uvwxyz ") for _ in range(rnd.randint(0, 200))) for _ in range(2)]
+                docs.append((100 * k + 10 * j + copy, f"{copy}{around[0]}{copy}{passage}{copy}{around[1]}"))
+    got = rows(suffix_dedup.remove_repeats(brute.frame(spark, docs)), "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared")
+    assert {i: x[:4] for i, x in got.items()} == brute.suffix(docs)
+    assert [{x[1] for i, x in got.items() if i // 100 == k} for k in range(3)] == [{0}, {400}, {401}]
+    assert all(x[4] >= 124 for x in got.values())
 
 
 def test_suffix_dedup_counts_repeated_rows_and_gives_texts(spark):
