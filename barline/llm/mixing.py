@@ -7,15 +7,17 @@ one offset between 0 and 1 is added, and a document is emitted once for each int
 crosses.  Documents run in order of size, so the words taken differ from the target by about the size
 of one document.
 
-A source may hold any share of the rows, so the running sum has two levels: groups of equal (source,
-size, salt) are counted first, the counts are summed along each source, and documents are ranked
-inside their group.  The salt splits a group with more than ``GROUP_ROWS`` rows.  As a document's
-expectation is the same all through a source, the running sum is a running count times it, which
-needs no floating point sum that could depend on the order of rows.
+A source may hold any share of the rows, so the running sum has two levels: documents are range
+partitioned and sorted by (source, size, doc_id, what else is kept), the rows that each partition has
+of each source are counted, and the counts are summed along each source.  Equal rows may fall into
+different partitions, so no group is too large for one.  As a document's expectation is the same all
+through a source, the running sum is a running count times it, which needs no floating point sum that
+could depend on the order of rows.
 
 Defined results: a null text has size 0; null is a source of its own, after all others; a source
-without words has target 0; a null doc_id ranks first; equal rows are ranked one after the other; an
-empty table gives an empty result; columns of the input with other names are left alone.
+without words has target 0; a null doc_id ranks first; equal rows are ranked one after the other, and
+which of them comes first shows nowhere; an empty table gives an empty result; columns of the input
+with other names are left alone.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .shared import cut
 
-GROUP_ROWS = 100_000
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 _WORD = r"[^\x20\x09-\x0D]"
@@ -70,27 +71,25 @@ def offset(source: Column, seed: int) -> Column:
 def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, seed: int = 7, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """keep, source, size, source_size, target, copies and taken of each document."""
     # The texts are counted once; what follows reads these few columns from the shared folder.
+    keep = [c for c in keep if c != "source"]
     sizes = cut(documents.select(*keep, "source", word_count(F.col("text")).alias("size")))
-    per = targets(sizes, weights, max_repeats)
-    groups = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows"))
-    groups = groups.select(F.col("source").alias("g_source"), F.col("size").alias("g_size"), F.ceil(F.col("rows") / GROUP_ROWS).cast("long").alias("salts"))
-    dealt = sizes.join(groups, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("size") == F.col("g_size")))
-    dealt = dealt.withColumn("salt", F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.col("salts"))).drop("g_source", "g_size", "salts")
-
-    parts = dealt.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("rows"))
-    along = W.partitionBy("source").orderBy("size", "salt").rowsBetween(W.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("rows").over(along), F.lit(0)))
-    per = per.withColumnRenamed("source", "p_source")
+    per = targets(sizes, weights, max_repeats).withColumnRenamed("source", "p_source")
+    order = [F.col("source").asc_nulls_last(), F.col("size"), *(F.col(c).asc_nulls_first() for c in keep), F.col("mix_tie")]
+    ranges = sizes.withColumn("mix_tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = ranges.select(*keep, "source", "size", F.spark_partition_id().alias("mix_part"), F.monotonically_increasing_id().alias("mix_place"))
+    placed = cut(ranges)
+
+    parts = placed.groupBy("source", "mix_part").agg(F.count(F.lit(1)).alias("rows"), F.min("mix_place").alias("first"))
+    along = W.partitionBy("source").orderBy("mix_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("rows").over(along), F.lit(0)) - F.col("first") + 1)
     parts = parts.join(per, F.col("source").eqNullSafe(F.col("p_source")))
-    parts = parts.select(F.col("source").alias("b_source"), F.col("size").alias("b_size"), F.col("salt").alias("b_salt"), "before", "source_size", "target", "expected")
+    parts = parts.select(F.col("source").alias("b_source"), F.col("mix_part").alias("b_part"), "before", "source_size", "target", "expected")
 
-    rank = F.row_number().over(W.partitionBy("source", "size", "salt").orderBy("doc_id"))
-    ranked = dealt.withColumn("rank", rank)
-    same = F.col("source").eqNullSafe(F.col("b_source")) & (F.col("size") == F.col("b_size")) & (F.col("salt") == F.col("b_salt"))
-    at = (F.col("before") + F.col("rank")).cast("double")
+    same = (F.col("mix_part") == F.col("b_part")) & F.col("source").eqNullSafe(F.col("b_source"))
+    at = (F.col("before") + F.col("mix_place")).cast("double")
     u = offset(F.col("source"), seed)
     copies = F.floor(at * F.col("expected") + u) - F.floor((at - 1) * F.col("expected") + u)
-    return ranked.join(parts, same).select(*keep, "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return placed.join(parts, same).select(*keep, "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix_documents(documents: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, seed: int = 7) -> DataFrame:

@@ -112,12 +112,29 @@ def test_mix_takes_near_its_targets(spark):
     assert got[key].sort_values(key).reset_index(drop=True).equals(again[key].sort_values(key).reset_index(drop=True))
 
 
-def test_a_salted_group_is_ranked_through(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "GROUP_ROWS", 7)
-    docs = [(k, "a b c", f"s{int(k % 10 == 0)}", "x") for k in range(400)]
-    got = mixed(spark, docs)
-    per = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
-    assert ((per.target - per.taken).abs() <= 3).all()
+def test_the_order_is_the_same_for_any_number_of_partitions(spark):
+    """A source and size with most of the rows, and a row that is repeated, are cut by ranges at any place."""
+    docs = [(k * 7 % 400, "a b c", f"s{int(k % 10 == 0)}", "x") for k in range(400)] + [(3, "a b c", "s0", "x")] * 50 + [(None, "a b c", "s0", "x"), (9, "a", None, "x")]
+    key, seen = ["doc_id", "size", "taken"], []
+    for parts in ("1", "3", "16"):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = mixed(spark, docs)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        per = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
+        assert ((per.target - per.taken).abs() <= 3).all()
+        seen.append(got[key].sort_values(key).reset_index(drop=True))
+    assert seen[0].equals(seen[1]) and seen[0].equals(seen[2])
+
+
+def test_texts_of_one_doc_id_mix_alike_in_reruns(spark):
+    docs = [(k % 3, f"w{k} x", "s1", "x") for k in range(60)] + [(k, "y z", "s2", "x") for k in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, copies string")
+    one, two = (sorted((r.doc_id, r.text) for r in mixing.mix_documents(d).collect()) for d in (df.repartition(2), df.repartition(7)))
+    assert one == two
 
 
 def test_word_counts(spark):
