@@ -7,8 +7,9 @@ digests that differ, from cells that hold one digest only.  If peeling gets stuc
 made again with twice the cells.  The likeness of two texts is the share of their distinct paragraphs
 that both have, which follows from the sizes and the recovered differences.
 
-``next_document`` pairs each document with the next by doc_id.  Rows are dealt to ranges of doc_id, and
-the first row of each range is sent to the range before as well, so texts are shuffled once.
+``next_document`` pairs each document with the next by doc_id.  Rows are dealt to ranges of doc_id, a
+partition each, and the first row of each range is sent to the range before as well, so texts are
+shuffled once.  The number of ranges grows with the input.
 
 Defined results: a null text is empty and has no paragraph; two texts without paragraphs are alike (1);
 a null doc_id comes first; among rows with one doc_id the order is by text; a single document is its own
@@ -22,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -30,7 +32,8 @@ from .shared import bounded_batches, bytes_of
 
 CELLS = 24
 HASHES = 3
-RANGE_BYTES = 4 << 20
+#: Bytes of input in a range of doc_ids, and sampled doc_ids for a range. Any choice is right.
+RANGE_BYTES, SAMPLES = 32 << 20, 8
 _U32 = tk.U64(32)
 _STOP = tk.byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 
@@ -178,33 +181,52 @@ def likeness(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nd
     return np.where(total + apart > 0, (total - apart) / np.maximum(total + apart, 1), 1.0)
 
 
+def range_cuts(ids: DataFrame, parts: int) -> np.ndarray:
+    """Up to parts - 1 numbers that cut doc_ids into ranges of about as many rows, from a sample of them by
+    hash with SAMPLES numbers for a range, or all if there are few."""
+    rows, wanted = ids.count(), max(SAMPLES * parts, 20_000)
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    some = ids.where(h <= int((1 << 30) * min(wanted / max(rows, 1), 1))).distinct().toPandas()["doc_id"].to_numpy(np.int64)
+    some.sort()
+    return np.unique(some[np.arange(1, parts) * len(some) // parts]) if len(some) else some
+
+
 def next_document(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(part, wrapped, doc_id, text) dealt and sorted so that each row but those marked ``wrapped`` has
     the next document in the row after it, in the same task."""
-    bounded_batches(documents.sparkSession)
+    spark = documents.sparkSession
+    bounded_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = int(min(max(bytes_of(docs) // range_bytes, 4), 4096))
-    cuts = docs.where("doc_id is not null").stat.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)
-    cuts = sorted({int(c) for c in cuts})
-    edges = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    docs = docs.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(edges, lambda c: c <= F.col("doc_id")))))
-    # The first document of each range: by doc_id, then text. There are as many as there are ranges.
+    parts = max(bytes_of(docs) // range_bytes, spark.sparkContext.defaultParallelism)
+    known = F.coalesce("doc_id", F.lit(-(2**63)))  # a null doc_id is in the first range, before all others
+    cuts = spark.sparkContext.broadcast(range_cuts(docs.where("doc_id is not null").select("doc_id"), parts))
+
+    @F.pandas_udf("int")
+    def range_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts.value, ids.to_numpy(), "right").astype(np.int32))
+
+    docs = docs.withColumn("part", range_of(known))
+    # The least doc_id of each range, null before all; there are as many as there are ranges.
     first = docs.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("lead"))
-    lead = [(r["part"], r["lead"]["doc_id"]) for r in first.orderBy("part").collect()]
-    if not lead:
-        return docs.selectExpr("part", "false AS wrapped", "doc_id", "text")
-    numbers = [p for p, _ in lead]
-    before = {p: numbers[k - 1] for k, p in enumerate(numbers)}
-    # Candidates for the first place of a range share its least doc_id; the least text among them leads.
-    heads = docs.where(F.col("doc_id").isin([i for _, i in lead if i is not None]))
-    if lead[0][1] is None:
-        heads = heads.unionByName(docs.where("doc_id is null"))
+    first = first.orderBy("part").select("part", F.col("lead.known").alias("known"), F.coalesce("lead.doc_id", F.lit(0)).alias("doc_id")).toPandas()
+    lead = spark.sparkContext.broadcast((first["part"].to_numpy(np.int32), first.loc[first["known"], "doc_id"].to_numpy(np.int64)))
+
+    @F.pandas_udf("boolean")
+    def leads(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.isin(ids.to_numpy(), lead.value[1]))
+
+    @F.pandas_udf("int")
+    def before(part: pd.Series) -> pd.Series:
+        numbers = lead.value[0]
+        return pd.Series(numbers[np.searchsorted(numbers, part.to_numpy()) - 1])  # before the first range is the last
+
+    # Rows that share the least doc_id of their range compete for its first place; the least text leads.
+    heads = docs.where(leads(known) | F.col("doc_id").isNull())
     nth = W.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    heads = heads.withColumn("nth", F.row_number().over(nth)).where("nth = 1").drop("nth")
-    to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    heads = heads.select(F.element_at(to, F.col("part")).alias("part"), F.lit(True).alias("wrapped"), "doc_id", "text")
+    heads = heads.withColumn("nth", F.row_number().over(nth)).where("nth = 1")
+    heads = heads.select(before("part").alias("part"), F.lit(True).alias("wrapped"), "doc_id", "text")
     rows = docs.select("part", F.lit(False).alias("wrapped"), "doc_id", "text").unionByName(heads)
-    return rows.repartition("part").sortWithinPartitions("part", "wrapped", F.col("doc_id").asc_nulls_first(), "text")
+    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "wrapped", F.col("doc_id").asc_nulls_first(), "text")
 
 
 PRINT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
