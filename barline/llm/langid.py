@@ -5,9 +5,9 @@ one-versus-one machines for each pair of its languages vote.  Features are hashe
 lower-cased text with everything but letters folded into one blank, as shares of all trigrams, so a
 document's margin is the mean of its trigrams' weights, over the whole text.
 
-Training uses a bounded sample: at most ``per_language`` documents of each language, chosen by a hash
-of doc_id.  All languages are learnt; features stay sparse and are made dense block by block.  Everything
-else covers all rows.
+Training uses a bounded sample: at most ``per_language`` documents of each language with ``most_bytes``
+of text, chosen by a hash of doc_id and text; a row that is repeated counts once.  All languages are
+learnt; features stay sparse and are made dense block by block.  Everything else covers all rows.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with nothing to learn
 from, all is ``und``; with one language, all other texts get it; repeated rows get equal rows; extra
@@ -29,6 +29,8 @@ from .shared import bounded_batches
 
 DIM = 4096
 PER_LANGUAGE = 700
+#: Bytes of the texts of one language, or one class, that a fit collects.
+SAMPLE_BYTES = 8 << 20
 #: Bytes of dense training features that are held; those beyond are made anew in each round. Any choice is right.
 HELD = 64 << 20
 UNKNOWN = "und"
@@ -57,17 +59,21 @@ def family_of(lang: str) -> str:
     return next((f for f, codes in FAMILIES.items() if lang in codes), lang)
 
 
-def trigrams(data: np.ndarray) -> np.ndarray:
-    """The hashed trigram that begins at each byte; the last two bytes see blanks."""
+def trigrams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The hashed trigram that begins at each byte; the last two bytes of a document see blanks."""
     code = np.zeros(len(data) + 2, np.int64)
     code[:-2] = _FOLD[data]
-    mixed = (code[:-2] * 160 + code[1:-1]) * 160 + code[2:]
+    second, third = code[1:-1].copy(), code[2:].copy()
+    last = offs[1:][offs[1:] > offs[:-1]] - 1
+    second[last] = third[last] = 0
+    third[last[last > 0] - 1] = 0
+    mixed = (code[:-2] * 160 + second) * 160 + third
     return ((mixed * 0x9E3779B1) >> 15) & (DIM - 1)
 
 
 def features(piece: tk.Piece) -> np.ndarray:
     """Share of each hashed trigram in each document; zeros for an empty one."""
-    at = tk.doc_of(piece.offs) * DIM + trigrams(piece.data)
+    at = tk.doc_of(piece.offs) * DIM + trigrams(piece.data, piece.offs)
     counts = np.bincount(at, minlength=piece.n * DIM).reshape(piece.n, DIM).astype(np.float32)
     return counts / np.maximum(counts.sum(1, keepdims=True), 1)
 
@@ -216,19 +222,31 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, by: str, most: int, groups: int | None = None) -> DataFrame:
-    """Up to ``most`` rows of each value of a column, or of its most frequent ``groups`` values: those whose
-    doc_id has the smallest hash. Counts set a bound on the hash that leaves some times as many rows as are
-    needed, so that ranking them takes no large group to one task."""
-    top = rows.where(F.col(by).isNotNull()).groupBy(by).count()
+def bounded_sample(rows: DataFrame, by: str, most: int, key: tuple[str, ...], groups: int | None = None) -> DataFrame:
+    """Up to ``most`` rows of each value of a column, or of its most frequent ``groups`` values, in
+    different keys: those whose key has the smallest hash. The number of different keys of a value sets a
+    bound on the hash that leaves some times as many rows as are needed, or all, so that ranking them
+    takes no large group to one task."""
+    span = 1 << 30
+    h = F.xxhash64(*key)
+    top = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct(h, 0.02).alias("keys"))
     if groups is not None:
         top = top.orderBy(F.desc("count"), by).limit(groups)
-    span = 1 << 30
-    bound = F.least(F.lit(span), F.floor(F.lit(float(span * 4 * most)) / F.col("count")) + 1)
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(span))
-    near = rows.join(F.broadcast(top.select(by, bound.alias("bound"))), by).where(h < F.col("bound")).drop("bound")
-    nth = F.row_number().over(W.partitionBy(by).orderBy(h, "doc_id"))
-    return near.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
+    bound = F.least(F.lit(span), F.floor(F.lit(float(span * 4 * most)) / F.col("keys")) + 1)
+    near = rows.join(F.broadcast(top.select(by, bound.alias("sample_bound"))), by).withColumn("sample_key", h)
+    near = near.where(F.pmod("sample_key", F.lit(span)) < F.col("sample_bound")).dropDuplicates([by, "sample_key"])
+    nth = F.row_number().over(W.partitionBy(by).orderBy(F.pmod("sample_key", F.lit(span)), "sample_key"))
+    return near.withColumn("sample_nth", nth).where(F.col("sample_nth") <= most).drop("sample_bound", "sample_key")
+
+
+def within_bytes(sample: DataFrame, by: str, most_bytes: int) -> DataFrame:
+    """Rows of a bounded sample in their order as long as the texts of a value sum up to most_bytes; a longer
+    text comes after all others, and each value keeps one row at least."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    order = W.partitionBy(by).orderBy(size > most_bytes, "sample_nth")
+    upto = F.sum(size.cast("long")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    kept = sample.withColumn("sample_upto", upto).withColumn("sample_rank", F.row_number().over(order))
+    return kept.where((F.col("sample_upto") <= most_bytes) | (F.col("sample_rank") == 1))
 
 
 def has_letter(text: str = "text") -> Column:
@@ -236,10 +254,10 @@ def has_letter(text: str = "text") -> Column:
     return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
 
-def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
+def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
     """The bounded sample: (text, lang) of up to per_language documents of each language."""
     rows = documents.where(~held_out(F.col("doc_id"), 4, 2)).where("lang is not null").where(has_letter()).select("doc_id", "lang", "text")
-    picked = bounded_sample(rows, "lang", per_language)
+    picked = within_bytes(bounded_sample(rows, "lang", per_language, ("doc_id", "text")), "lang", most_bytes)
     found = sorted((r["lang"], r["text"]) for r in picked.select("lang", "text").collect())
     return [(t, c) for c, t in found]
 

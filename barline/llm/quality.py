@@ -5,8 +5,8 @@ by half and cover the whole document.  Learned filters look at ``WIDTH`` embedde
 place; their highest response in each chunk is kept, and a document's mean and highest chunk responses
 are combined by one logistic unit.
 
-Training uses a bounded sample: at most ``per_class`` labelled documents of each class, chosen by a hash
-of doc_id, from rows that are not held out.  Scoring covers every row and the whole text.
+Training uses a bounded sample: at most ``per_class`` labelled documents of each class with ``most_bytes``
+of text, chosen by a hash of doc_id, from rows that are not held out.  Scoring covers every row and the whole text.
 
 Defined results: null and empty texts are one blank block and get a score like any other; without
 labels every score is 0.5; a document with several labels trains with the smallest; repeated rows get
@@ -24,7 +24,7 @@ from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import DataFrame, functions as F
 
 from . import textkit as tk
-from .langid import bounded_sample, held_out
+from .langid import SAMPLE_BYTES, bounded_sample, held_out, within_bytes
 from .shared import bounded_batches
 
 BLOCK, WIDTH, STRIDE, EMBED, FILTERS = 128, 6, 2, 8, 24
@@ -149,10 +149,14 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 32
     return net
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list[tuple[str, int]]:
+def training_rows(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
+    """The bounded sample: (text, quality) of up to per_class labelled documents of each class; of rows that
+    share a doc_id one is taken, the one with the least text."""
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    picked = bounded_sample(known.where(~held_out(F.col("doc_id"), 3, 1)), "quality", per_class, 2)
+    known = known.where(~held_out(F.col("doc_id"), 3, 1)).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
+    picked = bounded_sample(known, "quality", per_class, ("doc_id",), 2)
     rows = documents.select("doc_id", "text").join(F.broadcast(picked.limit(per_class * 2)), "doc_id")
+    rows = within_bytes(rows.groupBy("doc_id", "quality", "sample_nth").agg(F.min("text").alias("text")), "quality", most_bytes)
     return sorted((r["text"] or "", int(r["quality"])) for r in rows.select("text", "quality").collect())
 
 
