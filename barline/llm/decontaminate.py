@@ -8,7 +8,8 @@ positions.  All windows are searched backwards together, one word at a time; occ
 by stepping to the nearest sampled position, and their spans are merged.
 
 The benchmark is collected in blocks of ``BLOCK_BYTES`` at most, and a block is broadcast; a larger
-benchmark is searched block by block, and what the blocks hit is merged for each document.
+benchmark is searched block by block, and what the blocks hit is merged for each document.  The driver
+and a worker hold one block at a time.
 
 Defined results: a null or empty text has no words and is clean; a benchmark row without words has no
 window; one with a null item_id has windows that hit but no id to report; repeated rows get equal
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import repeats, textkit as tk
+from .shared import cut
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -226,13 +228,13 @@ def _cut(piece: tk.Piece, words: tk.Words, hit: np.ndarray) -> list[str]:
     return [kept[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[int, Iterator[list[tuple[object, str | None]]]]:
+    """How many blocks the benchmark has, and the blocks, each collected when it is asked for."""
     rows = benchmark.select("item_id", "text").distinct()
     total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
     blocks = int(total // block_bytes) + 1
     key = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for b in range(blocks):
-        yield [(r[0], r[1]) for r in (rows.where(key == b) if blocks > 1 else rows).collect()]
+    return blocks, ([(r[0], r[1]) for r in (rows.where(key == b) if blocks > 1 else rows).collect()] for b in range(blocks))
 
 
 def _shape(docs: DataFrame, with_text: bool) -> T.StructType:
@@ -247,12 +249,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     document's other columns.
     """
     context = documents.sparkSession.sparkContext
-    blocks = [context.broadcast(Phrases.of(items, window)) for items in _blocks(benchmark, block_bytes)]
     docs = repeats.with_row_id(documents, with_text)
-    if len(blocks) == 1:
-        return _one_block(docs.drop("rid"), blocks[0], with_text)
+    n_blocks, blocks = _blocks(benchmark, block_bytes)
+    if n_blocks == 1:
+        return _one_block(docs.drop("rid"), context.broadcast(Phrases.of(next(blocks), window)), with_text)
     found = None
-    for phrases in blocks:
+    for items in blocks:
+        phrases = context.broadcast(Phrases.of(items, window))
 
         def search(batches: Iterator[pa.RecordBatch], phrases=phrases) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -264,7 +267,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                     ids = pa.array([rid[piece.rows.start + d].as_py() for d in some], pa.int64())
                     yield pa.RecordBatch.from_arrays([ids, tk.binary_column(pos), pa.array([items[d] for d in some], pa.list_(pa.string()))], names=["rid", "pos", "items"])
 
-        part = docs.select("rid", "text").mapInArrow(search, SPANS)
+        # What a block hits is written, so that the block is in memory for its own search only.
+        part = cut(docs.select("rid", "text").mapInArrow(search, SPANS))
+        phrases.destroy()
         found = part if found is None else found.unionByName(part)
     merged = found.groupBy("rid").agg(F.collect_list("pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
