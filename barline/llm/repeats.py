@@ -98,7 +98,7 @@ def entries(keys: np.ndarray, at: np.ndarray, rids: np.ndarray, base: np.ndarray
     new = np.ones(len(by), bool)
     new[1:] = sorted_keys[1:] != sorted_keys[:-1]
     if mode == "later":
-        # the least (order, position) of each key leads; the others are known to come later
+        # The least (order, position) of each key leads; the others are known to come later.
         doc = np.searchsorted(base, at, "right") - 1
         rank = np.unique(ords, return_inverse=True)[1]
         place = rank[doc].astype(np.int64) * (1 << 40) + (at - base[doc])
@@ -109,13 +109,18 @@ def entries(keys: np.ndarray, at: np.ndarray, rids: np.ndarray, base: np.ndarray
         lead = np.ones(len(keys), bool)
         if multi.any():
             sub = np.flatnonzero(multi)
-            o = sub[np.lexsort((place[by[sub]], group[sub]))]
+            own = rids[doc]
+            o = sub[np.lexsort((own[by[sub]], place[by[sub]], group[sub]))]
             first = np.ones(len(o), bool)
             first[1:] = group[o][1:] != group[o][:-1]
             least = place[by[o]][np.maximum.accumulate(np.where(first, np.arange(len(o)), 0))]
+            ahead = place[by[o]] == least
+            # Texts of one doc_id may tie for the lead; each goes on, a repeated row once.
+            new_rid = first.copy()
+            new_rid[1:] |= own[by[o]][1:] != own[by[o]][:-1]
             lead[by[o]] = False
-            lead[by[o[first]]] = True
-            known = by[o[place[by[o]] > least]]
+            lead[by[o[ahead & new_rid]]] = True
+            known = by[o[~ahead]]
         else:
             known = np.zeros(0, np.int64)
     else:

@@ -55,6 +55,15 @@ def test_substring_dedup_of_repeated_rows_and_nulls(spark):
     assert same == [0, 0]
 
 
+def test_texts_of_one_doc_id_that_tie_for_the_first_place(spark):
+    """Rows of document 5 with different texts share a start, which also stands in document 1."""
+    start = " ".join(f"w{k}" for k in range(25))
+    docs = [(5, start + " one"), (5, start + " two"), (5, start + " two"), (1, "before " + start), (7, start)]
+    for parts in (1, 4):
+        got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(brute.frame(spark, docs, parts)).collect())
+        assert got == [(1, 26, 0), (5, 26, 25), (5, 26, 25), (5, 26, 25), (7, 25, 25)]
+
+
 def edited_copies(seed: int = 2):
     rnd = random.Random(seed)
     base = ["".join(rnd.choice("abcdefghij ") for _ in range(1500)) for _ in range(3)]
@@ -120,6 +129,13 @@ def test_jaccard_join_of_chains_and_the_threshold(spark):
     assert got == brute.jaccard(docs)
 
 
+def test_one_of_each_leaves_columns_with_names_like_its_own(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    df = brute.frame(spark, [(1, text), (2, text), (3, "other")]).withColumnRenamed("at", "jaccard_rid").withColumnRenamed("rid", "label")
+    got = ngram_join.one_of_each(df)
+    assert got.columns == df.columns and sorted((r.doc_id, r.jaccard_rid, r.label) for r in got.collect()) == [(1, "a", "x"), (3, "a", "x")]
+
+
 def test_one_of_each_keeps_the_first_and_all_empty_documents(spark):
     text = " ".join(f"w{k}" for k in range(40))
     docs = [(5, text), (3, text), (3, text), (9, text + " more"), (1, None), (2, ""), (4, "other words here"), (None, " ")]
