@@ -436,7 +436,8 @@ def jaccard_components(documents: DataFrame, width: int = WORDS, percent: int =
         others = found.where("b is null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others"))
         points = points.join(others, "sid", "left")
         extra = [F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links")]
-    joined = base.join(points, "sid", "left")
+    # Both sides come from shuffles of their own, so that a set with many copies can be split.
+    joined = base.join(cut(points), "sid", "left")
     own = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "rid", "n_shingles", "component", own.alias("component_id"), *extra)
 
@@ -449,7 +450,7 @@ def one_of_each(documents: DataFrame, width: int = WORDS, percent: int = PERCENT
     # Rows that repeat a leading row are few: they are set apart and made one.
     often = found.groupBy("rid").count().where("count > 1").join(lead, "rid", "left_semi").select("rid")
     gone = found.join(lead, "rid", "left_anti").select("rid").distinct().unionByName(often)
-    rows = documents.withColumn("jaccard_rid", F.xxhash64("doc_id", "text"))
-    once = rows.join(often.withColumnRenamed("rid", "jaccard_rid"), "jaccard_rid", "left_semi").dropDuplicates(["jaccard_rid"])
-    kept = rows.join(gone.withColumnRenamed("rid", "jaccard_rid"), "jaccard_rid", "left_anti")
-    return kept.unionByName(once).select(*documents.columns)
+    rows = documents.select(F.xxhash64("doc_id", "text").alias("rid"), F.struct(*documents.columns).alias("row"))
+    once = rows.join(often, "rid", "left_semi").dropDuplicates(["rid"])
+    kept = rows.join(gone, "rid", "left_anti")
+    return kept.unionByName(once).select(*[F.col("row")[c].alias(c) for c in documents.columns])

@@ -35,6 +35,14 @@ def test_chat_of_odd_rows(spark):
     assert chat.format_conversations(df.where("conv_id > 9")).count() == 0
 
 
+def test_chat_does_not_read_other_columns(spark):
+    rows = [(1, 0, "user", "hi", "s", 1, True), (1, 1, "assistant", "yes", "s", 1, True)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, segments string, n_turns long, valid boolean")
+    plain = df.select("conv_id", "turn", "role", "text")
+    both = [chat.digest_conversations(chat.format_conversations(chat.with_control_strings(x))).orderBy("conv_id").collect() for x in (df, plain)]
+    assert both[0] == both[1] and len(both[0]) == 2
+
+
 def sketch_sets(*texts):
     return fingerprints._digests(list(texts))
 
@@ -64,6 +72,21 @@ def test_fingerprints_are_what_sets_give(spark):
     assert got[1000].fingerprint == got[1001].fingerprint
 
 
+def test_ranges_of_any_number_pair_alike(spark):
+    docs = [(k * k, f"text {k}. more.") for k in range(200)] + [(k * k, f"other {k}") for k in range(0, 200, 7)] + [(None, "x"), (None, "y")]
+    df = brute.frame(spark, docs, 5)
+    seen = []
+    for size in (1 << 40, 300, 40):
+        part: dict = {}
+        for r in fingerprints.next_document(df, size).select(fingerprints.F.spark_partition_id().alias("p"), "*").collect():
+            part.setdefault(r.p, []).append(r)
+        assert all(len({r.part for r in rows}) == 1 for rows in part.values())
+        pairs = [(a.doc_id, a.text, b.doc_id, b.text) for rows in part.values() for a, b in zip(rows, rows[1:]) if not a.wrapped]
+        seen.append(sorted(pairs, key=lambda x: (x[0] or -1, x[1])))
+        assert len(pairs) == len(docs)
+    assert seen[0] == seen[1] == seen[2]
+
+
 def test_fingerprints_of_few_and_odd_rows(spark):
     one = fingerprints.fingerprint_versions(brute.frame(spark, [(7, "a. b. c. d.")])).collect()
     assert len(one) == 1 and one[0].near_next == 1.0

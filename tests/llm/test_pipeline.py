@@ -9,7 +9,7 @@ BENCH = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
 
 
 def small(spark, tmp_path):
-    passage = " ".join(f"passage{k}" for k in range(60))
+    passage = " ".join(f"word{k % 7}" for k in range(51))
     unique = lambda n, m: " ".join(f"u{n}x{k}" for k in range(m))
     docs = [
         (1, unique(1, 80)), (2, unique(1, 80) + " tail"), (3, "12 34 !!"), (4, None), (5, unique(5, 50) + " " + passage + " " + unique(55, 50)), (6, unique(6, 70) + " " + passage + " " + unique(66, 9)),
@@ -30,13 +30,13 @@ def test_stages_in_order(spark, tmp_path):
     bodies = {i: t.encode() for i, t in texts.items()}
     count: dict[bytes, int] = {}
     for b in bodies.values():
-        for p in range(len(b) - 399):
-            count[b[p : p + 400]] = count.get(b[p : p + 400], 0) + 1
+        for p in range(len(b) - 255):
+            count[b[p : p + 256]] = count.get(b[p : p + 256], 0) + 1
     for i, b in bodies.items():
         gone = bytearray(len(b))
-        for p in range(len(b) - 399):
-            if count[b[p : p + 400]] > 1:
-                gone[p : p + 400] = b"\1" * 400
+        for p in range(len(b) - 255):
+            if count[b[p : p + 256]] > 1:
+                gone[p : p + 256] = b"\1" * 256
         texts[i] = bytes(x for x, g in zip(b, gone) if not g).decode()
     texts = {i: t.replace(BENCH, "") for i, t in texts.items()}
 
