@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.classify import source_priority
 from ..functions.timeunits import MARKET_TZ, epoch_seconds, hhmm, market_time
@@ -19,8 +19,25 @@ def exchange_traded(bars: DataFrame) -> DataFrame:
     return bars.where(~F.coalesce("otc", F.lit(False)))
 
 
+def with_lateness(rows: DataFrame, at: Column, lateness: str) -> DataFrame:
+    """A watermark on a stream's event time; batch rows stay as they are. As no stateful operator follows,
+    it drops nothing: late rows still reach the upsert."""
+    if not rows.isStreaming:
+        return rows
+    return rows.withColumn("__event_time", at).withWatermark("__event_time", lateness).drop("__event_time")
+
+
+def bars_with_lateness(bars: DataFrame) -> DataFrame:
+    return with_lateness(bars, F.timestamp_seconds(epoch_seconds(F.col("start_timestamp"), F.col("ts_unit"))), OHLCV_LATENESS)
+
+
+def news_with_lateness(news: DataFrame) -> DataFrame:
+    return with_lateness(news, F.try_to_timestamp("published_utc"), NEWS_LATENESS)
+
+
 def unified(*sources: DataFrame) -> DataFrame:
     """Bars of several sources, batch or streaming, in one DataFrame."""
+    sources = [bars_with_lateness(s) for s in sources]
     out = exchange_traded(sources[0])
     for s in sources[1:]:
         out = out.unionByName(exchange_traded(s))

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import random
 import time
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from typing import Any
@@ -124,6 +124,19 @@ def with_retries(call: Callable[[], Any], attempts: int = 5, base_s: float = 1.0
             sleep(min(cap_s, base_s * 2**k) * (1 + random.uniform(0, jitter)))
 
 
+def paged(fetch: Callable[[Any], tuple[Sequence[Any], Any]], cursor: Any = None, **retries: Any) -> Iterator[Any]:
+    """Items of all pages: fetch gives a page's items and the next cursor, None after the last. A page that
+    fails is fetched again; items of pages before it are not."""
+    while True:
+        items, following = with_retries(lambda at=cursor: fetch(at), **retries)
+        yield from items
+        if following is None:
+            return
+        if following == cursor:
+            raise ValueError(f"the page at {cursor!r} names itself as the next")
+        cursor = following
+
+
 def fetch_all(fetch: Callable[[str], list], symbols: Sequence[str], workers: int = 8) -> tuple[list, dict[str, str]]:
     """Rows of all symbols, fetched in threads, and what went wrong by symbol; one failure stops no other."""
     rows, failed = [], {}
@@ -159,6 +172,52 @@ def news_window(latest: dt.datetime | None, now: dt.datetime, lookback: dt.timed
     return override or (latest or now - lookback, now)
 
 
+def pull_news(spark: SparkSession, fetch: Callable[[dt.datetime, dt.datetime, Any], tuple[Sequence[Any], Any]], stored: DataFrame | None, now: dt.datetime, override: tuple[dt.datetime, dt.datetime] | None = None, **retries: Any) -> DataFrame:
+    """New articles as NEWS rows: the window begins after the latest published_utc that is stored; an article
+    that several pages hold is one row."""
+    latest = None
+    if stored is not None and override is None:
+        said = stored.agg(F.max(F.try_to_timestamp("published_utc"))).first()[0]
+        latest = None if said is None else said.replace(tzinfo=now.tzinfo)
+    start, end = news_window(latest, now, override=override)
+    found = {x.id: article(x) for x in paged(lambda at: fetch(start, end, at), **retries)}
+    return rows_to_df(spark, list(found.values()), NEWS)
+
+
+def pull_splits(spark: SparkSession, fetch: Callable[[Any], tuple[Sequence[Any], Any]], **retries: Any) -> DataFrame:
+    """All splits as SPLITS rows, each id once."""
+    found = {x.id: x for x in paged(fetch, **retries)}
+    return split_rows(spark, found.values())
+
+
+def produce_bars(
+    connect: Callable[[], Iterable[Sequence[Mapping[str, Any]]]], send: Callable[[list[dict]], None], is_open: Callable[[], bool], attempts: int = 5, base_s: float = 30.0, cap_s: float = 300.0, sleep: Callable[[float], None] = time.sleep
+) -> int:
+    """Sends the bars of a feed while the market is open; gives how many.
+
+    connect opens the feed and yields batches of raw messages; it may end or fail at any time and is opened
+    again, after twice the wait each time, up to attempts failures in a row.  A batch that arrives resets the
+    count.  Messages of other events than minute bars are left out.
+    """
+    sent = failures = 0
+    while is_open():
+        try:
+            for batch in connect():
+                rows = [bar_message(m) for m in batch if m.get("ev", "AM") == "AM"]
+                if rows:
+                    send(rows)
+                sent += len(rows)
+                failures = 0
+                if not is_open():
+                    return sent
+        except (OSError, EOFError) as e:
+            failures += 1
+            if failures >= attempts:
+                raise ConnectionError(f"the feed failed {failures} times in a row") from e
+            sleep(min(cap_s, base_s * 2 ** (failures - 1)))
+    return sent
+
+
 class Watchlist:
     """An ordered list of symbols in a JSON file; adding twice or removing what is not there changes nothing."""
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.timeunits import floor_div, market_date
 from ..schemas import BAR_MESSAGE, STREAM_BRONZE
+from . import avro
 
 #: Magic byte and schema id that the serializer puts before each payload.
 HEADER_BYTES = 5
@@ -25,16 +26,25 @@ def kafka_batch(spark: SparkSession, topic: str, servers: str, start_ms: int, en
     return spark.read.format("kafka").options(**kept | {"kafka.bootstrap.servers": servers, "subscribe": topic} | bounds).load()
 
 
+def has_avro(spark: SparkSession) -> bool:
+    """Whether Spark's Avro package is on the class path."""
+    loader = spark._jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader()
+    return loader.getResource("org/apache/spark/sql/avro/AvroDataToCatalyst.class") is not None
+
+
 def payload(value, header: int = HEADER_BYTES):
     """A message's bytes behind the wire header."""
     return F.expr(f"substring({value}, {header + 1}, greatest(length({value}) - {header}, 0))")
 
 
 def decoded(messages: DataFrame, avro_schema: str | None = None, shape: T.StructType = BAR_MESSAGE, header: int = HEADER_BYTES) -> DataFrame:
-    """Adds ``data``, null where the payload cannot be read. With avro_schema the Avro functions decode,
-    which need their package; without, payloads are JSON."""
+    """Adds ``data``, null where the payload cannot be read. With avro_schema payloads are Avro, by Spark's
+    functions where their package is on the class path and by our own decoder where it is not; without,
+    payloads are JSON."""
     body = payload("value", header)
     if avro_schema is not None:
+        if not has_avro(messages.sparkSession):
+            return messages.withColumn("data", avro.from_avro(body, avro_schema))
         from pyspark.sql.avro.functions import from_avro
 
         return messages.withColumn("data", from_avro(body, avro_schema, {"mode": "PERMISSIVE"}))
@@ -84,10 +94,11 @@ def replay(messages: DataFrame, start_ms: int, end_ms: int, correlation_id: str,
 KAFKA_SINK = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.compression.type": "snappy", "kafka.linger.ms": "100"}
 
 
-def as_messages(rows: DataFrame, schema_id: int = 0) -> DataFrame:
-    """Bars as (key, value): keyed by symbol, JSON behind the wire header of a zero byte and a schema id."""
+def as_messages(rows: DataFrame, schema_id: int = 0, avro_schema: str | None = None) -> DataFrame:
+    """Bars as (key, value): keyed by symbol, JSON or Avro behind the wire header of a zero byte and a schema id."""
     header = F.lit(b"\0" + schema_id.to_bytes(4, "big"))
-    body = F.to_json(F.struct(*[F.col(f.name) for f in BAR_MESSAGE if f.name in rows.columns])).cast("binary")
+    record = F.struct(*[F.col(f.name) for f in BAR_MESSAGE if f.name in rows.columns])
+    body = F.to_json(record).cast("binary") if avro_schema is None else avro.to_avro(record, avro_schema)
     return rows.select(F.col("symbol").cast("binary").alias("key"), F.concat(header, body).alias("value"))
 
 
