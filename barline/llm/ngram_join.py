@@ -20,6 +20,10 @@ inside the window that the triangle inequality leaves, |d(x, pivot) - d(y, pivot
 more is reached, one of the points left over becomes the pivot of the next round.  A region yields the
 links of a spanning forest, never all pairs of a group; components are then merged over all regions.
 
+A region whose sets have more than ``REGION_SHINGLES`` shingles together is dealt to blocks by a hash of
+the set, and each pair of blocks is a task: each link is found where its two blocks meet, and no task
+holds more than two blocks.
+
 Numbers of links are exact: all points of a region whose sizes allow a link are compared, block by block,
 and a linked pair counts in the region of its smallest common pivot only, as often as there are copies.
 
@@ -49,7 +53,9 @@ EXTRA = 8
 _BASE = "doc_id long, rid long, n_shingles long, sid long, frequent long, weight long"
 _PREFIX = "bucket int, keys binary, counts binary, sids binary, sizes binary"
 _PAIRS = "home int, sids binary, pivots binary"
-_MEMBER = "home int, pivot long, sid long, shingles binary, pivots binary, weight long"
+_MEMBER = "home int, pivot long, low int, high int, own int, sid long, shingles binary, pivots binary, weight long"
+#: Shingles of a region that one task takes. Any choice is right.
+REGION_SHINGLES = 2_000_000
 #: Rows and columns of a block of overlaps, and the entries that are expanded at once. Any choice is right.
 BLOCK, COLUMNS, EXPAND = 256, 4096, 4_000_000
 
@@ -314,12 +320,14 @@ class Overlaps:
         return out
 
 
-def region_counts(sets: list[np.ndarray], weight: np.ndarray, smaller: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+def region_counts(sets: list[np.ndarray], weight: np.ndarray, smaller: list[np.ndarray], percent: int = PERCENT, own: np.ndarray | None = None) -> np.ndarray:
     """How many documents each set is linked with, by pairs of different sets that have no smaller pivot
-    in common; weight has the documents of each set."""
+    in common; weight has the documents of each set. own has the block of each set if only pairs from
+    different blocks count."""
     size = np.array([len(s) for s in sets])
     order = np.argsort(size, kind="stable")
     size, mine = size[order], weight[order]
+    own = np.arange(len(sets)) if own is None else own[order]
     common, other = Overlaps([sets[k] for k in order]), Overlaps([smaller[k] for k in order])
     counts = np.zeros(len(sets), np.int64)
     for a in range(0, len(sets), BLOCK):
@@ -328,6 +336,7 @@ def region_counts(sets: list[np.ndarray], weight: np.ndarray, smaller: list[np.n
         both = common.block(a, b, a, d)
         linked = 100 * both >= percent * (size[a:b, None] + size[None, a:d] - both)
         linked &= np.arange(a, b)[:, None] < np.arange(a, d)[None, :]
+        linked &= own[a:b, None] != own[None, a:d]
         if linked.any():
             linked &= other.block(a, b, a, d) == 0
             counts[a:b] += linked @ mine[a:d]
@@ -337,6 +346,38 @@ def region_counts(sets: list[np.ndarray], weight: np.ndarray, smaller: list[np.n
     return out
 
 
+def _large_regions(members: DataFrame) -> DataFrame:
+    """(pivot, blocks) of the regions that are dealt to several blocks."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("pivots")]
+            if each:
+                pivot, place = np.unique(np.concatenate(each), return_inverse=True)
+                n = np.bincount(place, np.repeat(np.asarray(batch.column("n")), [len(x) for x in each]))
+                yield pa.RecordBatch.from_arrays([pa.array(pivot), pa.array(n.astype(np.int64))], names=["pivot", "n"])
+
+    sizes = members.select("pivots", "n").mapInArrow(tally, "pivot long, n long").groupBy("pivot").agg(F.sum("n").alias("n"))
+    return sizes.where(F.col("n") > REGION_SHINGLES).select("pivot", F.ceil(F.col("n") / REGION_SHINGLES).cast("long").alias("blocks"))
+
+
+def _with_blocks(members: DataFrame) -> DataFrame:
+    """members with ``split``, the numbers of blocks of those of its pivots that have several."""
+    large = cut(_large_regions(members))
+    if large.isEmpty():
+        return members.withColumn("split", F.lit(None).cast("array<struct<pivot: bigint, blocks: bigint>>"))
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("pivots")]
+            if each:
+                rid = np.repeat(np.asarray(batch.column("rid")), [len(x) for x in each])
+                yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(np.concatenate(each))], names=["rid", "pivot"])
+
+    split = members.select("rid", "pivots").mapInArrow(unpack, "rid long, pivot long").join(large, "pivot")
+    return members.join(split.groupBy("rid").agg(F.collect_list(F.struct("pivot", "blocks")).alias("split")), "rid", "left")
+
+
 def jaccard_links(documents: DataFrame, width: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rid, n_shingles, sid) of each document, and links (a, b) between sids of a spanning forest.
 
@@ -366,10 +407,10 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
     # shuffled once.
     points = base.where("sid is not null").groupBy("sid").agg(F.min("rid").alias("rid"), F.first("n_shingles").alias("n"), F.count("*").alias("weight"))
     shared = _shared_prefixes(docs.join(points.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
-    likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid", "weight")
+    likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid", "n", "weight")
     likely = cut(likely)
     sent = _send_prefixes(docs.join(likely.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
-    members = _cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots", "weight")
+    members = _with_blocks(cut(_cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots", "n", "weight")))
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,20 +422,38 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
                     body = keys[bounds[d] : bounds[d + 1]].tobytes()
                     pivots = np.frombuffer(batch.column("pivots")[k].as_py(), np.int64)
                     weight = batch.column("weight")[k].as_py()
-                    # Pivots ascend: those before each one are the smaller ones.
-                    rows += [(int(h), int(p), int(sid[d]), body, pivots[:i].tobytes() if counted else b"", weight) for i, (h, p) in enumerate(zip(_home(pivots, homes), pivots, strict=True))]
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=[x.split()[0] for x in _MEMBER.split(", ")])
+                    blocks = {x["pivot"]: x["blocks"] for x in batch.column("split")[k].as_py() or ()}
+                    for i, (h, p) in enumerate(zip(_home(pivots, homes).tolist(), pivots.tolist(), strict=True)):
+                        # Pivots ascend: those before each one are the smaller ones.
+                        rest = int(sid[d]), body, pivots[:i].tobytes() if counted else b"", weight
+                        if p not in blocks:
+                            rows.append((h, p, 0, 0, 0, *rest))
+                            continue
+                        own = int(tk.mix(sid[d : d + 1].view(tk.U64) + tk.U64(p & (1 << 63) - 1))[0] % tk.U64(blocks[p]))
+                        pairs = np.array([(min(own, x), max(own, x)) for x in range(blocks[p])])
+                        to = _home(p ^ (pairs[:, 0] << 32 | pairs[:, 1]), homes)
+                        rows += [(t, p, low, high, own, *rest) for t, (low, high) in zip(to.tolist(), pairs.tolist(), strict=True)]
+                        if len(rows) > 2000:
+                            yield member_batch(rows)
+                            rows = []
+                if rows:
+                    yield member_batch(rows)
+
+    def member_batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in _MEMBER.split(", ")])
 
     def link(table: pa.Table) -> pa.Table:
-        pivot, sid = np.asarray(table.column("pivot")), np.asarray(table.column("sid"))
-        by = np.lexsort((sid, pivot))
-        pivot, sid = pivot[by], sid[by]
-        new = np.ones(len(sid), bool)
-        new[1:] = (pivot[1:] != pivot[:-1]) | (sid[1:] != sid[:-1])
+        pivot, low, high, own, sid = (np.asarray(table.column(c)) for c in ("pivot", "low", "high", "own", "sid"))
+        task = low.astype(np.int64) << 32 | high
+        by = np.lexsort((sid, task, pivot))
+        pivot, task, sid = pivot[by], task[by], sid[by]
+        same = (pivot[1:] == pivot[:-1]) & (task[1:] == task[:-1])
+        new = np.append(True, ~same | (sid[1:] != sid[:-1]))
+        head = np.append(True, ~same)[new]
         by, pivot, sid = by[new], pivot[new], sid[new]
         body, smaller, weight = table.column("shingles"), table.column("pivots"), np.asarray(table.column("weight"))
-        head = np.flatnonzero(np.append(True, pivot[1:] != pivot[:-1]))
+        head = np.flatnonzero(head)
         left, right, number = [], [], []
         for a, b in zip(head, np.append(head[1:], len(pivot)), strict=True):
             if b - a < 2:
@@ -408,7 +467,8 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
                 number.append(None)
             if counted:
                 before = [np.frombuffer(smaller[int(by[k])].as_py(), np.int64) for k in order]
-                counts = region_counts(sets, weight[by[order]], before, percent)
+                first = by[order[0]]
+                counts = region_counts(sets, weight[by[order]], before, percent, own[by[order]] if low[first] != high[first] else None)
                 for x in np.flatnonzero(counts).tolist():
                     left.append(sid[order[x]])
                     right.append(None)
@@ -416,7 +476,7 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
         return pa.table([pa.array(x, pa.int64()) for x in (left, right, number)], names=["a", "b", "n"])
 
     homes = buckets * 2
-    regions = docs.join(members, "rid").select("rid", "text", "pivots", "weight").mapInArrow(ship, _MEMBER)
+    regions = docs.join(members, "rid").select("rid", "text", "pivots", "weight", "split").mapInArrow(ship, _MEMBER)
     return base, cut(regions.groupBy("home").applyInArrow(link, "a long, b long, n long"))
 
 

@@ -32,6 +32,15 @@ def test_no_link_is_lost(spark):
     assert got == want and 10 < sum(n for i, n in want.items() if i >= 1000) < 40 * 39
 
 
+def test_regions_that_are_split_lose_no_link(spark, monkeypatch):
+    docs = brute.corpus(n=40) + near_copies(60)
+    want = {i: (n, c[1]) for (i, _), n, c in zip(docs, linked(docs), brute.jaccard(docs).values())}
+    for size in (2000, 300):
+        monkeypatch.setattr(ngram_join, "REGION_SHINGLES", size)
+        got = {r.doc_id: (r.n_links, r.component_id) for r in ngram_join.jaccard_components(brute.frame(spark, docs)).collect()}
+        assert got == want
+
+
 def test_blocks_of_overlaps(monkeypatch):
     rnd = np.random.default_rng(4)
     sets = [np.unique(rnd.integers(0, 60, rnd.integers(0, 50))).astype(np.uint64) for _ in range(70)]
