@@ -362,10 +362,9 @@ def _large_regions(members: DataFrame) -> DataFrame:
 
 
 def _with_blocks(members: DataFrame) -> DataFrame:
-    """members with ``split``, the numbers of blocks of those of its pivots that have several."""
-    large = cut(_large_regions(members))
-    if large.isEmpty():
-        return members.withColumn("split", F.lit(None).cast("array<struct<pivot: bigint, blocks: bigint>>"))
+    """members with ``split``, the numbers of blocks of those of its pivots that have several. All is one
+    query, in which the shuffles below members are used again; a job of its own would shuffle texts anew."""
+    large = _large_regions(members)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -410,7 +409,7 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
     likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid", "n", "weight")
     likely = cut(likely)
     sent = _send_prefixes(docs.join(likely.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
-    members = _with_blocks(cut(_cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots", "n", "weight")))
+    members = _with_blocks(_cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots", "n", "weight"))
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
