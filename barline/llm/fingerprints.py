@@ -197,7 +197,7 @@ def next_document(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataF
     spark = documents.sparkSession
     bounded_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = max(bytes_of(docs) // range_bytes, spark.sparkContext.defaultParallelism)
+    parts = max(bytes_of(documents) // range_bytes, spark.sparkContext.defaultParallelism)
     known = F.coalesce("doc_id", F.lit(-(2**63)))  # a null doc_id is in the first range, before all others
     cuts = spark.sparkContext.broadcast(range_cuts(docs.where("doc_id is not null").select("doc_id"), parts))
 
