@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import testdata as td
-from ..functions import calendar, classify, timeunits
+from ..functions import calendar, classify, text, timeunits
 from ..operators import audit, dedup, dims, facts, indicators, metrics, quarantine, rollup, silver, splits
 from ..sources import flatfiles, records, storage
-from ..streaming import messages
+from ..session import scratch_folder
+from ..streaming import lifecycle, messages
 from . import analytics, rules
 from .oracles import ADJ_MINUTES, BARS_L, DAILY, DIRTY, FACT, FACTS, NEWS, SPLITS, TICKERS, pct, query, rounded
 
@@ -621,3 +622,188 @@ def sql_parameters(spark, sf_dir):
     register_views(spark, sf_dir)
     text = "SELECT f.symbol, t.sector, f.date, f.adj_close FROM fact_daily_market_adjusted f JOIN dim_ticker t ON f.symbol = t.symbol WHERE array_contains(:symbols, f.symbol) AND f.date >= :since"
     return spark.sql(text, args={"symbols": F.array(F.lit("S1"), F.lit("S3")), "since": dt.date(2001, 1, 1)})
+
+
+# ---- tables, files and streams: written to a scratch folder and read back
+
+
+def by_year(bars: DataFrame) -> DataFrame:
+    return bars.select("symbol", "date", "start_timestamp", "close", "l_returnflag", F.year("date").alias("year"))
+
+
+def year_table(spark: SparkSession, name: str) -> storage.ParquetTable:
+    return storage.ParquetTable(spark, scratch_folder(spark, name), partition=("year",), sort=("symbol",))
+
+
+@named(query(BARS_L, select="SELECT symbol, date, start_timestamp, close, CAST(year(date) AS INTEGER) AS year FROM bars WHERE l_returnflag IN ('A', 'R') OR year(date) = 1996"))
+def table_modes(spark, sf_dir):
+    """Create, append, and an overwrite of one partition with all its rows, twice."""
+    bars, table = by_year(td.minute_bars(spark, sf_dir)), year_table(spark, "modes")
+    table.create(bars.where("l_returnflag = 'A'").drop("l_returnflag"))
+    table.append(bars.where("l_returnflag = 'R'").drop("l_returnflag"))
+    for _ in range(2):
+        table.overwrite_partitions(bars.where("year = 1996").drop("l_returnflag"))
+    return table.read()
+
+
+@named(query(BARS_L, select="""
+SELECT 'create' AS operation, count(*) AS rows, CAST(min(year(date)) AS VARCHAR) AS first, CAST(max(year(date)) AS VARCHAR) AS last FROM bars WHERE l_returnflag = 'A'
+UNION ALL SELECT 'append', count(*), CAST(min(year(date)) AS VARCHAR), CAST(max(year(date)) AS VARCHAR) FROM bars WHERE l_returnflag = 'R'
+UNION ALL SELECT 'replace', count(*), CAST(min(year(date)) AS VARCHAR), CAST(max(year(date)) AS VARCHAR) FROM bars"""))
+def table_history(spark, sf_dir):
+    bars, table = by_year(td.minute_bars(spark, sf_dir)), year_table(spark, "history")
+    table.create(bars.where("l_returnflag = 'A'"))
+    table.append(bars.where("l_returnflag = 'R'"))
+    table.replace(bars)
+    return table.history().drop("at")
+
+
+@named(query(BARS_L, select="SELECT symbol, start_timestamp, close FROM bars"))
+def inserted_rows(spark, sf_dir):
+    """An insert-only merge into a table that has a part of the keys, and the same merge again."""
+    bars, table = by_year(td.minute_bars(spark, sf_dir)), year_table(spark, "inserted")
+    table.create(bars.where("l_returnflag = 'A'"))
+    for _ in range(2):
+        table.insert_new(bars)
+    return table.read().select("symbol", "start_timestamp", "close")
+
+
+@named(query(TICKERS, select="""
+SELECT symbol, 'old' AS name, DATE '2001-11-01' AS snapshot_date FROM details WHERE symbol <> 'S1'
+UNION ALL SELECT symbol, name, DATE '2001-11-04' FROM details WHERE active"""))
+def replaced_snapshot(spark, sf_dir):
+    """The later of two snapshots is replaced by one with active symbols only."""
+    details = td.ticker_details(spark, sf_dir)
+    table = storage.ParquetTable(spark, scratch_folder(spark, "snapshots"), partition=("snapshot_date",))
+    table.append(details)
+    table.replace_snapshot(details.where(F.col("active") & (F.col("snapshot_date") == F.lit(AS_OF))), AS_OF)
+    return table.read().select("symbol", "name", "snapshot_date")
+
+
+@named(query(BARS_L, select="SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS rows FROM bars GROUP BY 1"))
+def previewed_append(spark, sf_dir):
+    """What a dry run says of an append, by partition."""
+    told = storage.guarded_append(year_table(spark, "preview"), by_year(td.minute_bars(spark, sf_dir)))
+    return spark.createDataFrame([(int(y), n) for y, n in told["dates"].items()], "year int, rows long")
+
+
+@named(query(BARS_L, select="SELECT symbol, date, start_timestamp, open, high, low, close, volume FROM bars"))
+def flat_file_scan(spark, sf_dir):
+    """Bars as gzipped CSV files, read in one scan with the declared schema and mapped."""
+    b, folder = td.minute_bars(spark, sf_dir), scratch_folder(spark, "flatfiles")
+    raw = b.select(F.col("symbol").alias("ticker"), F.col("volume").cast("double").alias("volume"), "open", "close", "high", "low", (F.col("start_timestamp") * 1_000_000).alias("window_start"), F.lit(1).alias("transactions"))
+    raw.write.option("header", True).option("compression", "gzip").csv(folder)
+    rows = flatfiles.historical_bars(flatfiles.read_flat_files(spark, [p for p, _ in flatfiles.existing(spark, [f"{folder}/*.csv.gz"])]), "run")
+    return rows.select("symbol", "date", "start_timestamp", "open", "high", "low", "close", "volume")
+
+
+@named("SELECT 's3a://files/minute/' || strftime(d, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS d) WHERE dayofweek(d) BETWEEN 1 AND 5")
+def flat_file_days(spark, sf_dir):
+    return spark.createDataFrame([(p,) for p in flatfiles.flat_file_paths("2024-01-01", "2024-12-31", "files", "files/minute")], "path string")
+
+
+@named("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def path_scan(spark, sf_dir):
+    return storage.path_table(spark, f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey")
+
+
+@named(query(*FACTS, TICKERS, GRID, select="SELECT symbol, close, volume FROM grid"))
+def csv_export(spark, sf_dir):
+    folder = scratch_folder(spark, "export")
+    storage.export_csv(grid(spark, sf_dir).select("symbol", "close", "volume"), folder)
+    return spark.read.schema("symbol string, close double, volume long").option("header", True).csv(folder)
+
+
+@named("""
+SELECT CAST(event_id AS BIGINT) AS "offset", CASE WHEN event_id % 10 = 0 THEN NULL ELSE upper(event_type) END AS symbol, CASE WHEN event_id % 10 = 0 THEN 'undecodable' END AS quarantine_reason FROM events""")
+def streamed_messages(spark, sf_dir):
+    """Messages from a stream of files: good rows and dead letters go to a table each, by queries of their own."""
+    e = td.table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    root = scratch_folder(spark, "messages")
+    e.repartition(3).write.parquet(f"{root}/arrived")
+    e = storage.stream_table(spark, f"{root}/arrived", e.schema, files_per_batch=2)
+    body = F.to_json(F.struct(F.upper("event_type").alias("symbol"), F.col("value").alias("close"), F.lit(1).alias("volume"), F.unix_millis("ts").alias("start_timestamp")))
+    body = F.when(F.col("event_id") % 10 == 0, F.lit("{broken")).otherwise(body)
+    sent = e.select(F.lit("k").alias("key"), F.concat(F.lit(bytes(5)), body.cast("binary")).alias("value"), F.lit("bars").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    good, dead = messages.split_messages(sent, "run")
+    folders = lifecycle.make_folders(root, ("streaming", "streaming_quarantine"))
+    for q in lifecycle.start_writers(good.select("symbol", "offset", "date"), dead.select("offset", "quarantine_reason"), folders, (None, None)):
+        q.awaitTermination()
+        lifecycle.check_alive([q])
+    kept = spark.read.parquet(folders["streaming"][0]).select("offset", "symbol", F.lit(None).cast("string").alias("quarantine_reason"))
+    return kept.unionByName(spark.read.parquet(folders["streaming_quarantine"][0]).select("offset", F.lit(None).cast("string").alias("symbol"), "quarantine_reason"))
+
+
+# ---- smaller transforms
+
+
+@named(query(BARS_L, select="SELECT symbol, start_timestamp FROM bars WHERE l_linenumber <> 1"))
+def exchange_traded(spark, sf_dir):
+    """Some bars are over the counter, some say that they are not, others do not say."""
+    b = td.minute_bars(spark, sf_dir)
+    told = b.withColumn("otc", F.when(F.col("l_linenumber") == 1, True).when(F.col("l_linenumber") == 2, False))
+    return silver.exchange_traded(told).select("symbol", "start_timestamp")
+
+
+@named(query(BARS_L, DAILY, select="SELECT symbol, date, open, high, low, close, volume, 'run' AS correlation_id FROM daily WHERE date >= DATE '2001-06-01' - 400"))
+def daily_fact_window(spark, sf_dir):
+    return facts.with_lineage(facts.daily_fact(daily(spark, sf_dir), dt.date(2001, 6, 1)), "run").drop("processing_timestamp")
+
+
+@named(query(BARS_L, DIRTY, select="""
+, c AS (SELECT date, count(*) AS n, count(*) FILTER (WHERE NOT (ok_price AND ok_logic AND ok_volume)) AS bad FROM judged GROUP BY 1),
+s AS (SELECT date, max(n) AS longest FROM (SELECT date, symbol, count(*) AS n FROM judged GROUP BY 1, 2) GROUP BY 1),
+g AS (SELECT bad * 100.0::DOUBLE / n < 1.0 OR date < DATE '2000-01-01' - 2 AS passed, longest >= 195 OR date < DATE '2000-01-01' - 2 AS whole FROM c JOIN s USING (date))
+SELECT 'quality_gate' AS name, 'fail' AS kind, count_if(passed) AS passed_records, count_if(NOT passed) AS failed_records FROM g
+UNION ALL SELECT 'session_complete', 'warn', count_if(whole), count_if(NOT whole) FROM g"""))
+def audit_gate(spark, sf_dir):
+    return rules.violations(audit.audit_log(td.dirty_bars(spark, sf_dir)), *rules.audit_expectations(dt.date(2000, 1, 1)))
+
+
+@named(query(NEWS, select="""
+, o AS (SELECT article_id, trim(regexp_replace(coalesce(description, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), ' ') AS line, title, article_url FROM articles),
+h AS (SELECT *, replace(replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS safe_title,
+      replace(replace(replace(replace(replace(article_url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS link FROM o)
+SELECT article_id, safe_title AS title, CASE WHEN length(line) > 120 THEN rtrim(substr(line, 1, 119), ' ') || '…' ELSE line END AS summary,
+       CASE WHEN regexp_matches(article_url, '^https?://[^ ]+$') THEN link END AS link FROM h"""))
+def article_cards(spark, sf_dir):
+    """News as it is shown: one line of the description, safe inside HTML."""
+    return td.news(spark, sf_dir).select("article_id", text.html_escaped(F.col("title")).alias("title"), text.one_line(F.col("description"), 120).alias("summary"), text.safe_url(F.col("article_url")).alias("link"))
+
+
+@named("""
+SELECT event_id, CASE WHEN event_id % 3 < 2 THEN strftime(timezone('America/New_York', timezone('UTC', date_trunc('second', CAST(ts AS TIMESTAMP)))), '%Y-%m-%d %H:%M:%S') END AS market_time FROM events""")
+def mixed_times(spark, sf_dir):
+    """Times as epoch milliseconds, as text, or as neither."""
+    e = td.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    mixed = F.when(F.col("event_id") % 3 == 0, F.unix_millis("ts").cast("string")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.lit("soon"))
+    return e.select("event_id", F.date_format(timeunits.normalised_market_time(mixed), "yyyy-MM-dd HH:mm:ss").alias("market_time"))
+
+
+@named(query(BARS_L, select="""
+SELECT symbol, start_timestamp FROM bars
+WHERE start_timestamp >= epoch_ms(timezone('America/New_York', TIMESTAMP '1999-06-01 10:00:00')) AND start_timestamp < epoch_ms(timezone('America/New_York', TIMESTAMP '1999-06-01 10:32:00'))"""))
+def backfill_window(spark, sf_dir):
+    """Bars of a window in exchange time, in summer, from 10:00 to 10:32."""
+    start, end = timeunits.epoch_window("1999-06-01", "10:00", "10:32")
+    return td.minute_bars(spark, sf_dir).where((F.col("start_timestamp") >= start) & (F.col("start_timestamp") < end)).select("symbol", "start_timestamp")
+
+
+@named("""
+SELECT * FROM (VALUES ('ytd', DATE '2024-01-01', DATE '2024-05-17'), ('mtd', DATE '2024-05-01', DATE '2024-05-17'), ('this quarter', DATE '2024-04-01', DATE '2024-05-17'),
+                      ('last quarter', DATE '2024-01-01', DATE '2024-03-31'), ('30 days', DATE '2024-05-17' - 30, DATE '2024-05-17')) AS v(name, first, last)""")
+def range_presets(spark, sf_dir):
+    names = ("ytd", "mtd", "this quarter", "last quarter", "30 days")
+    return spark.createDataFrame([(n, *timeunits.relative_range(n, dt.date(2024, 5, 17))) for n in names], "name string, first date, last date")
+
+
+@named(query(BARS_L, select="SELECT symbol, date, count(*) AS rows FROM bars GROUP BY 1, 2 HAVING count(*) > 1"))
+def repeated_keys(spark, sf_dir):
+    """A key check that fails: minutes share their symbol and date."""
+    return dims.duplicate_keys(td.minute_bars(spark, sf_dir), "symbol", "date")
+
+
+@named(query(BARS_L, TICKERS, select="SELECT DISTINCT symbol FROM bars WHERE symbol NOT IN (SELECT symbol FROM tickers WHERE is_active)"))
+def missing_tickers(spark, sf_dir):
+    """A foreign key check that fails: bars of symbols that are not active."""
+    return dims.missing_parents(td.minute_bars(spark, sf_dir), tickers(spark, sf_dir).where("is_active"), "symbol")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -22,3 +25,12 @@ def build_session(name: str = "barline", master: str | None = None, **settings:
     for key, value in (SETTINGS | {k.replace("_", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that the cluster names in spark.checkpoint.dir; where none is named, a folder
+    of this machine if it runs all by itself, and an error on a cluster."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"{named or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
