@@ -29,13 +29,15 @@ def flat_file_paths(first: str, last: str, bucket: str, prefix: str, scheme: str
 
 
 def existing(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int]]:
-    """(path, modification time in ms) of the files that are there, by metadata only."""
+    """(path, modification time in ms) of the files that are there, by metadata only; a pattern gives each
+    file that it matches."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     found = []
     for path in paths:
         at = jvm.org.apache.hadoop.fs.Path(path)
         status = at.getFileSystem(conf).globStatus(at)
-        found += [(path, int(s.getModificationTime())) for s in (status or ())]
+        pattern = any(c in path for c in "*?[{")
+        found += [(s.getPath().toString() if pattern else path, int(s.getModificationTime())) for s in (status or ())]
     return found
 
 

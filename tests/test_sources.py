@@ -33,6 +33,8 @@ def test_flat_files(spark, tmp_path):
     bad.write_bytes(gzip.compress((head + "AAA,x,1.0,1.5,2.0,0.5,1,3\n").encode()))
     found = flatfiles.existing(spark, [str(good), str(tmp_path / "absent.csv.gz")])
     assert [p for p, _ in found] == [str(good)]
+    matched = flatfiles.existing(spark, [f"{tmp_path}/*.csv.gz"])
+    assert sorted(p.rsplit("/", 1)[1] for p, _ in matched) == [good.name, bad.name]
     df = flatfiles.historical_bars(flatfiles.read_flat_files(spark, [str(good)]), "run")
     row = df.first()
     assert df.schema.names == schemas.HISTORICAL_BRONZE.names
