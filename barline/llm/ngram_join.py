@@ -58,6 +58,8 @@ _MEMBER = "home int, pivot long, low int, high int, own int, sid long, shingles
 REGION_SHINGLES = 2_000_000
 #: Rows and columns of a block of overlaps, and the entries that are expanded at once. Any choice is right.
 BLOCK, COLUMNS, EXPAND = 256, 4096, 4_000_000
+#: Bytes of sets that a task sends on at once. Any choice is right.
+SENT_BYTES = 8 << 20
 
 
 def shingle_sets(piece: tk.Piece, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -416,25 +418,32 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
             for piece in tk.pieces(batch.column("text"), 1 << 20):
                 keys, bounds = shingle_sets(piece, width)
                 sid = set_ids(keys, bounds)
-                rows = []
+                rows, held = [], 0
                 for d, k in enumerate(range(piece.rows.start, piece.rows.stop)):
                     body = keys[bounds[d] : bounds[d + 1]].tobytes()
                     pivots = np.frombuffer(batch.column("pivots")[k].as_py(), np.int64)
                     weight = batch.column("weight")[k].as_py()
                     blocks = {x["pivot"]: x["blocks"] for x in batch.column("split")[k].as_py() or ()}
                     for i, (h, p) in enumerate(zip(_home(pivots, homes).tolist(), pivots.tolist(), strict=True)):
+                        # A set goes out once for each pivot and block, so batches are bounded by bytes.
+                        if held > SENT_BYTES:
+                            yield member_batch(rows)
+                            rows, held = [], 0
                         # Pivots ascend: those before each one are the smaller ones.
                         rest = int(sid[d]), body, pivots[:i].tobytes() if counted else b"", weight
                         if p not in blocks:
                             rows.append((h, p, 0, 0, 0, *rest))
+                            held += len(body) + len(rest[2])
                             continue
                         own = int(tk.mix(sid[d : d + 1].view(tk.U64) + tk.U64(p & (1 << 63) - 1))[0] % tk.U64(blocks[p]))
                         pairs = np.array([(min(own, x), max(own, x)) for x in range(blocks[p])])
                         to = _home(p ^ (pairs[:, 0] << 32 | pairs[:, 1]), homes)
-                        rows += [(t, p, low, high, own, *rest) for t, (low, high) in zip(to.tolist(), pairs.tolist(), strict=True)]
-                        if len(rows) > 2000:
-                            yield member_batch(rows)
-                            rows = []
+                        for t, (low, high) in zip(to.tolist(), pairs.tolist(), strict=True):
+                            rows.append((t, p, low, high, own, *rest))
+                            held += len(body) + len(rest[2])
+                            if held > SENT_BYTES:
+                                yield member_batch(rows)
+                                rows, held = [], 0
                 if rows:
                     yield member_batch(rows)
 

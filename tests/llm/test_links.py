@@ -41,6 +41,16 @@ def test_regions_that_are_split_lose_no_link(spark, monkeypatch):
         assert got == want
 
 
+def test_members_are_sent_in_bounded_batches(spark, monkeypatch):
+    docs = brute.corpus(n=40) + near_copies(40)
+    want = {i: (n, c[1]) for (i, _), n, c in zip(docs, linked(docs), brute.jaccard(docs).values())}
+    monkeypatch.setattr(ngram_join, "SENT_BYTES", 1000)
+    for region in (ngram_join.REGION_SHINGLES, 2000):
+        monkeypatch.setattr(ngram_join, "REGION_SHINGLES", region)
+        got = {r.doc_id: (r.n_links, r.component_id) for r in ngram_join.jaccard_components(brute.frame(spark, docs)).collect()}
+        assert got == want
+
+
 def test_blocks_of_overlaps(monkeypatch):
     rnd = np.random.default_rng(4)
     sets = [np.unique(rnd.integers(0, 60, rnd.integers(0, 50))).astype(np.uint64) for _ in range(70)]
