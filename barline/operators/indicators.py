@@ -77,14 +77,31 @@ def period_summary(bars: DataFrame) -> DataFrame:
     return each.withColumn("period_return_pct", F.try_divide(F.col("last_close") - F.col("first_close"), F.col("first_close")) * 100)
 
 
+def _price_shape(bars: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(by, price_low, price_high, typical): typical is the exact median range of a bar.
+
+    Ranges are counted first and ranked in a window, which spills, so that no aggregation buffer holds
+    the ranges of a busy symbol.
+    """
+    ranges = bars.groupBy(*by, (F.col("high") - F.col("low")).alias("range")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
+    here = W.partitionBy(*by)
+    ranges = ranges.withColumn("upto", F.sum("n").over(here.orderBy("range"))).withColumn("all", F.sum("n").over(here))
+
+    def nth(k: Column) -> Column:
+        return F.max(F.when((F.col("upto") > k) & (F.col("upto") - F.col("n") <= k), F.col("range")))
+
+    typical = (nth(F.floor((F.col("all") - 1) / 2)) + nth(F.floor(F.col("all") / 2))) / 2
+    return ranges.groupBy(*by).agg(F.min("low").alias("price_low"), F.max("high").alias("price_high"), typical.alias("typical"))
+
+
 def volume_bins(bars: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
     """(by, n_bins, bin, price_low, bin_size, volume): each bar's volume spread evenly over its price bins.
 
     A bin is half the median range of a bar, and there are 20 to 100 of them.  Every bin of a profile has
-    a row.
+    a row.  Shares are summed as decimals: bins that get the same shares tie whatever the order of rows.
     """
     bars = bars.where("volume > 0 AND high IS NOT NULL AND low IS NOT NULL").select(*by, "high", "low", F.col("volume").cast("double").alias("volume"))
-    shape = bars.groupBy(*by).agg(F.min("low").alias("price_low"), F.max("high").alias("price_high"), F.percentile(F.col("high") - F.col("low"), 0.5).alias("typical"))
+    shape = _price_shape(bars, by)
     span = F.col("price_high") - F.col("price_low")
     shape = shape.where(span > 0).withColumn("typical", F.when(F.col("typical") > 0, F.col("typical")).otherwise(span / 50))
     bins = F.greatest(F.lit(MIN_BINS), F.least(F.lit(MAX_BINS), F.rint(span / (F.col("typical") / 2)).cast("int")))
@@ -94,8 +111,8 @@ def volume_bins(bars: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame
         return F.greatest(F.lit(0), F.least(F.col("n_bins") - 1, F.floor((F.col(price) - F.col("price_low")) / F.col("bin_size")).cast("int")))
 
     spread = bars.join(shape, list(by)).withColumn("lo", bin_of("low")).withColumn("hi", bin_of("high"))
-    spread = spread.select(*by, F.explode(F.sequence("lo", "hi")).alias("bin"), (F.col("volume") / (F.col("hi") - F.col("lo") + 1)).alias("volume"))
-    summed = spread.groupBy(*by, "bin").agg(F.sum("volume").alias("volume"))
+    spread = spread.select(*by, F.explode(F.sequence("lo", "hi")).alias("bin"), (F.col("volume") / (F.col("hi") - F.col("lo") + 1)).cast("decimal(28, 6)").alias("volume"))
+    summed = spread.groupBy(*by, "bin").agg(F.sum("volume").cast("double").alias("volume"))
     every = shape.select(*by, "n_bins", "price_low", "bin_size", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin"))
     return every.join(summed, [*by, "bin"], "left").withColumn("volume", F.coalesce("volume", F.lit(0.0)))
 

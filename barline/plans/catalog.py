@@ -596,9 +596,39 @@ def volume_bins(spark, sf_dir):
     return rows.select("symbol", "bin", "n_bins", exact("price_low", 4), exact("bin_size", 6), exact("volume", 3))
 
 
-@named()
+@named(query(BARS_L, DAILY, select="""
+, ranges AS (
+  SELECT symbol, min(low) AS price_low, max(high) - min(low) AS span, list_sort(list(high - low)) AS r
+  FROM daily WHERE volume > 0 GROUP BY symbol),
+typical AS (SELECT *, (r[(len(r) + 1) // 2] + r[len(r) // 2 + 1]) / 2 AS typical FROM ranges WHERE span > 0),
+binned AS (
+  SELECT symbol, price_low, span, CAST(greatest(20, least(100, round_even(span / (CASE WHEN typical > 0 THEN typical ELSE span / 50 END / 2), 0))) AS INTEGER) AS n_bins
+  FROM typical),
+shape AS (SELECT *, span / n_bins AS bin_size FROM binned),
+placed AS (
+  SELECT symbol, volume, greatest(0, least(n_bins - 1, CAST(floor((low - price_low) / bin_size) AS INTEGER))) AS lo,
+         greatest(0, least(n_bins - 1, CAST(floor((high - price_low) / bin_size) AS INTEGER))) AS hi
+  FROM daily JOIN shape USING (symbol) WHERE volume > 0),
+spread AS (SELECT symbol, unnest(generate_series(lo, hi)) AS bin, CAST(CAST(volume AS DOUBLE) / (hi - lo + 1) AS DECIMAL(28, 6)) AS volume FROM placed),
+summed AS (SELECT symbol, bin, CAST(sum(volume) AS DOUBLE) AS volume FROM spread GROUP BY symbol, bin),
+every AS (SELECT symbol, unnest(generate_series(0, n_bins - 1)) AS bin FROM shape),
+listed AS (SELECT symbol, list(coalesce(volume, 0) ORDER BY bin) AS v FROM every LEFT JOIN summed USING (symbol, bin) GROUP BY symbol),
+profile AS (
+  SELECT *, list_reduce(list_prepend(0::DOUBLE, v), lambda a, x: a + x) AS total_volume, CAST(list_position(v, list_max(v)) - 1 AS INTEGER) AS poc
+  FROM listed JOIN shape USING (symbol)),
+area AS (
+  SELECT symbol, 0 AS step, poc AS lo, poc AS hi, v[poc + 1] AS held FROM profile WHERE total_volume > 0
+  UNION ALL
+  SELECT symbol, step + 1, CASE WHEN up THEN lo ELSE greatest(lo - 2, 0) END, CASE WHEN up THEN least(hi + 2, n_bins - 1) ELSE hi END, held + CASE WHEN up THEN above ELSE below END
+  FROM (SELECT *, (above >= below AND hi < n_bins - 1) OR lo = 0 AS up
+        FROM (SELECT symbol, step, lo, hi, held, n_bins, coalesce(v[hi + 2], 0) + coalesce(v[hi + 3], 0) AS above,
+                     CASE WHEN lo >= 1 THEN v[lo] ELSE 0 END + CASE WHEN lo >= 2 THEN v[lo - 1] ELSE 0 END AS below
+              FROM area JOIN profile USING (symbol) WHERE held < total_volume * 0.7::DOUBLE AND NOT (lo = 0 AND hi = n_bins - 1)))),
+grown AS (SELECT symbol, arg_max(lo, step) AS lo, arg_max(hi, step) AS hi, arg_max(held, step) AS held FROM area GROUP BY symbol)
+SELECT symbol, n_bins, price_low + (poc + 0.5::DOUBLE) * bin_size AS poc_price, price_low + lo * bin_size AS value_area_low,
+       price_low + (hi + 1) * bin_size AS value_area_high, held AS value_area_volume, total_volume
+FROM profile JOIN grown USING (symbol)""").replace("WITH", "WITH RECURSIVE", 1))
 def volume_profile(spark, sf_dir):
-    """The value area grows step by step; tests hold it against a plain loop."""
     return indicators.volume_profile(daily(spark, sf_dir))
 
 
