@@ -53,7 +53,7 @@ def paragraphs(piece: tk.Piece) -> tuple[np.ndarray, np.ndarray]:
     some = high > low
     start, end = filled[low[some]], filled[high[some] - 1] + 1
     doc = np.searchsorted(piece.offs, start, "right") - 1
-    keys = tk.span_hash(tk.prefix_hash(data), start, end)
+    keys = tk.span_hash(data, start, end)
     by = np.lexsort((keys, doc))
     keys, doc = keys[by], doc[by]
     new = np.ones(len(keys), bool)

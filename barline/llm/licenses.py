@@ -78,13 +78,13 @@ def _bigrams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Bigram hashes of each unit data[offs[k]:offs[k + 1]], in order, with their bounds, and the words."""
     data = tk.LOWER[data]
     words = tk.find_words(data, offs, tk.ALNUM)
-    prefix = tk.seq_prefix(tk.word_hashes(data, words))
+    names = tk.word_hashes(data, words)
     size = np.diff(words.bounds)
     count = np.where(size > 1, size - 1, size)
     unit = np.repeat(np.arange(len(size)), count)
     bounds = np.concatenate(([0], np.cumsum(count)))
     at = words.bounds[unit] + np.arange(int(bounds[-1])) - bounds[unit]
-    return tk.seq_hash(prefix, at, np.minimum(size, 2)[unit]), bounds, words
+    return tk.seq_hash(names, at, np.minimum(size, 2)[unit]), bounds, words
 
 
 @dataclass

@@ -66,13 +66,13 @@ def shingle_sets(piece: tk.Piece, width: int = WORDS) -> tuple[np.ndarray, np.nd
     """Distinct shingle hashes, ascending in each document, and each document's bounds."""
     data = tk.LOWER[piece.data]
     words = tk.find_words(data, piece.offs, tk.NOT_SPACE)
-    prefix = tk.seq_prefix(tk.word_hashes(data, words))
+    names = tk.word_hashes(data, words)
     size = np.diff(words.bounds)
     count = np.where(size > 0, np.maximum(size - width + 1, 1), 0)
     doc = np.repeat(np.arange(piece.n), count)
     first = np.cumsum(count) - count
     at = words.bounds[doc] + np.arange(int(count.sum())) - first[doc]
-    keys = tk.seq_hash(prefix, at, np.minimum(size, width)[doc])
+    keys = tk.seq_hash(names, at, np.minimum(size, width)[doc])
     by = np.lexsort((keys, doc))
     keys, doc = keys[by], doc[by]
     new = np.ones(len(keys), bool)

@@ -108,7 +108,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for k, piece in enumerate(tk.pieces(batch.column("text"))):
             names, words = _parsed(piece)
             at = _fitting(anchors(names, words.bounds), words.bounds, tail)
-            keys = tk.seq_hash(tk.seq_prefix(names), at, tail)
+            keys = tk.seq_hash(names, at, tail)
             yield from repeats.entries(keys, at, rid[piece.rows], words.bounds[:-1], None, buckets, "any", True, int(rid[0]) + k)
 
     def name_windows(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -117,7 +117,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             names, words = _parsed(piece)
             found = repeats.flat_positions(batch.column("at"), piece.rows, words.bounds[:-1])
             at = candidates(found, words.bounds, window, REACH)
-            keys = tk.seq_hash(tk.seq_prefix(names), at, window)
+            keys = tk.seq_hash(names, at, window)
             yield from repeats.entries(keys, at, rid[piece.rows], words.bounds[:-1], ords[piece.rows], buckets, "later", False, int(rid[0]) + k)
 
     hinted = repeats.find(docs.select("rid", "text"), name_anchors, "any", True, buckets)

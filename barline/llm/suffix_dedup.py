@@ -122,9 +122,8 @@ def _send_contexts(docs: DataFrame, v: int, cover: np.ndarray, width: int, reach
                     continue
                 doc = np.searchsorted(offs, found, "right") - 1
                 low, high = np.maximum(found - reach, offs[doc]), np.minimum(found + width + reach, offs[doc + 1])
-                prefix = tk.prefix_hash(piece.data)
-                keys = tk.span_hash(prefix, found, found + width)
-                context = tk.mix(tk.span_hash(prefix, low, high) + (found - low).astype(tk.U64))
+                keys = tk.span_hash(piece.data, found, found + width)
+                context = tk.mix(tk.span_hash(piece.data, low, high) + (found - low).astype(tk.U64))
                 by = np.lexsort((context, keys))
                 new = np.ones(len(by), bool)
                 new[1:] = (keys[by][1:] != keys[by][:-1]) | (context[by][1:] != context[by][:-1])
@@ -214,7 +213,7 @@ def repeated_strings(docs: DataFrame, length: int, v: int, cover: np.ndarray, wi
         rid = tk.i64(batch.column("rid"))
         for k, piece in enumerate(tk.pieces(batch.column("text"))):
             at, numbers, first = sampled(piece.offs, v, cover, width)
-            keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + width)
+            keys = tk.span_hash(piece.data, at, at + width)
             yield from repeats.entries(keys, numbers, rid[piece.rows], first, None, buckets, "any", True, int(rid[0]) + k)
 
     def name_strings(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -223,7 +222,7 @@ def repeated_strings(docs: DataFrame, length: int, v: int, cover: np.ndarray, wi
             shared, _, status, _ = _samples(batch.column("at"), piece, v, cover, STATUS)
             at = _through(shared[status & OPEN > 0], piece.offs, reach, length)
             at = _without_gaps(at, shared, piece.offs, v, reach - (v - 1))
-            keys = tk.span_hash(tk.prefix_hash(piece.data), at, at + length)
+            keys = tk.span_hash(piece.data, at, at + length)
             yield from repeats.entries(keys, at, rid[piece.rows], piece.offs[:-1], None, buckets, "any", False, int(rid[0]) + k)
 
     # All joins read all columns of docs, so that one shuffle of the texts serves them all.

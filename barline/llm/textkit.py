@@ -14,72 +14,87 @@ import pyarrow as pa
 
 U64 = np.uint64
 PIECE_BYTES = 2 << 20
-_BASE = 0x9E6C63D0676A9A9B  # odd and 3 modulo 8, so that its powers have a long period
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-_tables: dict[str, np.ndarray] = {}
+#: Elements that are mixed at once, so that they stay in a core's cache. Any choice is right.
+_BLOCK = 1 << 15
+_CHUNK = 8  # bytes in an element
+_LEFT, _SIZE = U64(0x9E6C63D0676A9A9B), U64(0xD1342543DE82EF95)
+_ONLY = np.array([(1 << 8 * k) - 1 for k in range(_CHUNK + 1)], U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser: every output bit depends on every input bit."""
-    x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U64(27))
-    x = x * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
-
-
-_STEP = 4096
-
-
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < _STEP, and of every _STEP-th i up to n, grown on demand."""
-    key = f"{base:x}"
-    high = n // _STEP + 2
-    if key not in _tables or len(_tables[key][1]) < high:
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            for first, size in ((b, _STEP), (pow(b, _STEP, 1 << 64), max(high, 256))):
-                p = np.full(size, first, U64)
-                p[0] = 1
-                out.append(np.cumprod(p, dtype=U64))
-        _tables[key] = tuple(out)
-    return _tables[key]
-
-
-def _prefix(values: np.ndarray, base: int, coded: bool) -> np.ndarray:
-    """Prefix sums of value[k] * base**k, block by block; coded values are bytes and stand for their codes."""
-    n = len(values)
-    low, high, _, _ = _powers(n, base)
-    out = np.zeros(n + 1, U64)
-    width = 64 * _STEP
-    for at in range(0, n, width):
-        part = values[at : at + width]
-        rows = -(-len(part) // _STEP)
-        power = (high[at // _STEP : at // _STEP + rows, None] * low[None, :]).ravel()[: len(part)]
-        power *= _BYTE[part] if coded else part
-        to = out[at + 1 : at + 1 + len(part)]
-        np.cumsum(power, out=to)
-        to += out[at]
+    return _mix_here(np.array(x, U64))
+
+
+def _mix_here(x: np.ndarray) -> np.ndarray:
+    for at in range(0, len(x), _BLOCK):
+        part = x[at : at + _BLOCK]
+        part ^= part >> U64(30)
+        part *= U64(0xBF58476D1CE4E5B9)
+        part ^= part >> U64(27)
+        part *= U64(0x94D049BB133111EB)
+        part ^= part >> U64(31)
+    return x
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The name of a, b. It is mixed at each level, so no sum of powers is left whose terms could cancel."""
+    out = a * _LEFT
+    out += b
+    return _mix_here(out)
+
+
+def _windows(base: np.ndarray, step: int, at: np.ndarray, width: int) -> np.ndarray:
+    """Names of the windows of width = step * 2**k that start at ``at``: that of a half and the other half.
+    All windows are named where most are asked for, else those that are needed."""
+    if width == step:
+        return base[at]
+    if 2 * len(at) > len(base):
+        named, size = base, step
+        while size < width:
+            named, size = _pair(named[: len(named) - size], named[size:]), size * 2
+        return named[at]
+    half = width // 2
+    both = _windows(base, step, np.concatenate([at, at + half]), half)
+    return _pair(both[: len(at)], both[len(at) :])
+
+
+def _spans(base: np.ndarray, step: int, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Names of spans of at least ``step``: two windows, at the start and at the end, cover each; their
+    width is the largest step * 2**k below the size, so spans of one size are covered alike."""
+    out = np.empty(len(start), U64)
+    level = np.ceil(np.log2(np.maximum(size / step, 1))).astype(np.int64)
+    for k in np.unique(level).tolist():
+        some = np.flatnonzero(level == k) if k or level.any() else slice(None)
+        at = start[some]
+        if k == 0:
+            out[some] = base[at]
+            continue
+        width = step << (k - 1)
+        both = _windows(base, step, np.concatenate([at, at + size[some] - width]), width)
+        out[some] = _pair(both[: len(at)], both[len(at) :])
+    out += size.astype(U64) * _SIZE
+    return _mix_here(out)
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Names of data[start:end], the same wherever equal bytes stand; the length counts too."""
+    padded = np.zeros(len(data) + _CHUNK, np.uint8)
+    padded[: len(data)] = data
+    loads = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,)).astype(U64)
+    size = end - start
+    short = size <= _CHUNK
+    if not short.any():
+        return _spans(loads[:-1], _CHUNK, start, size)
+    out = np.empty(len(start), U64)
+    few = np.flatnonzero(short)
+    out[few] = _mix_here((loads[start[few]] & _ONLY[size[few]]) + size[few].astype(U64) * _SIZE)
+    more = np.flatnonzero(~short)
+    if len(more):
+        out[more] = _spans(loads[:-1], _CHUNK, start[more], size[more])
     return out
 
 
-def _shift_back(total: np.ndarray, start: np.ndarray, n: int, base: int) -> np.ndarray:
-    """total * base**-start."""
-    _, _, low, high = _powers(n, base)
-    return total * low[start % _STEP] * high[start // _STEP]
-
-
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """P with P[j] - P[i] = sum of code(data[k]) * base**k over i <= k < j."""
-    return _prefix(data, _BASE, True)
-
-
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end], the same wherever equal bytes stand; the length counts too."""
-    return mix(_shift_back(prefix[end] - prefix[start], start, len(prefix), _BASE) + (end - start).astype(U64))
-
-
 @dataclass
 class Piece:
     """Some consecutive documents of a batch: bytes, offsets, and the batch rows they came from."""
@@ -162,21 +177,12 @@ def find_words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> Words
 
 
 def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
-    return span_hash(prefix_hash(data), words.start, words.end)
-
-
-_WORD = 0xD1342543DE82EF95  # base of sequences of word names
-
-
-def seq_prefix(names: np.ndarray) -> np.ndarray:
-    """Prefix sums for hashes of word sequences, as prefix_hash() for bytes."""
-    return _prefix(names, _WORD, False)
+    return span_hash(data, words.start, words.end)
 
 
-def seq_hash(prefix: np.ndarray, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
-    """Hash of the names at[i] .. at[i] + length - 1."""
-    size = np.asarray(length)
-    return mix(_shift_back(prefix[at + size] - prefix[at], at, len(prefix), _WORD) + size.astype(U64))
+def seq_hash(names: np.ndarray, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+    """Names of the sequences names[at] .. names[at + length - 1]; a length is 1 or more."""
+    return _spans(names, 1, at, np.broadcast_to(np.asarray(length, np.int64), at.shape))
 
 
 def doc_of(bounds: np.ndarray) -> np.ndarray:
