@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing
+from . import chat, divergence, mixing, ranked_search
 from .decontaminate import decontaminate
 from .fingerprints import fingerprint_versions
 from .langid import language_id
 from .licenses import license_scan
+from .neighbours import nearest_neighbours
 from .ngram_join import jaccard_components
 from .quality import quality_scores
 from .substring_dedup import substring_dedup
@@ -63,6 +64,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_license_scan,
@@ -75,9 +88,12 @@ def queries() -> dict[str, Query]:
         op8_language_id,
         op9_fingerprints,
         op10_substring_dedup,
+        op11_source_divergence,
+        op12_ranked_search,
+        op13_nearest_neighbours,
     )
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.ORACLE_SQL, "op3_mix_sources": mixing.ORACLE_SQL}
+    return {"op2_chat_format": chat.ORACLE_SQL, "op3_mix_sources": mixing.ORACLE_SQL, "op11_source_divergence": divergence.ORACLE_SQL, "op12_ranked_search": ranked_search.ORACLE_SQL}

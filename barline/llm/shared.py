@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -86,3 +87,12 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         labels = moved.select("node", "label")
         if done:
             return labels.select("node", F.col("label").alias("component"))
+
+
+def item_blocks(items: DataFrame, block_bytes: int) -> tuple[int, Iterator[list[tuple[object, str | None]]]]:
+    """How many blocks the distinct (item_id, text) make, and the blocks, each collected when it is asked for."""
+    rows = items.select("item_id", "text").distinct()
+    total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
+    blocks = int(total // block_bytes) + 1
+    key = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    return blocks, ([(r[0], r[1]) for r in (rows.where(key == b) if blocks > 1 else rows).collect()] for b in range(blocks))

@@ -145,6 +145,7 @@ def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
 SPACE = byte_class((0x20, 0x20), (0x09, 0x0D))
 NOT_SPACE = ~SPACE
 ALNUM = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
+ALPHA = byte_class((0x61, 0x7A), (0x80, 0xFF))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -176,6 +177,19 @@ def find_words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> Words
     return Words(start, np.flatnonzero(last) + 1, np.searchsorted(start, offs))
 
 
+def terms(piece: Piece, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(document, term, occurrences) of each different term of each document, ordered by both; the terms, A-Z
+    lower-cased; and how many words each document has."""
+    data = LOWER[piece.data]
+    words = find_words(data, piece.offs, is_word)
+    ends = np.append(0, np.cumsum(words.end - words.start)).astype(np.int32)
+    body = np.ascontiguousarray(data[is_word[data]])
+    each = pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(body)]).dictionary_encode()
+    n = max(len(each.dictionary), 1)
+    pair, count = np.unique(doc_of(words.bounds) * n + np.asarray(each.indices), return_counts=True)
+    return *np.divmod(pair, n), count, each.dictionary, np.diff(words.bounds)
+
+
 def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
     return span_hash(data, words.start, words.end)
 
