@@ -4,7 +4,7 @@ A group is a (lang, source) that occurs; null counts as ''.  A language keeps th
 least ``KEEP`` of its documents.  Each group, and each language as a whole, gives each kept term a share of
 ``SCALE``, smoothed, in whole numbers.
 
-1. Documents become counts of (lang, source, term), first inside a piece of text, then over the corpus.
+1. Documents become counts of (lang, source, term), first inside a task, then over the corpus.
    They are dealt by (lang, term), so a task has all groups of a term and keeps or drops it at once.
 2. The counts of consecutive terms are packed: a chunk has up to ``CHUNK`` terms of a language, and a row for
    each block of about ``BLOCK`` groups, with group, term and count of each entry.
@@ -38,8 +38,9 @@ from .shared import bounded_batches, bytes_of, cut
 KEEP, TOP = 30, 50
 SCALE, SMOOTH = 1_000_000_000, 5
 #: Groups of a block, terms of a chunk, counts that one task of a pair of blocks goes through, bytes of text
-#: for a partition of counts. Any choice is right.
-BLOCK, CHUNK, SPAN_ROWS, PART_BYTES = 64, 4096, 50_000_000, 16 << 20
+#: for a partition of counts, counts that a task combines at once, groups whose languages are broadcast. Any
+#: choice is right.
+BLOCK, CHUNK, SPAN_ROWS, PART_BYTES, COMBINE, FEW = 64, 4096, 50_000_000, 16 << 20, 1_000_000, 1_000_000
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _TILE = "lang string, lo int, hi int, span int, chunk long, block int, sources array<string>, at binary, term binary, n binary, kept long"
 _PAIR = "lang string, source string, item string, value long"
@@ -68,6 +69,27 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(cols, names=_names(_COUNTS))
 
 
+def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same, added up over the pieces of a task; what does not shrink is sent on."""
+
+    def total(parts: list[pa.RecordBatch]) -> pa.Table:
+        rows = pa.Table.from_batches(parts).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+        return rows.rename_columns({"n_sum": "n", "docs_sum": "docs"}).select(_names(_COUNTS))
+
+    held, rows = [], 0
+    for part in count_terms(batches):
+        held.append(part)
+        rows += part.num_rows
+        if rows > COMBINE:
+            table = total(held)
+            held, rows = table.to_batches(), table.num_rows
+            if rows > COMBINE // 2:
+                yield from table.to_batches(max_chunksize=100_000)
+                held, rows = [], 0
+    if held:
+        yield from total(held).to_batches(max_chunksize=100_000)
+
+
 def shares(count: np.ndarray, total: np.ndarray | int) -> np.ndarray:
     """1 + floor(SCALE * (count + SMOOTH) / total) without rounding, by long division in thousands; a total
     is below 9 * 10**15."""
@@ -229,9 +251,11 @@ def source_divergence(documents: DataFrame, keep: int = KEEP, top: int = TOP) ->
     parts = max(bytes_of(documents.select("text")) // PART_BYTES, documents.sparkSession.sparkContext.defaultParallelism)
     groups = cut(docs.select("lang", "source").distinct())
     blocks = groups.groupBy("lang").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    if groups.count() <= FEW:  # else a join by lang, whose large languages are split
+        blocks = F.broadcast(blocks)
 
     # One shuffle by (lang, term) serves the counts of groups, of documents and of the language.
-    each = docs.mapInArrow(count_terms, _COUNTS).join(blocks, "lang").repartition(parts, "lang", "term")
+    each = docs.mapInArrow(combined, _COUNTS).join(blocks, "lang").repartition(parts, "lang", "term")
     each = each.groupBy("lang", "source", "term", "blocks").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     term = W.partitionBy("lang", "term")
     kept = each.select(
