@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -11,6 +12,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
+#: How files of commits that append, and of those that rewrite, begin.
+APPEND, REWRITE = "part", "rewrite"
+#: Size of a file after compaction.
+FILE_BYTES = 128 << 20
+
+
 def unknown_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str] = ("symbol", "start_timestamp"), day: str = "date") -> DataFrame:
     """Rows of batch whose key target has not. The batch's first date is a scalar, so that only partitions
     from it on are read of target."""
@@ -48,20 +55,27 @@ class ParquetTable:
 
     # ---- writing
 
-    def _commit(self, df: DataFrame, mode: str, operation: str, partitions: str = "dynamic") -> dict:
-        """Writes and logs rows and dates, which are observed on the way: no second pass counts them."""
+    def _commit(self, df: DataFrame, mode: str, operation: str, partitions: str = "dynamic", rewrites: bool = False) -> dict:
+        """Writes and logs rows and dates, which are observed on the way: no second pass counts them.
+
+        Rows are rebalanced by partition: small partitions share a task and large ones are split, so a
+        partition gets as many files as it has advisory sizes, whatever the number of tasks.  Files of a commit
+        that rewrites rows are named after it, so streams can leave them out.
+        """
         day = self.partition[0] if self.partition else None
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("rows")] + ([F.min(day).alias("first"), F.max(day).alias("last")] if day else [])
         rows = df.observe(seen, *measures)
         if self.partition:
-            rows = rows.repartition(*[F.col(c) for c in (*self.partition, *self.sort[:1])])
+            rows = rows.hint("rebalance", *[F.col(c) for c in self.partition])
         if self.sort:
             rows = rows.sortWithinPartitions(*self.partition, *self.sort)
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", partitions)
+        at = dt.datetime.now(dt.timezone.utc).isoformat()
+        name = f"{REWRITE}{re.sub('[^0-9]', '', at)[:20]}" if rewrites else APPEND
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", partitions).option("mapreduce.output.basename", name)
         (writer.partitionBy(*self.partition) if self.partition else writer).parquet(self.path)
         found = seen.get
-        entry = {"operation": operation, "rows": found["rows"], "first": str(found.get("first")), "last": str(found.get("last")), "at": dt.datetime.now(dt.timezone.utc).isoformat()}
+        entry = {"operation": operation, "rows": found["rows"], "first": str(found.get("first")), "last": str(found.get("last")), "at": at, "files": name}
         self.spark.createDataFrame([(entry["at"], json.dumps(entry))], "at string, details string").coalesce(1).write.mode("append").json(self._log)
         return entry
 
@@ -83,18 +97,18 @@ class ParquetTable:
 
     def replace(self, df: DataFrame) -> dict:
         """The whole table: how a materialised view is recomputed."""
-        return self._commit(df, "overwrite", "replace", "static")
+        return self._commit(df, "overwrite", "replace", "static", rewrites=True)
 
     def overwrite_partitions(self, df: DataFrame) -> dict:
         """Replaces the partitions that df has rows in, and no others: writing again changes nothing."""
-        return self._commit(df, "overwrite", "overwrite partitions")
+        return self._commit(df, "overwrite", "overwrite partitions", rewrites=True)
 
     def replace_snapshot(self, df: DataFrame, day: dt.date, column: str = "snapshot_date") -> dict:
         """Replaces one snapshot; df must hold that date only."""
         other = df.where(~F.col(column).eqNullSafe(F.lit(day))).limit(1).count()
         if other:
             raise ValueError(f"rows of other dates than {day} in the snapshot")
-        return self._commit(df, "overwrite", f"snapshot {day}")
+        return self._commit(df, "overwrite", f"snapshot {day}", rewrites=True)
 
     def insert_new(self, df: DataFrame, keys: Sequence[str] = ("symbol", "start_timestamp")) -> dict:
         """Appends rows whose key is not there yet; rows that are there are never changed.
@@ -124,7 +138,54 @@ class ParquetTable:
         if not days:
             return {"operation": "upsert", "rows": 0}
         affected = events.read().where(F.col(day).isin(*days))
-        return self._commit(winner(affected), "overwrite", "upsert")
+        return self._commit(winner(affected), "overwrite", "upsert", rewrites=True)
+
+    def compact(self, file_bytes: int = FILE_BYTES) -> dict:
+        """Rewrites the partitions whose files would fit into half as many of ``file_bytes``, and no others.
+        Rows stay as they are, and streams do not see them again."""
+        if not self.partition:
+            raise ValueError("only partitioned tables are compacted")
+        folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.path)
+        sizes = files.groupBy(folder.alias("folder")).agg(F.count("*").alias("n"), F.sum("length").alias("bytes"))
+        crowded = [r.folder for r in sizes.where(F.col("n") >= 2 * F.ceil(F.col("bytes") / file_bytes)).where("n > 1").select("folder").collect()]  # one row a partition
+        if not crowded:
+            return {"operation": "compact", "rows": 0}
+        rows = self.spark.read.schema(self.read().schema).option("basePath", self.path).parquet(*crowded)
+        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(file_bytes))
+        try:
+            return self._commit(rows, "overwrite", "compact", rewrites=True)
+        finally:
+            self.spark.conf.set(key, before)
+
+    # ---- streaming
+
+    def changes(self, reader: str, files_per_batch: int | None = None) -> DataFrame:
+        """The table as a stream: what it holds when the reader first comes, then the rows that commits append.
+
+        Rows of a commit that rewrites (an overwrite, an upsert, a compaction) are not new and do not come
+        again.  Each reader's start is kept beside the commit log, so it is the same after a restart.  Rows that
+        are rewritten before the reader comes to them are not streamed: run it more often than rewrites.
+        """
+        # Names of the rewriting commits whose files the reader starts with.
+        started = f"{self._log}_readers"
+        known = self._told(started).where(F.col("reader") == reader).select("files")
+        if known.isEmpty():
+            log = self.spark.read.schema("at string, details string").json(self._log)
+            names = log.select(F.get_json_object("details", "$.files").alias("files")).where(F.col("files").startswith(REWRITE)).distinct()
+            names = names.agg(F.array_join(F.sort_array(F.collect_set("files")), ",").alias("files"))
+            names.select(F.lit(reader).alias("reader"), "files").coalesce(1).write.mode("append").json(started)
+            known = self._told(started).where(F.col("reader") == reader).select("files")
+        names = known.first()["files"]
+        wanted = "{" + ",".join(f"{n}-*.parquet" for n in [APPEND, *filter(None, names.split(","))]) + "}"
+        return stream_table(self.spark, self.path, self.read().schema, files_per_batch, pathGlobFilter=wanted, ignoreMissingFiles="true")
+
+    def _told(self, folder: str) -> DataFrame:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(at)
+        return self.spark.read.schema("reader string, files string").json(folder)
 
 
 def aligned(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -166,7 +227,8 @@ def path_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, path: str, shape: T.StructType, files_per_batch: int | None = None, **options: str) -> DataFrame:
-    """A Parquet folder as a stream of the files that arrive; replaced or deleted files are not seen again."""
+    """A Parquet folder as a stream of the files that arrive. A file that replaces others is a new file: for
+    tables whose partitions are overwritten there is ``ParquetTable.changes``."""
     reader = spark.readStream.schema(shape).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
