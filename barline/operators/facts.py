@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .metrics import daily_metrics
-from .splits import adjusted, factor_segments
+from .splits import adjusted
 
 DAILY_DAYS, MINUTE_DAYS, LEAST_MINUTE_DAYS = 400, 5, 5
 DESCRIPTION_CHARS = 500
@@ -43,15 +43,16 @@ def minute_fact(bars: DataFrame, as_of: dt.date | Column, days: int = MINUTE_DAY
 
 def adjusted_daily_fact(daily: DataFrame, splits: DataFrame) -> DataFrame:
     """Adjusted bars with rolling metrics, which are taken from the rounded adjusted values."""
-    return daily_metrics(adjusted(daily, factor_segments(splits)))
+    return daily_metrics(adjusted(daily, splits))
 
 
 def adjusted_minute_fact(minutes: DataFrame, splits: DataFrame) -> DataFrame:
-    return adjusted(minutes, factor_segments(splits))
+    return adjusted(minutes, splits)
 
 
 def news_fact(news: DataFrame, as_of: dt.date | Column | None = None, days: int = 90) -> DataFrame:
-    """(article_id, symbol) rows: one for each ticker of an article, each pair once, none without a symbol."""
+    """(article_id, symbol) rows of cleaned articles: one for each ticker of an article, each pair once, none
+    without a symbol. An article without a description has an empty one."""
     rows = news.where("tickers IS NOT NULL")
     if as_of is not None:
         rows = recent(rows, as_of, days, "published_date")
@@ -61,8 +62,8 @@ def news_fact(news: DataFrame, as_of: dt.date | Column | None = None, days: int
             F.explode("tickers").alias("symbol"),
             "published_date",
             "published_utc",
-            "title",
-            F.substring("description", 1, DESCRIPTION_CHARS).alias("description"),
+            F.col("cleaned_title").alias("title"),
+            F.substring(F.coalesce("cleaned_description", F.lit("")), 1, DESCRIPTION_CHARS).alias("description"),
             "article_url",
             "publisher_name",
             "author",

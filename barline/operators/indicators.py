@@ -111,10 +111,13 @@ def volume_bins(bars: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame
         return F.greatest(F.lit(0), F.least(F.col("n_bins") - 1, F.floor((F.col(price) - F.col("price_low")) / F.col("bin_size")).cast("int")))
 
     spread = bars.join(shape, list(by)).withColumn("lo", bin_of("low")).withColumn("hi", bin_of("high"))
-    spread = spread.select(*by, F.explode(F.sequence("lo", "hi")).alias("bin"), (F.col("volume") / (F.col("hi") - F.col("lo") + 1)).cast("decimal(28, 6)").alias("volume"))
-    summed = spread.groupBy(*by, "bin").agg(F.sum("volume").cast("double").alias("volume"))
+    # A bar's share begins at its lowest bin and ends behind its highest: two rows a bar, and a running sum.
+    share = (F.col("volume") / (F.col("hi") - F.col("lo") + 1)).cast("decimal(28, 6)")
+    change = F.array(F.struct(F.col("lo").alias("bin"), share.alias("share")), F.struct((F.col("hi") + 1).alias("bin"), (-share).alias("share")))
+    summed = spread.select(*by, F.inline(change)).groupBy(*by, "bin").agg(F.sum("share").alias("share"))
     every = shape.select(*by, "n_bins", "price_low", "bin_size", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin"))
-    return every.join(summed, [*by, "bin"], "left").withColumn("volume", F.coalesce("volume", F.lit(0.0)))
+    running = F.coalesce(F.sum("share").over(W.partitionBy(*by).orderBy("bin")), F.lit(0))
+    return every.join(summed, [*by, "bin"], "left").select(*by, "n_bins", "price_low", "bin_size", "bin", running.cast("double").alias("volume"))
 
 
 def volume_profile(bars: DataFrame, by: tuple[str, ...] = ("symbol",), share: float = VALUE_AREA) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import testdata as td
 from ..functions import calendar, classify, text, timeunits
-from ..operators import audit, dedup, dims, facts, indicators, metrics, quarantine, rollup, silver, splits
+from ..operators import asof, audit, bloom, dedup, dims, facts, incremental, indicators, metrics, paging, quarantine, rollup, silver, sketches, splits
 from ..sources import flatfiles, records, storage
 from ..session import scratch_folder
-from ..streaming import lifecycle, messages
+from ..streaming import lateness, lifecycle, messages, upserts
 from . import analytics, rules
 from .oracles import ADJ_MINUTES, BARS_L, DAILY, DIRTY, FACT, FACTS, NEWS, SPLITS, TICKERS, pct, query, rounded
 
@@ -837,3 +837,144 @@ def repeated_keys(spark, sf_dir):
 def missing_tickers(spark, sf_dir):
     """A foreign key check that fails: bars of symbols that are not active."""
     return dims.missing_parents(td.minute_bars(spark, sf_dir), tickers(spark, sf_dir).where("is_active"), "symbol")
+
+
+# ---- as-of joins in bulk, incremental refresh, sketches, Bloom filters, pages
+
+
+@named(query(BARS_L, SPLITS, ADJ_MINUTES, select="SELECT * FROM minutes"))
+def adjusted_minutes_as_of(spark, sf_dir):
+    """Minutes meet their splits in an as-of join: nothing is broadcast."""
+    bars = td.minute_bars(spark, sf_dir).select("symbol", "date", "start_timestamp", "open", "high", "low", "close", "volume")
+    return splits.adjusted(bars, splits.split_dimension(td.splits(spark, sf_dir)), broadcast_bytes=-1)
+
+
+@named(query(*FACTS, NEWS, select="""
+SELECT article_id, n.symbol, published_date, f.adj_close AS previous_close, f.date AS previous_date
+FROM (SELECT * FROM fact_news WHERE symbol IS NOT NULL) n ASOF LEFT JOIN fact f ON n.symbol = f.symbol AND n.published_date > f.date"""))
+def news_previous_close(spark, sf_dir):
+    """The last session before each article, for all symbols at once."""
+    news = news_fact(spark, sf_dir).select("article_id", "symbol", "published_date")
+    sessions = fact(spark, sf_dir).select("symbol", "date", F.col("date").alias("previous_date"), F.col("adj_close").alias("previous_close"))
+    return asof.as_of(news, sessions, ["symbol"], "published_date", "date", ["previous_date", "previous_close"])
+
+
+@named(query(*FACTS, select=f"SELECT * EXCLUDE (rvol_20d), {rounded('rvol_20d', 6)} AS rvol_20d, CAST(year(date) AS INTEGER) AS year FROM fact"))
+def refreshed_facts(spark, sf_dir):
+    """A table of facts takes over bars that came late and splits that became known: only rows that they reach are
+    derived, and only years with such rows are written."""
+    bars, known = td.minute_bars(spark, sf_dir), splits.split_dimension(td.splits(spark, sf_dir))
+    late = F.col("date").between("2001-03-05", "2001-03-09") & (F.col("l_returnflag") == "N")
+    unknown = F.col("symbol").endswith("8")
+    table = storage.ParquetTable(spark, scratch_folder(spark, "facts"), partition=("year",), sort=("symbol", "date"))
+    before = facts.adjusted_daily_fact(rollup.daily_bars(bars.where(~late)), known.where(~unknown))
+    table.create(incremental.with_partition(before, "year"))
+    incremental.refresh(table, rollup.daily_bars(bars), known, bars.where(late).select("symbol", "date"), known.where(unknown))
+    return table.read().withColumn("rvol_20d", exact("rvol_20d", 6))
+
+
+@named(query(BARS_L, select="SELECT CAST(year(date) AS INTEGER) AS year, count(DISTINCT l_orderkey) AS orders, count(*) AS rows, true AS within FROM bars GROUP BY 1"))
+def distinct_orders_by_year(spark, sf_dir):
+    """Distinct counts of years from sketches of days, held against exact counts."""
+    bars = td.minute_bars(spark, sf_dir)
+    days = sketches.daily_sketches(bars, "l_orderkey")
+    told = days.groupBy(F.year("date").alias("year")).agg(sketches.distinct_count().alias("estimate"), F.sum("rows").alias("rows"))
+    counted = bars.groupBy(F.year("date").alias("year")).agg(F.count_distinct("l_orderkey").alias("orders"))
+    near = F.abs(F.col("estimate") - F.col("orders")) <= F.greatest(F.lit(1.0), F.col("orders") * sketches.relative_error())
+    return told.join(counted, "year").select("year", "orders", "rows", near.alias("within"))
+
+
+@named(query(BARS_L, select=f"""
+SELECT CAST(year(date) AS INTEGER) AS year, share, {rounded('quantile_cont(close * volume, share)', 4)} AS dollars
+FROM bars CROSS JOIN (SELECT unnest([0.5::DOUBLE, 0.7::DOUBLE, 0.9::DOUBLE]) AS share) GROUP BY 1, 2""".replace("quantile_cont(close * volume, share)", "CASE share WHEN 0.5 THEN quantile_cont(close * volume, 0.5) WHEN 0.7 THEN quantile_cont(close * volume, 0.7) ELSE quantile_cont(close * volume, 0.9) END")))
+def dollar_percentiles(spark, sf_dir):
+    """Exact percentiles of all bars of a year: a sketch gives bounds, and only values between them are looked at."""
+    bars = td.minute_bars(spark, sf_dir).select(F.year("date").alias("year"), (F.col("close") * F.col("volume")).alias("dollars"))
+    found = sketches.exact_percentiles(bars, "dollars", [0.5, 0.7, 0.9], ("year",))
+    return found.select("year", "share", F.col("value").alias("dollars")).withColumn("dollars", exact("dollars", 4))
+
+
+@named(query(BARS_L, select="SELECT symbol, start_timestamp, close FROM bars WHERE l_returnflag <> 'A'"))
+def insert_only_filtered(spark, sf_dir):
+    """The rows of an insert-only merge, with a Bloom filter ahead of the anti join."""
+    batch = td.minute_bars(spark, sf_dir)
+    return bloom.anti_join(batch, batch.where("l_returnflag = 'A'"), ["symbol", "start_timestamp"]).select("symbol", "start_timestamp", "close")
+
+
+@named(query(BARS_L, TICKERS, select="SELECT symbol, count(*) AS bars FROM bars WHERE symbol IN (SELECT symbol FROM tickers WHERE sector = 'Manufacturing') GROUP BY 1"))
+def sector_bars(spark, sf_dir):
+    """Bars of a sector's symbols: a semi join behind a Bloom filter."""
+    wanted = tickers(spark, sf_dir).where("sector = 'Manufacturing'")
+    return bloom.semi_join(td.minute_bars(spark, sf_dir), wanted, ["symbol"]).groupBy("symbol").agg(F.count("*").alias("bars"))
+
+
+@named(query(*FACTS, select="SELECT symbol, date, rvol_20d IS NULL AS unknown, adj_volume FROM fact ORDER BY adj_volume DESC NULLS LAST, symbol, date LIMIT 50 OFFSET 1000"))
+def indexed_page(spark, sf_dir):
+    """A page deep in a ranking of all sessions, from the ranges that it lies in."""
+    rows = fact(spark, sf_dir).select("symbol", "date", F.col("rvol_20d").isNull().alias("unknown"), "adj_volume")
+    order = [F.desc_nulls_last("adj_volume"), F.asc("symbol"), F.asc("date")]
+    return paging.PageIndex.build(rows, order, scratch_folder(spark, "pages"), 16).page(21, 50)
+
+
+# ---- streams with state
+
+
+@named(query(BARS_L, select="SELECT symbol, start_timestamp, close, CAST(year(date) AS INTEGER) AS year, CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS batch FROM bars WHERE l_returnflag IN ('A', 'R')"))
+def appended_rows(spark, sf_dir):
+    """What a stream over a table gives that is created, appended to, overwritten in part and compacted: each appended row once."""
+    bars, table = by_year(td.minute_bars(spark, sf_dir)), year_table(spark, "streamed")
+    root, kept = scratch_folder(spark, "changes"), ("symbol", "date", "start_timestamp", "close", "year")
+
+    def take(number: int) -> None:
+        def write(batch: DataFrame, _: int) -> None:
+            batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{root}/seen")
+
+        query = table.changes("silver").writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/check").trigger(availableNow=True).start()
+        query.awaitTermination()
+        lifecycle.check_alive([query])
+
+    table.create(bars.where("l_returnflag = 'A'").select(*kept))
+    take(0)
+    table.append(bars.where("l_returnflag = 'R'").select(*kept))
+    take(1)
+    table.overwrite_partitions(bars.where("year = 1996").select(*kept))
+    table.compact()
+    take(2)
+    return spark.read.parquet(f"{root}/seen").select("symbol", "start_timestamp", "close", "year", "batch")
+
+
+@named("""
+SELECT user_id, arg_max(event_type, (ts, event_id)) FILTER (WHERE event_id % 3 <> 0) AS event_type, arg_max(value, (ts, event_id)) FILTER (WHERE event_id % 4 <> 0) AS value,
+       max(event_id) FILTER (WHERE (ts, event_id) = newest) AS event_id
+FROM (SELECT *, max((ts, event_id)) OVER (PARTITION BY user_id) AS newest FROM events) GROUP BY user_id""")
+def streamed_upserts(spark, sf_dir):
+    """Events in shuffled files, a third of them twice, through a keyed upsert with state: each column's latest value that is not null."""
+    e = td.table(spark, sf_dir, "events")
+    e = e.select("user_id", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"), F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("value"), "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    root = scratch_folder(spark, "upserts")
+    e.unionByName(e.where("event_id % 3 = 1")).repartition(3, F.xxhash64("event_id", F.lit(7))).write.parquet(f"{root}/arrived")
+    arrived = storage.stream_table(spark, f"{root}/arrived", e.schema, files_per_batch=1)
+    changes = upserts.changed_winners(arrived, ["user_id"], [F.unix_micros("ts"), F.col("event_id")], F.col("ts"), "400 days")
+    query = upserts.write_changes(changes, f"{root}/changes", f"{root}/check")
+    query.awaitTermination()
+    lifecycle.check_alive([query])
+    return upserts.current_rows(spark, f"{root}/changes", e.schema, ["user_id"]).select("user_id", "event_type", "value", "event_id")
+
+
+@named("""
+WITH e AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, event_id % 50 = 7 AS held FROM events),
+m AS (SELECT max(ts) FILTER (WHERE NOT held) - INTERVAL 2 DAY AS mark FROM e)
+SELECT event_id, CASE WHEN held AND ts <= date_trunc('millisecond', mark) THEN 'late' ELSE 'kept' END AS outcome FROM e, m""")
+def deduplicated_events(spark, sf_dir):
+    """Events by day, each file twice, and some that were held back until the end: of those, what is more than two days old is
+    late and kept aside."""
+    e = td.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    root, held = scratch_folder(spark, "deduplicated"), F.col("event_id") % 50 == 7
+    newest = e.where(~held).orderBy(F.desc("ts"), "event_id").limit(1)
+    for part in (e.where(~held), e.where(~held & (F.col("event_id") % 2 == 0)), newest, e.where(held)):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/arrived")
+    arrived = storage.stream_table(spark, f"{root}/arrived", e.schema, files_per_batch=1)
+    query = lateness.deduplicated_stream(arrived, ["event_id"], "ts", dt.timedelta(days=2), f"{root}/out", f"{root}/check")
+    query.awaitTermination()
+    lifecycle.check_alive([query])
+    return spark.read.parquet(f"{root}/out/kept").select("event_id", F.lit("kept").alias("outcome")).unionByName(spark.read.parquet(f"{root}/out/late").select("event_id", F.lit("late").alias("outcome")))

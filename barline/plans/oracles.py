@@ -95,7 +95,8 @@ tickers AS (
   FROM details)"""
 NEWS = """
 articles AS (
-  SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS article_id, CASE WHEN d.doc_id % 31 = 0 THEN '  ' ELSE trim(substr(d.text, 1, 80), ' ') END AS title, d.text AS description,
+  SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS article_id, CASE WHEN d.doc_id % 31 = 0 THEN '  ' WHEN d.doc_id % 5 = 0 THEN '  ' || substr(d.text, 1, 80) || ' ' ELSE substr(d.text, 1, 80) END AS title,
+         CASE WHEN d.doc_id % 23 = 0 THEN NULL WHEN d.doc_id % 7 = 0 THEN '   ' || d.text ELSE d.text END AS description,
          d.source AS author, DATE '2001-10-01' + CAST(d.doc_id % 34 AS INTEGER) AS day, d.doc_id % 41 <> 0 AS dated,
          CASE WHEN d.doc_id % 37 = 0 THEN 'ftp:' || p.url ELSE p.url END AS article_url, CASE WHEN d.doc_id % 2 = 0 THEN p.url END AS image_url,
          CASE WHEN d.doc_id % 29 = 0 THEN ['S' || (d.doc_id % n + 1), NULL]
@@ -107,7 +108,7 @@ checked AS (
   SELECT *, length(trim(title, ' ')) > 0 AS ok_title, coalesce(regexp_matches(article_url, '^https?://[^ ]+$'), false) AS ok_url, dated AS ok_time FROM articles),
 silver_news AS (SELECT * FROM checked WHERE ok_title AND ok_url AND ok_time),
 fact_news AS (
-  SELECT DISTINCT article_id, unnest(tickers) AS symbol, day AS published_date, title, substr(description, 1, 500) AS description, article_url, author
+  SELECT DISTINCT article_id, unnest(tickers) AS symbol, day AS published_date, trim(title, ' ') AS title, substr(trim(coalesce(description, ''), ' '), 1, 500) AS description, article_url, author
   FROM silver_news)"""
 
 

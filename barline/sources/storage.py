@@ -160,6 +160,11 @@ class ParquetTable:
         finally:
             self.spark.conf.set(key, before)
 
+    def drop_partition(self, value: object) -> None:
+        """Removes one partition; to be used for one that has no rows any more."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.partition[0]}={value}")
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
     # ---- streaming
 
     def changes(self, reader: str, files_per_batch: int | None = None) -> DataFrame:

@@ -109,7 +109,8 @@ def ticker_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as articles; some have a broken address, a blank title, a bad date or a null ticker."""
+    """Documents as articles; some have a broken address, a blank title, blanks around it, no description, a bad
+    date or a null ticker."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     count = pages.agg(F.count(F.lit(1)).alias("n_pages"))
@@ -126,8 +127,8 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_add(F.lit("2001-10-01").cast("date"), (i % 34).cast("int"))
     return d.select(
         i.cast("string").alias("article_id"),
-        F.when(i % 31 == 0, F.lit("  ")).otherwise(F.trim(F.substring("text", 1, 80))).alias("title"),
-        F.col("text").alias("description"),
+        F.when(i % 31 == 0, F.lit("  ")).when(i % 5 == 0, F.concat(F.lit("  "), F.substring("text", 1, 80), F.lit(" "))).otherwise(F.substring("text", 1, 80)).alias("title"),
+        F.when(i % 23 == 0, None).when(i % 7 == 0, F.concat(F.lit("   "), "text")).otherwise(F.col("text")).alias("description"),
         F.col("source").alias("author"),
         F.when(i % 41 == 0, F.lit("no date")).otherwise(F.concat(day.cast("string"), F.lit("T12:00:00Z"))).alias("published_utc"),
         F.when(i % 37 == 0, F.concat(F.lit("ftp:"), F.col("url"))).otherwise(F.col("url")).alias("article_url"),

@@ -105,20 +105,23 @@ DAILY = "symbol string, date date, open double, high double, low double, close d
 
 def test_split_adjustment(spark):
     told = spark.createDataFrame([("AAPL", dt.date(2020, 8, 31), 1.0, 2.0, "forward", 0.5), ("TSLA", dt.date(2020, 1, 10), 10.0, 1.0, "reverse", 10.0), ("BAD", DAY, 1.0, 1.0, "x", None)], SPLIT)
-    segments = splits.factor_segments(splits.split_dimension(told))
+    dimension = splits.split_dimension(told)
     rows = [("AAPL", dt.date(2020, 8, 28), 500.0, 500.0, 500.0, 500.0, 1000), ("AAPL", dt.date(2020, 8, 31), 250.0, 250.0, 250.0, 250.0, 1000), ("TSLA", dt.date(2020, 1, 9), 1.0, 1.0, 1.0, 1.0, 5000), ("MSFT", dt.date(2020, 1, 9), 7.0, 7.0, 7.0, 7.0, 1)]
     for limit in (1 << 30, -1):  # broadcast, and shuffled
-        got = {(r.symbol, r.date.day): (r.close, r.adj_close, r.adj_volume) for r in splits.adjusted(spark.createDataFrame(rows, DAILY), segments, limit).collect()}
+        got = {(r.symbol, r.date.day): (r.close, r.adj_close, r.adj_volume) for r in splits.adjusted(spark.createDataFrame(rows, DAILY), dimension, limit).collect()}
         assert got == {("AAPL", 28): (500.0, 250.0, 2000), ("AAPL", 31): (250.0, 250.0, 1000), ("TSLA", 9): (1.0, 10.0, 500), ("MSFT", 9): (7.0, 7.0, 1)}
 
 
 def test_several_splits_and_repeats_of_one(spark):
     told = spark.createDataFrame([("A", dt.date(2020, 1, 10), 1.0, 2.0, "f", 0.1), ("A", dt.date(2020, 2, 10), 1.0, 5.0, "f", 0.2), ("A", dt.date(2020, 2, 10), 1.0, 5.0, "f", 0.2)], SPLIT)
-    segments = splits.factor_segments(splits.split_dimension(told))
+    dimension = splits.split_dimension(told)
     days = [dt.date(2020, 1, 9), dt.date(2020, 1, 10), dt.date(2020, 2, 9), dt.date(2020, 2, 10), dt.date(2020, 2, 11)]
     df = spark.createDataFrame([("A", d, 100.0, 100.0, 100.0, 100.0, 10) for d in days], DAILY)
-    got = [r.price_factor for r in splits.adjusted(df, segments).orderBy("date").collect()]
-    assert got == [0.1, 0.2, 0.2, 1.0, 1.0]
+    for limit in (1 << 30, -1):
+        got = [r.price_factor for r in splits.adjusted(df, dimension, limit).orderBy("date").collect()]
+        assert got == [0.1, 0.2, 0.2, 1.0, 1.0]
+    segments = sorted((r.valid_from is None, r.valid_to.month, r.factor) for r in splits.factor_segments(dimension).collect())
+    assert segments == [(False, 2, 0.2), (True, 1, 0.1)]
 
 
 def series(spark, n, volume=None, symbol="A"):
@@ -152,7 +155,7 @@ def test_winner_is_limited_before_the_shuffle(spark):
 
 def test_small_segments_are_broadcast(spark, tmp_path):
     spark.createDataFrame([("A", DAY, 1.0, 2.0, "f", 0.5)], SPLIT).write.parquet(str(tmp_path / "splits"))
-    told = splits.factor_segments(splits.split_dimension(spark.read.parquet(str(tmp_path / "splits"))))
+    told = splits.split_dimension(spark.read.parquet(str(tmp_path / "splits")))
     plan = splits.adjusted(spark.createDataFrame([("A", DAY, 1.0, 1.0, 1.0, 1.0, 1)], DAILY), told)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -245,12 +248,13 @@ def test_expectations_fail_warn_and_drop(spark):
 
 
 def test_news_fact_explodes_once_for_each_pair(spark):
-    rows = [("1", ["A", "A", None, "B"], DAY, "x" * 900), ("2", None, DAY, "d"), ("3", [], DAY, "d")]
-    df = spark.createDataFrame(rows, "article_id string, tickers array<string>, published_date date, description string")
-    for c in ("published_utc", "title", "article_url", "publisher_name", "author"):
+    rows = [("1", ["A", "A", None, "B"], DAY, "x" * 900), ("2", None, DAY, "d"), ("3", [], DAY, "d"), ("4", ["A"], DAY, None)]
+    df = spark.createDataFrame(rows, "article_id string, tickers array<string>, published_date date, cleaned_description string")
+    df = df.withColumn("title", F.lit(" raw ")).withColumn("description", F.lit(" raw ")).withColumn("cleaned_title", F.lit("clean"))
+    for c in ("published_utc", "article_url", "publisher_name", "author"):
         df = df.withColumn(c, F.lit("x"))
     got = facts.news_fact(df).collect()
-    assert sorted((r.article_id, r.symbol, len(r.description)) for r in got) == [("1", "A", 500), ("1", "B", 500)]
+    assert sorted((r.article_id, r.symbol, r.title, len(r.description)) for r in got) == [("1", "A", "clean", 500), ("1", "B", "clean", 500), ("4", "A", "clean", 0)]
 
 
 def test_minute_retention_has_a_floor(spark):
