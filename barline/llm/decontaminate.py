@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import repeats, textkit as tk
-from .shared import cut
+from .shared import cut, item_blocks
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
 SAMPLE = 8
+#: Windows that are searched at once. Any choice is right.
+PATTERNS = 1 << 17
 
 
 class WaveletMatrix:
@@ -91,18 +93,21 @@ class FMIndex:
         self.kept_rank = np.concatenate(([0], np.cumsum(self.kept)))
         self.sample = suffixes[self.kept]
 
-    def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows [low, high) of the suffixes that begin with each pattern (rows of patterns, right-aligned)."""
-        low = np.zeros(len(patterns), np.int64)
-        high = np.full(len(patterns), len(self.bwt), np.int64)
-        width = patterns.shape[1]
-        for k in range(width - 1, -1, -1):
-            live = np.flatnonzero((width - k <= lengths) & (low < high))
-            if not len(live):
-                break
-            c = patterns[live, k]
-            low[live] = self.below[c] + self.tree.rank(c, low[live])
-            high[live] = self.below[c] + self.tree.rank(c, high[live])
+    def search(self, text: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows [low, high) of the suffixes that begin with each pattern text[start : start + length]."""
+        low, high = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        for at in range(0, len(start), PATTERNS):
+            some = slice(at, at + PATTERNS)
+            last = text[start[some] + lengths[some] - 1]
+            low[some], high[some] = self.below[last], self.below[last + 1]
+        live, k = np.flatnonzero(low < high), 1
+        while len(live := live[(lengths[live] > k) & (low[live] < high[live])]):
+            for at in range(0, len(live), PATTERNS):
+                some = live[at : at + PATTERNS]
+                c = text[start[some] + lengths[some] - 1 - k].astype(np.int64)
+                low[some] = self.below[c] + self.tree.rank(c, low[some])
+                high[some] = self.below[c] + self.tree.rank(c, high[some])
+            k += 1
         return low, high
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
@@ -119,34 +124,55 @@ class FMIndex:
         return out
 
 
+def exact_names(symbols: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Numbers of the sequences of a length that start at ``at``, equal for equal sequences and for no others."""
+    names, size = symbols.astype(np.int64), 1
+    while 2 * size <= length:
+        names = np.unique(names[: len(names) - size] * (len(symbols) + 1) + names[size:], return_inverse=True)[1]
+        size *= 2
+    return names[at] * (len(symbols) + 1) + names[at + length - size]
+
+
 @dataclass
 class Phrases:
-    """The distinct windows of a block of benchmark items."""
+    """The distinct windows of a block of benchmark items, as places in the items' words."""
 
     vocabulary: np.ndarray  # sorted word hashes; symbol = place + 1
-    patterns: np.ndarray  # right-aligned symbols
+    text: np.ndarray  # symbols of all items, one after another
+    start: np.ndarray  # where in text each window stands first
     lengths: np.ndarray
-    owners: list[list[str]]  # ids of the items that have each window
+    bounds: np.ndarray  # owners[bounds[k]:bounds[k + 1]] are the items that have window k
+    owners: np.ndarray
+    ids: list[str]  # of the items, sorted
 
     @staticmethod
     def of(items: list[tuple[object, str | None]], window: int) -> Phrases:
-        body = pa.array([t or "" for _, t in items], pa.large_string())
-        data, offs = tk.string_buffers(body)
+        data, offs = tk.string_buffers(pa.array([t or "" for _, t in items], pa.large_string()))
         data = tk.LOWER[data]
         words = tk.find_words(data, offs, tk.ALNUM)
         names = tk.word_hashes(data, words)
         vocabulary = np.unique(names)
-        symbols = np.searchsorted(vocabulary, names) + 1
-        found: dict[tuple, set[str]] = {}
-        for k, (item, _) in enumerate(items):
-            mine = symbols[words.bounds[k] : words.bounds[k + 1]].tolist()
-            for at in range(max(len(mine) - window + 1, min(len(mine), 1))):
-                found.setdefault(tuple(mine[at : at + window]), set()).update([] if item is None else [str(item)])
-        width = max(map(len, found), default=1)
-        patterns = np.zeros((len(found), width), np.int64)
-        for row, p in enumerate(found):
-            patterns[row, width - len(p) :] = p
-        return Phrases(vocabulary, patterns, np.array([len(p) for p in found], np.int64), [sorted(x) for x in found.values()])
+        text = (np.searchsorted(vocabulary, names) + 1).astype(np.int32)
+        size = np.diff(words.bounds)
+        ids = sorted({str(i) for i, _ in items if i is not None})
+        place = {x: k for k, x in enumerate(ids)}
+        rank = np.array([-1 if i is None else place[str(i)] for i, _ in items], np.int64)
+        start, lengths, owners, bounds = [], [], [], [np.zeros(1, np.int64)]
+        for length in np.unique(np.minimum(size, window)).tolist():
+            some = np.flatnonzero(np.minimum(size, window) == length)
+            count = size[some] - length + 1
+            if not length:
+                continue
+            at = np.repeat(words.bounds[some], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            _, first, which = np.unique(exact_names(text, at, length), return_index=True, return_inverse=True)
+            start.append(at[first].astype(np.int32))
+            lengths.append(np.full(len(first), length, np.int32))
+            pair = np.unique(which * (len(ids) + 1) + np.repeat(rank[some], count) + 1)
+            pair = pair[pair % (len(ids) + 1) > 0]  # those without an id have no owner
+            owners.append((pair % (len(ids) + 1) - 1).astype(np.int32))
+            bounds.append(np.searchsorted(pair // (len(ids) + 1), np.arange(len(first)), "right") + bounds[-1][-1])
+        none = [np.zeros(0, np.int32)]
+        return Phrases(vocabulary, text, *(np.concatenate(x or none) for x in (start, lengths)), np.concatenate(bounds), np.concatenate(owners or none), ids)
 
 
 def occurrences(piece: tk.Piece, phrases: Phrases) -> tuple[tk.Words, np.ndarray, np.ndarray]:
@@ -178,7 +204,7 @@ def occurrences(piece: tk.Piece, phrases: Phrases) -> tuple[tk.Words, np.ndarray
     inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     text[np.repeat(place, sizes) + inside] = symbols[np.repeat(starts, sizes) + inside]
     index = FMIndex(text, len(phrases.vocabulary) + 1)
-    low, high = index.search(phrases.patterns, phrases.lengths)
+    low, high = index.search(phrases.text, phrases.start, phrases.lengths)
     counts = np.maximum(high - low, 0)
     which = np.repeat(np.arange(len(low)), counts)
     rows = np.repeat(low, counts) + np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -198,9 +224,15 @@ def _hits(piece: tk.Piece, phrases: Phrases) -> tuple[tk.Words, np.ndarray, list
     items: list[list[str]] = [[] for _ in range(piece.n)]
     if len(at):
         doc = np.searchsorted(words.bounds, at, "right") - 1
-        for d, p in np.unique(np.stack([doc, which], 1), axis=0).tolist():
-            items[d] += phrases.owners[p]
-    return words, hit, [sorted(set(x)) for x in items]
+        n = len(phrases.lengths)
+        doc, which = np.divmod(np.unique(doc * n + which), n)
+        many = phrases.bounds[which + 1] - phrases.bounds[which]
+        nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        owner = phrases.owners[np.repeat(phrases.bounds[which], many) + nth]
+        known = max(len(phrases.ids), 1)
+        for d, k in np.stack(np.divmod(np.unique(np.repeat(doc, many) * known + owner), known), 1).tolist():
+            items[d].append(phrases.ids[k])
+    return words, hit, items
 
 
 def _digest(items: list[str]) -> str:
@@ -228,15 +260,6 @@ def _cut(piece: tk.Piece, words: tk.Words, hit: np.ndarray) -> list[str]:
     return [kept[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[int, Iterator[list[tuple[object, str | None]]]]:
-    """How many blocks the benchmark has, and the blocks, each collected when it is asked for."""
-    rows = benchmark.select("item_id", "text").distinct()
-    total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
-    blocks = int(total // block_bytes) + 1
-    key = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return blocks, ([(r[0], r[1]) for r in (rows.where(key == b) if blocks > 1 else rows).collect()] for b in range(blocks))
-
-
 def _shape(docs: DataFrame, with_text: bool) -> T.StructType:
     shape = T.StructType.fromDDL(RESULT)
     return shape.add("kept_text", "string").add(docs.schema["row"]) if with_text else shape
@@ -250,7 +273,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     context = documents.sparkSession.sparkContext
     docs = repeats.with_row_id(documents, with_text)
-    n_blocks, blocks = _blocks(benchmark, block_bytes)
+    n_blocks, blocks = item_blocks(benchmark, block_bytes)
     if n_blocks == 1:
         return _one_block(docs.drop("rid"), context.broadcast(Phrases.of(next(blocks), window)), with_text)
     found = None

@@ -32,8 +32,9 @@ from .shared import bounded_batches, bytes_of
 
 CELLS = 24
 HASHES = 3
-#: Bytes of input in a range of doc_ids, and sampled doc_ids for a range. Any choice is right.
-RANGE_BYTES, SAMPLES = 32 << 20, 8
+#: Bytes of input in a range of doc_ids, the most ranges, whose cuts the driver holds (beyond them ranges grow; a
+#: task streams its range), and sampled doc_ids for a range. Any choice is right.
+RANGE_BYTES, MOST_RANGES, SAMPLES = 32 << 20, 50_000, 8
 _U32 = tk.U64(32)
 _STOP = tk.byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 
@@ -197,7 +198,7 @@ def next_document(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataF
     spark = documents.sparkSession
     bounded_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = max(bytes_of(documents) // range_bytes, spark.sparkContext.defaultParallelism)
+    parts = min(max(bytes_of(documents) // range_bytes, spark.sparkContext.defaultParallelism), MOST_RANGES)
     known = F.coalesce("doc_id", F.lit(-(2**63)))  # a null doc_id is in the first range, before all others
     cuts = spark.sparkContext.broadcast(range_cuts(docs.where("doc_id is not null").select("doc_id"), parts))
 

@@ -55,11 +55,13 @@ _PREFIX = "bucket int, keys binary, counts binary, sids binary, sizes binary"
 _PAIRS = "home int, sids binary, pivots binary"
 _MEMBER = "home int, pivot long, low int, high int, own int, sid long, shingles binary, pivots binary, weight long"
 #: Shingles of a region that one task takes. Any choice is right.
-REGION_SHINGLES = 2_000_000
+REGION_SHINGLES = 1_000_000
 #: Rows and columns of a block of overlaps, and the entries that are expanded at once. Any choice is right.
 BLOCK, COLUMNS, EXPAND = 256, 4096, 4_000_000
 #: Bytes of sets that a task sends on at once. Any choice is right.
-SENT_BYTES = 8 << 20
+SENT_BYTES = 4 << 20
+#: Groups of regions, and of documents, for each bucket of the first shuffles. Any choice is right.
+HOMES = 8
 
 
 def shingle_sets(piece: tk.Piece, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -411,11 +413,11 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
     likely = shared.join(points, "rid").where(repeats.reported("at") >= needed(F.col("n"), percent)).select("rid", "sid", "n", "weight")
     likely = cut(likely)
     sent = _send_prefixes(docs.join(likely.select("rid"), "rid").select("rid", "text"), frequent, buckets, width, percent)
-    members = _with_blocks(_cells(sent, max(buckets // 2, 4), percent).join(likely, "sid").select("rid", "pivots", "n", "weight"))
+    members = _with_blocks(_cells(sent, max(buckets, 4), percent).join(likely, "sid").select("rid", "pivots", "n", "weight"))
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in tk.pieces(batch.column("text"), 1 << 20):
+            for piece in tk.pieces(batch.column("text"), 1 << 19):
                 keys, bounds = shingle_sets(piece, width)
                 sid = set_ids(keys, bounds)
                 rows, held = [], 0
@@ -483,7 +485,7 @@ def _join(documents: DataFrame, width: int, percent: int, counted: bool) -> tupl
                     number.append(int(counts[x]))
         return pa.table([pa.array(x, pa.int64()) for x in (left, right, number)], names=["a", "b", "n"])
 
-    homes = buckets * 2
+    homes = buckets * HOMES
     regions = docs.join(members, "rid").select("rid", "text", "pivots", "weight", "split").mapInArrow(ship, _MEMBER)
     return base, cut(regions.groupBy("home").applyInArrow(link, "a long, b long, n long"))
 
