@@ -21,7 +21,7 @@ class PageIndex:
         rows of each is counted, a number for each range."""
         dealt = rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
         dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("__range").parquet(path)
-        written = rows.sparkSession.read.parquet(path)
+        written = rows.sparkSession.read.schema(dealt.schema).parquet(path)
         counts = {r[0]: r[1] for r in written.groupBy("__range").count().collect()}
         return PageIndex(written, order, [counts.get(k, 0) for k in range(max(counts, default=-1) + 1)])
 
