@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -916,6 +917,13 @@ def indexed_page(spark, sf_dir):
     return paging.PageIndex.build(rows, order, scratch_folder(spark, "pages"), 16).page(21, 50)
 
 
+@named(query(*FACTS, select=f"SELECT * EXCLUDE (rvol_20d), {rounded('rvol_20d', 6)} AS rvol_20d FROM fact"))
+def bucketed_facts(spark, sf_dir):
+    """Adjusted bars and metrics over daily bars in buckets of symbols: neither the window nor the join moves a bar."""
+    table = storage.bucketed_table(daily(spark, sf_dir), f"daily_{uuid.uuid4().hex}", scratch_folder(spark, "buckets"), "symbol", 8, ("symbol", "date"))
+    return facts.adjusted_daily_fact(table, splits.split_dimension(td.splits(spark, sf_dir))).withColumn("rvol_20d", exact("rvol_20d", 6))
+
+
 # ---- streams with state
 
 

@@ -55,7 +55,7 @@ class ParquetTable:
 
     # ---- writing
 
-    def _commit(self, df: DataFrame, mode: str, operation: str, partitions: str = "dynamic", rewrites: bool = False) -> dict:
+    def _commit(self, df: DataFrame, mode: str, operation: str, partitions: str = "dynamic", rewrites: bool = False, token: str | None = None) -> dict:
         """Writes and logs rows and dates, which are observed on the way: no second pass counts them.
 
         Rows are rebalanced by partition: small partitions share a task and large ones are split, so a
@@ -75,7 +75,7 @@ class ParquetTable:
         writer = rows.write.mode(mode).option("partitionOverwriteMode", partitions).option("mapreduce.output.basename", name)
         (writer.partitionBy(*self.partition) if self.partition else writer).parquet(self.path)
         found = seen.get
-        entry = {"operation": operation, "rows": found["rows"], "first": str(found.get("first")), "last": str(found.get("last")), "at": at, "files": name}
+        entry = {"operation": operation, "rows": found["rows"], "first": str(found.get("first")), "last": str(found.get("last")), "at": at, "files": name, "token": token}
         self.spark.createDataFrame([(entry["at"], json.dumps(entry))], "at string, details string").coalesce(1).write.mode("append").json(self._log)
         return entry
 
@@ -92,8 +92,18 @@ class ParquetTable:
     def create(self, df: DataFrame) -> dict:
         return self._commit(df, "errorifexists", "create")
 
-    def append(self, df: DataFrame) -> dict:
-        return self._commit(df, "append", "append")
+    def append(self, df: DataFrame, token: str | None = None) -> dict:
+        """Appends rows. With a token that a commit has had already, as when a batch of a stream is replayed, nothing is done."""
+        if token is not None and self._has(token):
+            return {"operation": "append", "rows": 0, "token": token}
+        return self._commit(df, "append", "append", token=token)
+
+    def _has(self, token: str) -> bool:
+        try:
+            log = self.spark.read.schema("at string, details string").json(self._log)
+        except AnalysisException:
+            return False
+        return not log.where(F.get_json_object("details", "$.token") == token).isEmpty()
 
     def replace(self, df: DataFrame) -> dict:
         """The whole table: how a materialised view is recomputed."""
@@ -193,6 +203,13 @@ class ParquetTable:
         return self.spark.read.schema("reader string, files string").json(folder)
 
 
+def bucketed_table(df: DataFrame, name: str, path: str, by: str, buckets: int, sort: Sequence[str] = ()) -> DataFrame:
+    """Writes df as a table of one file for each bucket of ``by``: joins, windows and aggregations by it need no shuffle."""
+    writer = df.repartition(buckets, by).write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, by)
+    (writer.sortBy(*sort) if sort else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def aligned(df: DataFrame, target: T.StructType) -> DataFrame:
     """df in the shape of target: missing columns are typed nulls, others than target's are an error."""
     extra = [c for c in df.columns if c not in target.names]

@@ -50,12 +50,13 @@ def start_writers(good: DataFrame, dead: DataFrame, folders: Mapping[str, tuple[
 
 def upsert_stream(rows: DataFrame, events: ParquetTable, target: ParquetTable, winner: Callable[[DataFrame], DataFrame], checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """A keyed upsert as a stream: each batch is appended to its events, and the partitions it touches are
-    derived anew. A batch that is replayed adds events that are there already, which changes no winner."""
+    derived anew. A batch that is replayed is not appended again. ``upserts`` has one whose batches write what they
+    change only."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            events.append(batch)
+            events.append(batch, token=f"{checkpoint}:{batch_id}")
             target.upsert(events, batch, winner)
         finally:
             batch.unpersist()

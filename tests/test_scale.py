@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import asof, bloom, facts, incremental, paging, sketches, splits
-from barline.sources.storage import ParquetTable
+from barline.sources.storage import ParquetTable, bucketed_table
 
 START = dt.date(2020, 1, 1)
 
@@ -155,3 +155,15 @@ def test_pages_read_the_ranges_they_lie_in(spark, tmp_path):
         got, last = got + found, (found[-1][1], found[-1][0])
     assert got == want
     assert paging.PageIndex.build(df.limit(0), order, str(tmp_path / "none"), 4).page(1, 5).count() == 0
+
+
+def test_windows_over_a_bucketed_table_need_no_exchange(spark, tmp_path):
+    rows, told = sessions(300), [("A", START + dt.timedelta(days=200), 0.5)]
+    table = bucketed_table(spark.createDataFrame(rows, DAILY), "barline_daily_test", str(tmp_path / "b"), "symbol", 4, ("symbol", "date"))
+    spark.createDataFrame(told, SPLITS).write.parquet(str(tmp_path / "splits"))
+    out = facts.adjusted_daily_fact(table, spark.read.parquet(str(tmp_path / "splits")))
+    bars = [x for x in plan(out).splitlines() if "Exchange hashpartitioning(symbol" in x]
+    assert len(bars) <= 1 and "SelectedBucketsCount: 4 out of 4" in plan(out)  # the one that may be is of the splits
+    assert sorted(map(str, out.collect())) == sorted(map(str, full(spark, rows, told).collect()))
+    assert len(list((tmp_path / "b").glob("*.parquet"))) <= 4
+    spark.sql("DROP TABLE barline_daily_test")

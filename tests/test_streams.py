@@ -143,3 +143,11 @@ def test_late_rows_are_kept_aside_and_state_falls(spark, tmp_path):
     assert dropped == 2
     totals = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
     assert totals[-1] < max(totals)
+
+
+def test_a_replayed_batch_is_not_appended_again(spark, table):
+    table.append(numbered(spark, 0, 5, DAYS[0]), token="q:0")
+    assert table.append(numbered(spark, 0, 5, DAYS[0]), token="q:0")["rows"] == 0 and table.read().count() == 5
+    table.append(numbered(spark, 5, 6, DAYS[0]), token="q:1")
+    table.append(numbered(spark, 6, 7, DAYS[0]))
+    assert table.read().count() == 7
