@@ -37,10 +37,10 @@ from .shared import bounded_batches, bytes_of, cut
 
 KEEP, TOP = 30, 50
 SCALE, SMOOTH = 1_000_000_000, 5
-#: Groups of a block, terms of a chunk, counts that one task of a pair of blocks goes through, bytes of text
+#: Groups of a block, terms of a chunk, counts that one task of a pair of blocks goes through, bytes of input
 #: for a partition of counts, counts that a task combines at once, groups whose languages are broadcast. Any
 #: choice is right.
-BLOCK, CHUNK, SPAN_ROWS, PART_BYTES, COMBINE, FEW = 64, 4096, 50_000_000, 16 << 20, 1_000_000, 1_000_000
+BLOCK, CHUNK, SPAN_ROWS, PART_BYTES, COMBINE, FEW = 64, 4096, 50_000_000, 8 << 20, 500_000, 1_000_000
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _TILE = "lang string, lo int, hi int, span int, chunk long, block int, sources array<string>, at binary, term binary, n binary, kept long"
 _PAIR = "lang string, source string, item string, value long"
@@ -248,7 +248,7 @@ def source_divergence(documents: DataFrame, keep: int = KEEP, top: int = TOP) ->
     and which terms it has more of than its language."""
     bounded_batches(documents.sparkSession)
     docs = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")], "text")
-    parts = max(bytes_of(documents.select("text")) // PART_BYTES, documents.sparkSession.sparkContext.defaultParallelism)
+    parts = max(bytes_of(documents) // PART_BYTES, documents.sparkSession.sparkContext.defaultParallelism)
     groups = cut(docs.select("lang", "source").distinct())
     blocks = groups.groupBy("lang").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     if groups.count() <= FEW:  # else a join by lang, whose large languages are split
