@@ -77,8 +77,9 @@ class Items:
 
     def expanded(self, code: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(posting, item) for the items from low to below high that have the posting's term, in parts."""
-        first = np.array([np.searchsorted(self.owners[a:b], low) + a for a, b in zip(self.bounds[:-1], self.bounds[1:])], np.int64)
-        last = np.array([np.searchsorted(self.owners[a:b], high) + a for a, b in zip(self.bounds[:-1], self.bounds[1:])], np.int64)
+        terms, n = np.arange(len(self.bounds) - 1), len(self.sizes)
+        key = np.repeat(terms, np.diff(self.bounds)) * n + self.owners  # owners ascend for each term
+        first, last = np.searchsorted(key, terms * n + low), np.searchsorted(key, terms * n + high)
         many = (last - first)[code]
         upto = np.append(0, np.cumsum(many))
         at = 0
