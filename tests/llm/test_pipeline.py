@@ -1,7 +1,9 @@
 """The pipeline against a brute-force version of its stages on a small corpus."""
 
+from collections import Counter
+
 import corpus_pipeline
-from barline.llm import registry
+from barline.llm import mixing, registry
 
 from . import brute
 
@@ -51,8 +53,11 @@ def test_stages_in_order(spark, tmp_path):
     assert {i: r.text for i, r in got.items()} == texts
     assert all(r.n_chars == len(r.text) for r in got.values())
     mixed = corpus_pipeline.run(spark, str(tmp_path))
-    found = {r.doc_id: r.text for r in mixed.collect()}
-    assert mixed.columns == columns and all(texts[i] == t for i, t in found.items())
+    found = mixed.collect()
+    assert mixed.columns == columns and all(texts[r.doc_id] == r.text for r in found)
+    # A document stands there as often as the words that the mix takes of it are its size.
+    taken = {r.doc_id: r.taken // r.size for r in mixing.mixed(df).collect() if r.taken}
+    assert Counter(r.doc_id for r in found) == taken and max(taken.values()) > 1
 
 
 def test_stages_take_an_empty_table(spark, tmp_path):
@@ -63,6 +68,6 @@ def test_stages_take_an_empty_table(spark, tmp_path):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "suffix_array_dedup", "decontaminate", "mix_sources"]
     assert set(registry.oracle_sql()) <= set(registry.queries())
