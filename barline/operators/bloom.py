@@ -29,10 +29,10 @@ def key_filter(target: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
     return held.select(F.transform(F.sequence(F.lit(0), F.lit((bits - 1) // 64)), lambda w: F.coalesce(F.element_at("m", w), F.lit(0).cast("long"))).alias("__words"))
 
 
-def _may_hold(keys: Sequence[str], bits: int) -> Column:
+def _may_hold(words: Column, keys: Sequence[str], bits: int) -> Column:
     hit = F.lit(True)
     for at in _places(keys, bits):
-        word = F.get("__words", F.floor(at / 64).cast("int"))
+        word = F.get(words, F.floor(at / 64).cast("int"))
         hit = hit & (word.bitwiseAND(_bit(at)) != 0)
     return hit
 
@@ -46,8 +46,9 @@ def split_by_filter(batch: DataFrame, target: DataFrame, keys: Sequence[str], n_
     bits = max(64, -(-n * BITS // 64) * 64)
     if bits // 8 > BROADCAST_BYTES:
         return None
-    told = batch.crossJoin(F.broadcast(key_filter(target.select(*keys), keys, bits))).withColumn("__may", _may_hold(keys, bits)).drop("__words")
-    return told.where("NOT __may").drop("__may"), told.where("__may").drop("__may")
+    # A scalar in a filter: the filter stays below the join that follows, which would pass a join with one row.
+    may = _may_hold(key_filter(target.select(*keys), keys, bits).scalar(), keys, bits)
+    return batch.where(~may), batch.where(may)
 
 
 def anti_join(batch: DataFrame, target: DataFrame, keys: Sequence[str], n_keys: int | None = None) -> DataFrame:

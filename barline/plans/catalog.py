@@ -102,26 +102,42 @@ def dim_ticker(spark, sf_dir):
     return tickers(spark, sf_dir)
 
 
+def traded_span(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date, dt.date]:
+    """(date, bars) of the days with bars, and the first and last of them."""
+    days = td.minute_bars(spark, sf_dir).groupBy("date").agg(F.count("*").alias("bars"))
+    first, last = td.table(spark, sf_dir, "lineitem").agg(F.min(F.to_date("l_shipdate")), F.max(F.to_date("l_shipdate"))).first()
+    return days, first or AS_OF, last or AS_OF
+
+
+DAYS = """
+counted AS (SELECT date, count(*) AS bars FROM bars GROUP BY 1),
+series AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM bars), (SELECT max(date) FROM bars), INTERVAL 1 DAY)) AS DATE) AS date)"""
+
+
 def _dim_date_sql() -> str:
-    first, last = dt.date(2020, 1, 1), dt.date(2026, 12, 31)
+    first, last = dt.date(1990, 1, 1), dt.date(2005, 12, 31)
     trading = ", ".join(f"DATE '{d}'" for d in calendar.trading_days(first, last))
     expiry = ", ".join(f"DATE '{d}'" for d in calendar.option_expiries(first, last))
-    return f"""
+    return query(BARS_L, DAYS, select=f"""
     SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter, CAST(month(date) AS INTEGER) AS month,
            CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, dayname(date) AS day_name, CAST(weekofyear(date) AS INTEGER) AS week_of_year, monthname(date) AS month_name,
            dayofweek(date) IN (0, 6) AS is_weekend, date = last_day(date) AS is_month_end, date = last_day(date) AND month(date) % 3 = 0 AS is_quarter_end,
-           date IN ({expiry}) AS is_options_expiry, date IN ({trading}) AS is_trading_day
-    FROM (SELECT CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS date)"""
+           date IN ({expiry}) AS is_options_expiry, date IN ({trading}) AS is_trading_day, coalesce(bars, 0) AS bars
+    FROM series LEFT JOIN counted USING (date)""")
 
 
 @named(_dim_date_sql())
 def dim_date(spark, sf_dir):
-    return calendar.dim_date(spark, dt.date(2020, 1, 1), dt.date(2026, 12, 31))
+    """The date dimension over the days of the bars, with the number of bars of each."""
+    days, first, last = traded_span(spark, sf_dir)
+    return calendar.dim_date(spark, first, last).join(days, "date", "left").withColumn("bars", F.coalesce("bars", F.lit(0)))
 
 
-@named("SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-03-31', INTERVAL 1 DAY)) AS DATE) AS date")
+@named(query(BARS_L, DAYS, select="SELECT date, coalesce(bars, 0) AS bars FROM series LEFT JOIN counted USING (date)"))
 def date_series(spark, sf_dir):
-    return timeunits.date_series(spark, "2024-01-01", "2024-03-31")
+    """Every date from the first bar to the last, also those without bars."""
+    days, first, last = traded_span(spark, sf_dir)
+    return timeunits.date_series(spark, str(first), str(last)).join(days, "date", "left").select("date", F.coalesce("bars", F.lit(0)).alias("bars"))
 
 
 @named(query(BARS_L, DAILY, select="""
@@ -714,8 +730,7 @@ def replaced_snapshot(spark, sf_dir):
 @named(query(BARS_L, select="SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS rows FROM bars GROUP BY 1"))
 def previewed_append(spark, sf_dir):
     """What a dry run says of an append, by partition."""
-    told = storage.guarded_append(year_table(spark, "preview"), by_year(td.minute_bars(spark, sf_dir)))
-    return spark.createDataFrame([(int(y), n) for y, n in told["dates"].items()], "year int, rows long")
+    return storage.preview(by_year(td.minute_bars(spark, sf_dir)), ("year",))
 
 
 @named(query(BARS_L, select="SELECT symbol, date, start_timestamp, open, high, low, close, volume FROM bars"))
@@ -728,9 +743,14 @@ def flat_file_scan(spark, sf_dir):
     return rows.select("symbol", "date", "start_timestamp", "open", "high", "low", "close", "volume")
 
 
-@named("SELECT 's3a://files/minute/' || strftime(d, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS d) WHERE dayofweek(d) BETWEEN 1 AND 5")
+@named(query(BARS_L, DAYS, select="""
+SELECT 's3a://files/minute/' || strftime(date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path, coalesce(bars, 0) AS bars
+FROM series LEFT JOIN counted USING (date) WHERE dayofweek(date) BETWEEN 1 AND 5"""))
 def flat_file_days(spark, sf_dir):
-    return spark.createDataFrame([(p,) for p in flatfiles.flat_file_paths("2024-01-01", "2024-12-31", "files", "files/minute")], "path string")
+    """The file of each business day that bars come from, and how many bars it would hold."""
+    days, first, last = traded_span(spark, sf_dir)
+    paths = spark.createDataFrame([(p, p[-17:-7]) for p in flatfiles.flat_file_paths(str(first), str(last), "files", "files/minute")], "path string, day string")
+    return paths.join(days, F.to_date("day") == F.col("date"), "left").select("path", F.coalesce("bars", F.lit(0)).alias("bars"))
 
 
 @named("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
@@ -820,12 +840,18 @@ def backfill_window(spark, sf_dir):
     return td.minute_bars(spark, sf_dir).where((F.col("start_timestamp") >= start) & (F.col("start_timestamp") < end)).select("symbol", "start_timestamp")
 
 
-@named("""
-SELECT * FROM (VALUES ('ytd', DATE '2024-01-01', DATE '2024-05-17'), ('mtd', DATE '2024-05-01', DATE '2024-05-17'), ('this quarter', DATE '2024-04-01', DATE '2024-05-17'),
-                      ('last quarter', DATE '2024-01-01', DATE '2024-03-31'), ('30 days', DATE '2024-05-17' - 30, DATE '2024-05-17')) AS v(name, first, last)""")
+@named(query(BARS_L, select="""
+, t AS (SELECT max(date) AS d, CAST(date_trunc('quarter', max(date)) AS DATE) AS q FROM bars),
+v AS (SELECT 'ytd' AS name, CAST(date_trunc('year', d) AS DATE) AS first, d AS last FROM t UNION ALL SELECT 'mtd', CAST(date_trunc('month', d) AS DATE), d FROM t UNION ALL SELECT 'this quarter', q, d FROM t
+      UNION ALL SELECT 'last quarter', CAST(q - INTERVAL 3 MONTH AS DATE), q - 1 FROM t UNION ALL SELECT '30 days', d - 30, d FROM t)
+SELECT name, first, last, count(bars.date) AS bars FROM v LEFT JOIN bars ON date BETWEEN first AND last GROUP BY ALL"""))
 def range_presets(spark, sf_dir):
+    """Named ranges up to the last bar, and the bars in each."""
+    days, _, today = traded_span(spark, sf_dir)
     names = ("ytd", "mtd", "this quarter", "last quarter", "30 days")
-    return spark.createDataFrame([(n, *timeunits.relative_range(n, dt.date(2024, 5, 17))) for n in names], "name string, first date, last date")
+    ranges = spark.createDataFrame([(n, *timeunits.relative_range(n, today)) for n in names], "name string, first date, last date")
+    inside = days.join(F.broadcast(ranges), F.col("date").between(F.col("first"), F.col("last"))).groupBy("name").agg(F.sum("bars").alias("bars"))
+    return ranges.join(inside, "name", "left").withColumn("bars", F.coalesce("bars", F.lit(0)))
 
 
 @named(query(BARS_L, select="SELECT symbol, date, count(*) AS rows FROM bars GROUP BY 1, 2 HAVING count(*) > 1"))

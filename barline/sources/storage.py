@@ -222,11 +222,16 @@ def aligned(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*map(column, target))
 
 
+def preview(df: DataFrame, partition: Sequence[str] = ("date",)) -> DataFrame:
+    """How many rows an append would bring to each partition."""
+    return df.groupBy(*partition).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def guarded_append(table: ParquetTable, df: DataFrame, dry_run: bool = True) -> dict:
     """Appends, or with dry_run only tells how many rows there would be by date."""
     if not dry_run:
         return table.append(df)
-    return {"operation": "dry run", "dates": {str(r[0]): r[1] for r in df.groupBy(table.partition[0]).count().orderBy(table.partition[0]).collect()}}
+    return {"operation": "dry run", "dates": {str(r[0]): r[1] for r in preview(df, table.partition[:1]).orderBy(table.partition[0]).collect()}}
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -137,6 +137,40 @@ def test_bloom_joins_equal_plain_ones_and_shuffle_less(spark):
     assert bloom.anti_join(batch, target.limit(0), keys).count() == 20_002 and bloom.semi_join(batch, target.limit(0), keys).count() == 0
 
 
+def shuffled_bytes(df):
+    """Bytes that the exchanges of a query wrote."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if "QueryStage" in kind:
+            return walk(node.plan())
+        metric = node.metrics().get("shuffleBytesWritten")
+        own = metric.get().value() if metric.isDefined() else 0
+        return own + sum(walk(node.children().apply(k)) for k in range(node.children().size()))
+
+    return walk(execution.executedPlan())
+
+
+def test_bloom_joins_shuffle_fewer_bytes(spark, tmp_path):
+    """A batch of which most keys are new, against a target that is too large to be broadcast."""
+    wide = F.concat_ws("-", *[F.sha2(F.concat(F.col("k").cast("string"), F.lit(str(n))), 256) for n in range(4)]).alias("v")
+    spark.range(0, 30_000).select(F.col("id").alias("k")).write.parquet(str(tmp_path / "target"))
+    spark.range(29_000, 60_000).select(F.col("id").alias("k")).select("k", wide).repartition(4).write.parquet(str(tmp_path / "batch"))
+    target, batch = spark.read.parquet(str(tmp_path / "target")), spark.read.parquet(str(tmp_path / "batch"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        filtered, plain = bloom.anti_join(batch, target, ["k"], 30_000), batch.join(target, ["k"], "left_anti")
+        assert filtered.count() == plain.count() == 30_000
+        assert shuffled_bytes(filtered) < shuffled_bytes(plain) / 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_pages_read_the_ranges_they_lie_in(spark, tmp_path):
     rnd = random.Random(6)
     rows = [(f"S{k}", None if k % 9 == 0 else float(rnd.randint(0, 30))) for k in range(400)]
