@@ -37,10 +37,10 @@ from .shared import bounded_batches, bytes_of, cut
 
 KEEP, TOP = 30, 50
 SCALE, SMOOTH = 1_000_000_000, 5
-#: Groups of a block, terms of a chunk, counts that one task of a pair of blocks goes through, bytes of input
+#: Groups of a block, terms and counts of a chunk, counts that one task of a pair of blocks goes through, bytes of input
 #: for a partition of counts, counts that a task combines at once, groups whose languages are broadcast. Any
 #: choice is right.
-BLOCK, CHUNK, SPAN_ROWS, PART_BYTES, COMBINE, FEW = 64, 4096, 50_000_000, 8 << 20, 500_000, 1_000_000
+BLOCK, CHUNK, CHUNK_ROWS, SPAN_ROWS, PART_BYTES, COMBINE, FEW = 64, 4096, 500_000, 50_000_000, 8 << 20, 500_000, 1_000_000
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _TILE = "lang string, lo int, hi int, span int, chunk long, block int, sources array<string>, at binary, term binary, n binary, kept long"
 _PAIR = "lang string, source string, item string, value long"
@@ -143,13 +143,14 @@ def pack(spans: int):
         for batch in batches:
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             while held.num_rows:
-                # The first CHUNK terms of the first language, if what follows them is there.
+                # The first terms of the first language, up to a chunk, if what follows them is there.
                 lang = held.column("lang").combine_chunks()
                 other = np.flatnonzero(~np.asarray(pa.compute.equal(lang, lang[0])))
                 end = int(other[0]) if len(other) else held.num_rows
                 heads = np.flatnonzero(np.asarray(held.column("lead"))[:end])
-                if len(heads) > CHUNK:
-                    end = int(heads[CHUNK])
+                terms = min(max(int(np.searchsorted(heads, CHUNK_ROWS)), 1), CHUNK)
+                if len(heads) > terms:
+                    end = int(heads[terms])
                 elif not len(other):
                     break
                 yield from chunk_rows(held.slice(0, end), number)

@@ -19,7 +19,8 @@ and its tuples are triples; the covers used here are perfect difference sets, 12
 
 ``length`` decides what is removed.  ``passage``, which is no longer, decides what is noticed: n_shared is
 the number of bytes in sampled tuples that also stand elsewhere, and it is above 0 in every document that
-has a string of ``passage`` bytes which also starts anywhere else.
+has a string of ``passage`` bytes which also starts anywhere else.  For shorter shared
+strings it depends on how they lie to the sampling grid of their document.
 
 Defined results: a null text is empty; a text shorter than ``length`` loses nothing; a copy of a row,
 doc_id included, counts as another occurrence; an empty table gives an empty result; other columns of

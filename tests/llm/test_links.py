@@ -62,3 +62,16 @@ def test_blocks_of_overlaps(monkeypatch):
             got = ngram_join.Overlaps(heavy).block(3, 40, 5, 70)
             want = np.array([[len(np.intersect1d(a, b)) for b in heavy[5:70]] for a in heavy[3:40]])
             assert ((got == want) | np.eye(37, 65, -2, bool)).all()
+
+
+def test_a_large_group_of_near_copies_is_one_component(spark):
+    """Twelve thousand different sets that share most of their shingles, and others that share none with them."""
+    from pyspark.sql import functions as F
+
+    words = F.concat_ws(" ", *[F.when(F.pmod(F.xxhash64("doc_id"), F.lit(60)) == k, F.concat(F.lit("changed"), F.col("doc_id").cast("string"))).otherwise(F.lit(f"word{k}")) for k in range(60)])
+    alone = F.concat_ws(" ", *[F.concat(F.lit(f"x{k}y"), F.col("doc_id").cast("string")) for k in range(30)])
+    docs = spark.range(14_000).select(F.col("id").alias("doc_id")).select("doc_id", F.when(F.col("doc_id") < 12_000, words).otherwise(alone).alias("text"))
+    found = ngram_join.jaccard_components(docs, counted=False)
+    got = {(r.component_id, r.n): 1 for r in found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").collect()}
+    assert got == {(0, 12_000): 1} and found.count() == 14_000
+    assert ngram_join.one_of_each(docs).count() == 2001

@@ -68,7 +68,7 @@ AUDIT = ("lang", "source", "part", "item", "value", "rank")
 @pytest.mark.parametrize("small", [False, True])
 def test_divergence_is_what_plain_counting_gives(spark, monkeypatch, small):
     if small:  # several blocks of groups, chunks of terms and ranges of chunks
-        for name, value in (("BLOCK", 2), ("CHUNK", 5), ("SPAN_ROWS", 40), ("COMBINE", 30), ("FEW", 0)):
+        for name, value in (("BLOCK", 2), ("CHUNK", 5), ("CHUNK_ROWS", 9), ("SPAN_ROWS", 40), ("COMBINE", 30), ("FEW", 0)):
             monkeypatch.setattr(divergence, name, value)
     rows = invented()
     got = collected(divergence.source_divergence(documents(spark, rows), keep=9), *AUDIT)
