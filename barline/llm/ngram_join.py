@@ -14,11 +14,11 @@ allow a link, form a cell around a pivot, the least of them; all cells of a pivo
 point may lie in several regions: it is replicated to each pivot that it can be linked through, and two
 linked points always have a region in common.
 
-Inside a region the join is recursive.  The distances of all points to the pivot are taken; those
-within 0.2 are linked to it.  Linked points in turn are compared with points not yet reached, but only
-inside the window that the triangle inequality leaves, |d(x, pivot) - d(y, pivot)| <= 0.2.  When nothing
-more is reached, one of the points left over becomes the pivot of the next round.  A region yields the
-links of a spanning forest, never all pairs of a group; components are then merged over all regions.
+Inside a region the distances of all points to the pivot are taken; those within 0.2 are linked to it.
+The others are compared block by block, but only inside the window that the triangle inequality leaves,
+|d(x, pivot) - d(y, pivot)| <= 0.2, and only while the window has points that are not connected yet.  A
+region yields the links of a spanning forest, never all pairs of a group; components are then merged over
+all regions.
 
 A region whose sets have more than ``REGION_SHINGLES`` shingles together is dealt to blocks by a hash of
 the set, and each pair of blocks is a task: each link is found where its two blocks meet, and no task
@@ -226,48 +226,47 @@ def _cells(prefixes: DataFrame, homes: int, percent: int) -> DataFrame:
 
 
 def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the graph of all sets at Jaccard percent / 100 or more; sets are sorted."""
+    """Links of a spanning forest of the graph of all sets at Jaccard percent / 100 or more; sets are sorted.
+
+    The first set is the pivot.  What is within reach of it is linked to it at once.  Points are ordered by
+    their distance to it, and a block of them is compared with those that follow only inside the window that the
+    triangle inequality leaves, and only while the window holds points that are not connected yet.
+    """
     n = len(sets)
     size = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    bounds = np.concatenate(([0], np.cumsum(size)))
-    radius = 1 - percent / 100 + 1e-9
-    links: list[tuple[int, int]] = []
-    open_ = np.ones(n, bool)
-    distance = np.ones(n)
-
-    def shared_with(x: int, others: np.ndarray) -> np.ndarray:
-        if len(others) == 1:
-            mine = sets[others[0]]
-        else:
-            mine = np.concatenate([flat[bounds[o] : bounds[o + 1]] for o in others])
-        place = np.searchsorted(sets[x], mine)
-        place[place == size[x]] = 0
-        hit = np.concatenate(([0], np.cumsum(sets[x][place] == mine)))
-        ends = np.cumsum(size[others])
-        return hit[ends] - hit[ends - size[others]]
-
-    while open_.any():
-        pivot = int(np.flatnonzero(open_)[0])
-        open_[pivot] = False
-        frontier, first = [pivot], True
-        while frontier and open_.any():
-            x = frontier.pop()
-            rest = np.flatnonzero(open_)
-            if not first:  # the triangle inequality, and sizes
-                rest = rest[np.abs(distance[rest] - distance[x]) <= radius]
-                rest = rest[(size[rest] * 100 >= size[x] * percent) & (size[x] * 100 >= size[rest] * percent)]
-                if not len(rest):
-                    continue
-            common = shared_with(x, rest)
-            union = size[x] + size[rest] - common
-            if first:
-                distance[rest] = 1 - common / union
-                distance[pivot], first = 0.0, False
-            for y in rest[100 * common >= percent * union].tolist():
-                links.append((x, y))
-                open_[y] = False
-                frontier.append(y)
+    ends = np.cumsum(size)
+    mine = np.concatenate(sets)
+    place = np.searchsorted(sets[0], mine)
+    place[place == size[0]] = 0
+    hit = np.concatenate(([0], np.cumsum(sets[0][place] == mine)))
+    common = hit[ends] - hit[ends - size]
+    union = size[0] + size - common
+    near = np.flatnonzero(100 * common >= percent * union)
+    root = np.arange(n)
+    root[near] = 0
+    links = [(0, int(y)) for y in near if y]
+    if len(near) == n:
+        return links
+    distance = 1 - common / union
+    distance[0] = 0
+    order = np.argsort(distance, kind="stable")
+    distance, size, root = distance[order], size[order], root[order]
+    window = distance + (1 - percent / 100 + 1e-9)
+    overlaps = Overlaps([sets[k] for k in order])
+    for a in range(0, n, BLOCK):
+        b = min(a + BLOCK, n)
+        d = int(np.searchsorted(distance, window[b - 1], "right"))
+        if (root[a:d] == root[a]).all():
+            continue
+        both = overlaps.block(a, b, a, d)
+        linked = 100 * both >= percent * (size[a:b, None] + size[None, a:d] - both)
+        for x in np.flatnonzero(linked.any(1)).tolist():
+            at = np.flatnonzero(linked[x]) + a
+            at = at[root[at] != root[a + x]]
+            if len(at):
+                for other, first in zip(*np.unique(root[at], return_index=True), strict=True):
+                    links.append((int(order[a + x]), int(order[at[first]])))
+                    root[root == other] = root[a + x]
     return links
 
 
