@@ -950,6 +950,59 @@ def bucketed_facts(spark, sf_dir):
     return facts.adjusted_daily_fact(table, splits.split_dimension(td.splits(spark, sf_dir))).withColumn("rvol_20d", exact("rvol_20d", 6))
 
 
+# ---- named tables, incremental loads, cached results, market sessions
+
+
+@named("SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def named_tables(spark, sf_dir):
+    """Tables that are read by their qualified names."""
+    name = f"suppliers_{uuid.uuid4().hex}"
+    td.table(spark, sf_dir, "supplier").write.option("path", scratch_folder(spark, "suppliers")).saveAsTable(name)
+    suppliers = storage.catalog_table(spark, spark.catalog.currentCatalog(), spark.catalog.currentDatabase(), name)
+    nations = td.table(spark, sf_dir, "nation").where("n_regionkey = 1")
+    return suppliers.join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select("s_suppkey", "s_name", "s_nationkey")
+
+
+@named(query(BARS_L, select="SELECT symbol, date, start_timestamp, close, CAST(year(date) AS INTEGER) AS year FROM bars WHERE date <= (SELECT max(date) - 3 FROM bars)"))
+def incremental_load(spark, sf_dir):
+    """Loads that go on from the table's latest date to a lag of three days, the last of them with nothing to take."""
+    bars = by_year(td.minute_bars(spark, sf_dir)).select("symbol", "date", "start_timestamp", "close", "year")
+    table, (_, first, today) = year_table(spark, "loaded"), traded_span(spark, sf_dir)
+    table.create(bars.where(F.col("date") <= F.date_add(F.lit(first), 900)))
+    for now in (first + dt.timedelta(days=1500), today, today):
+        window = flatfiles.incremental_window(table.latest(), True, now, lag_days=3)
+        if not window.up_to_date:
+            table.append(bars.where(F.col("date").between(F.lit(window.first), F.lit(window.last))))
+    return table.read()
+
+
+@named(query(*FACTS, TICKERS, GRID, select="SELECT symbol, close, 2 AS asked FROM grid UNION ALL SELECT symbol, close, 3 FROM grid"))
+def cached_results(spark, sf_dir):
+    """A result that is asked for twice is derived once, and again when the data's version changes."""
+    versions = iter([1, 1, 2])
+    cache = analytics.VersionedCache(lambda: next(versions))
+    asked = [cache.get("screener", lambda: grid(spark, sf_dir).select("symbol", "close")) for _ in range(3)]
+    if asked[0] is not asked[1] or asked[1] is asked[2]:
+        raise AssertionError("a result was not kept by its version")
+    return asked[1].withColumn("asked", F.lit(2)).unionByName(asked[2].withColumn("asked", F.lit(3)))
+
+
+def _sessions_sql() -> str:
+    first, last = dt.date(1990, 1, 1), dt.date(2005, 12, 31)
+    trading = ", ".join(f"DATE '{d}'" for d in calendar.trading_days(first, last))
+    early = ", ".join(f"DATE '{d}'" for y in range(first.year, last.year + 1) for d in sorted(calendar.early_closes(y)))
+    return query(BARS_L, select=f"""
+    SELECT symbol, start_timestamp, CASE WHEN date IN ({early}) THEN 1300 WHEN date IN ({trading}) THEN 1600 ELSE 0 END AS close_hhmm FROM bars""")
+
+
+@named(_sessions_sql())
+def session_closes(spark, sf_dir):
+    """The close of the session that a bar is in; 0 on days without one."""
+    _, first, last = traded_span(spark, sf_dir)
+    closes = F.broadcast(calendar.sessions(spark, first, last))  # a row a day
+    return td.minute_bars(spark, sf_dir).join(closes, "date", "left").select("symbol", "start_timestamp", F.coalesce("close_hhmm", F.lit(0)).alias("close_hhmm"))
+
+
 # ---- streams with state
 
 
