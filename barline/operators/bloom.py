@@ -24,9 +24,10 @@ def _bit(at: Column) -> Column:
 def key_filter(target: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
     """One row: the words of the filter, by number. Tasks combine their bits before the shuffle."""
     place = target.select(F.explode(F.array(*_places(keys, bits))).alias("at"))
-    words = place.groupBy(F.floor(F.col("at") / 64).cast("int").alias("word")).agg(F.bit_or(_bit(F.col("at"))).alias("bits"))
-    held = words.agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
-    return held.select(F.transform(F.sequence(F.lit(0), F.lit((bits - 1) // 64)), lambda w: F.coalesce(F.element_at("m", w), F.lit(0).cast("long"))).alias("__words"))
+    words = place.select(F.floor(F.col("at") / 64).cast("int").alias("word"), _bit(F.col("at")).alias("bits"))
+    every = target.sparkSession.range(-(-bits // 64)).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    held = words.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return held.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w")).select(F.transform("w", lambda x: x["bits"]).alias("__words"))
 
 
 def _may_hold(words: Column, keys: Sequence[str], bits: int) -> Column:
