@@ -112,7 +112,7 @@ def volume_bins(bars: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame
 
     spread = bars.join(shape, list(by)).withColumn("lo", bin_of("low")).withColumn("hi", bin_of("high"))
     # A bar's share begins at its lowest bin and ends behind its highest: two rows a bar, and a running sum.
-    share = (F.col("volume") / (F.col("hi") - F.col("lo") + 1)).cast("decimal(28, 6)")
+    share = (F.col("volume") / (F.col("hi") - F.col("lo") + 1)).cast("decimal(28, 12)")
     change = F.array(F.struct(F.col("lo").alias("bin"), share.alias("share")), F.struct((F.col("hi") + 1).alias("bin"), (-share).alias("share")))
     summed = spread.select(*by, F.inline(change)).groupBy(*by, "bin").agg(F.sum("share").alias("share"))
     every = shape.select(*by, "n_bins", "price_low", "bin_size", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin"))
