@@ -65,9 +65,10 @@ class ParquetTable:
         day = self.partition[0] if self.partition else None
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("rows")] + ([F.min(day).alias("first"), F.max(day).alias("last")] if day else [])
-        rows = df.observe(seen, *measures)
-        if self.partition:
-            rows = rows.hint("rebalance", *[F.col(c) for c in self.partition])
+        # Observed above the rebalance: where its shuffle turns out empty, Spark drops all that lies below from
+        # the plan, and what was observed there with it.
+        rows = df.hint("rebalance", *[F.col(c) for c in self.partition]) if self.partition else df
+        rows = rows.observe(seen, *measures)
         if self.sort:
             rows = rows.sortWithinPartitions(*self.partition, *self.sort)
         at = dt.datetime.now(dt.timezone.utc).isoformat()

@@ -83,6 +83,19 @@ def test_insert_new_never_changes_a_row(spark, tmp_path):
     assert t.latest() == DAY
 
 
+@pytest.mark.parametrize("sort", [(), ("symbol",)])
+def test_commits_without_rows_are_logged_as_such(spark, tmp_path, sort):
+    t = storage.ParquetTable(spark, str(tmp_path / "t"), sort=sort)
+    rows = spark.createDataFrame([row("A", n, 1.0) for n in range(40)] + [row("B", 1, 2.0, dt.date(2024, 1, 3))], ROW)
+    t.create(rows.where("start_timestamp % 2 = 0"))
+    assert t.insert_new(rows)["rows"] == 21
+    assert [t.insert_new(rows)["rows"] for _ in range(2)] == [0, 0]
+    none = rows.groupBy("symbol").count().where("count < 0").join(rows, "symbol").select(*rows.columns)
+    assert [t.append(none)["rows"], t.overwrite_partitions(none)["rows"]] == [0, 0]
+    assert sorted((r.symbol, r.start_timestamp) for r in t.read().collect()) == sorted((r.symbol, r.start_timestamp) for r in rows.collect())
+    assert sorted(r.rows for r in t.history().collect()) == [0, 0, 0, 0, 20, 21]
+
+
 def test_snapshot_replaces_its_date_only(spark, tmp_path):
     t = storage.ParquetTable(spark, str(tmp_path / "t"), ("snapshot_date",))
     day = lambda n: spark.createDataFrame([(f"s{n}", dt.date(2024, 1, n))], "symbol string, snapshot_date date")
