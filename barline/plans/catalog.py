@@ -894,8 +894,7 @@ def refreshed_facts(spark, sf_dir):
     late = F.col("date").between("2001-03-05", "2001-03-09") & (F.col("l_returnflag") == "N")
     unknown = F.col("symbol").endswith("8")
     table = storage.ParquetTable(spark, scratch_folder(spark, "facts"), partition=("year",), sort=("symbol", "date"))
-    before = facts.adjusted_daily_fact(rollup.daily_bars(bars.where(~late)), known.where(~unknown))
-    table.create(incremental.with_partition(before, "year"))
+    incremental.create(table, bars.where(~late), known.where(~unknown))
     incremental.refresh(table, rollup.daily_bars(bars), known, bars.where(late).select("symbol", "date"), known.where(unknown))
     return table.read().withColumn("rvol_20d", exact("rvol_20d", 6))
 

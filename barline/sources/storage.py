@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,18 @@ APPEND, REWRITE = "part", "rewrite"
 FILE_BYTES = 128 << 20
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a statement go when it ends, and not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def unknown_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str] = ("symbol", "start_timestamp"), day: str = "date") -> DataFrame:
     """Rows of batch whose key target has not. The batch's first date is a scalar, so that only partitions
     from it on are read of target."""
@@ -74,7 +87,8 @@ class ParquetTable:
         at = dt.datetime.now(dt.timezone.utc).isoformat()
         name = f"{REWRITE}{re.sub('[^0-9]', '', at)[:20]}" if rewrites else APPEND
         writer = rows.write.mode(mode).option("partitionOverwriteMode", partitions).option("mapreduce.output.basename", name)
-        (writer.partitionBy(*self.partition) if self.partition else writer).parquet(self.path)
+        with shuffles_removed(self.spark):
+            (writer.partitionBy(*self.partition) if self.partition else writer).parquet(self.path)
         found = seen.get
         entry = {"operation": operation, "rows": found["rows"], "first": str(found.get("first")), "last": str(found.get("last")), "at": at, "files": name, "token": token}
         self.spark.createDataFrame([(entry["at"], json.dumps(entry))], "at string, details string").coalesce(1).write.mode("append").json(self._log)

@@ -13,22 +13,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars "L": each line item is a bar of its supplier, minutes of a day in line order from 14:30 UTC."""
-    day = F.to_date("l_shipdate")
-    total = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    seq = F.row_number().over(W.partitionBy("l_suppkey", day).orderBy(*total))
     opened, closed = F.col("l_extendedprice"), F.col("l_extendedprice") * (F.lit(0.95) + F.col("l_discount"))
-    start = F.unix_millis(day.cast("timestamp")) + SESSION_START_MS + (seq - 1) * 60_000
     rows = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("S"), "l_suppkey").alias("symbol"),
-        day.alias("date"),
-        start.cast("long").alias("start_timestamp"),
+        F.to_date("l_shipdate").alias("date"),
         opened.alias("open"),
         (F.greatest(opened, closed) + 100 * F.col("l_tax")).alias("high"),
         (F.least(opened, closed) - 100 * F.col("l_tax")).alias("low"),
         closed.alias("close"),
         (F.col("l_quantity").cast("long") * 100).alias("volume"),
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_tax",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", "l_tax",
     )
+    # Numbered by the columns that daily bars are grouped by: these need no second shuffle, and filters on symbol or
+    # date go below the window.
+    seq = F.row_number().over(W.partitionBy("symbol", "date").orderBy("l_orderkey", "l_linenumber", "l_partkey", "open", "l_quantity"))
+    start = F.unix_millis(F.col("date").cast("timestamp")) + SESSION_START_MS + (seq - 1) * 60_000
+    rows = rows.withColumn("start_timestamp", start.cast("long"))
     return rows.select(
         "symbol", "date", "start_timestamp", (F.col("start_timestamp") + 60_000).alias("end_timestamp"), "open", "high", "low", "close", "volume",
         F.lit("flatfile").alias("source"), F.lit("ms").alias("ts_unit"), F.lit(None).cast("boolean").alias("otc"),

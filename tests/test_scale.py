@@ -82,6 +82,49 @@ def test_refresh_equals_the_full_derivation_and_leaves_other_partitions(spark, t
     assert incremental.refresh(table, daily, known, changed.limit(0), known.limit(0))["rows"] == 0
 
 
+def test_large_tables_are_made_and_refreshed_in_turns(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "PIECE_BYTES", 1)
+    monkeypatch.setattr(incremental, "PIECES", 3)
+    monkeypatch.setattr(incremental, "TURN_ROWS", 150)
+    monkeypatch.setattr(incremental, "TURNS", 50)
+    rows, told = sessions(), [("A", START + dt.timedelta(days=200), 0.5)]
+    minutes = spark.createDataFrame([(*r[:2], 1, *r[2:]) for r in rows], DAILY.replace("date date,", "date date, start_timestamp long,"))
+    table = ParquetTable(spark, str(tmp_path / "f"), ("month",), ("symbol", "date"))
+    files = lambda: {f.getName() for f in map(lambda k: found.apply(k), range(found.size())) if f.getName().startswith("shuffle_")}
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    before = files()
+    incremental.create(table, minutes, spark.createDataFrame(told, SPLITS))
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    assert files() <= before  # a commit's shuffles go with it
+    months = lambda rows: sorted(map(str, rows.collect()))
+    want = incremental.with_partition(full(spark, rows, told), "month")
+    assert months(table.read().select(*want.columns)) == months(want)
+    assert [r.operation for r in table.history().orderBy("at").collect()] == ["create", "append", "append"]
+    told = [*told, ("B", START + dt.timedelta(days=500), 0.1)]
+    new = [r for r in rows if r[:2] != ("C", START + dt.timedelta(days=300))]
+    known, changed = spark.createDataFrame(told, SPLITS), spark.createDataFrame([("C", START + dt.timedelta(days=300))], "symbol string, date date")
+    entry = incremental.refresh(table, spark.createDataFrame(new, DAILY), known, changed, known.where("symbol = 'B'"))
+    want = incremental.with_partition(full(spark, new, told), "month")
+    assert months(table.read().select(*want.columns)) == months(want)
+    turns = [r.rows for r in table.history().collect() if r.operation == "overwrite partitions"]
+    assert len(turns) > 4 and max(turns) <= 150 and sum(turns) == entry["rows"]
+
+
+def test_turns_hold_neighbours_up_to_a_size(monkeypatch):
+    monkeypatch.setattr(incremental, "TURN_ROWS", 10)
+    assert incremental._turns({3: 4, 1: 5, 2: 5, 4: 30, 5: 1}) == [[1, 2], [3], [4], [5]]
+    assert len(incremental._turns(dict.fromkeys(range(100), 1000))) <= 2 * incremental.TURNS
+
+
+def test_daily_bars_need_one_shuffle_and_only_the_days_asked_for(spark):
+    from barline import testdata
+    from barline.operators import rollup
+
+    rows = rollup.daily_bars(testdata.minute_bars(spark, "/root/testdata/sf0.001")).where("date between '2001-03-05' and '2001-03-09'")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Filter") > plan.index("Exchange")
+
+
 def test_refresh_removes_a_partition_that_has_no_rows_any_more(spark, tmp_path):
     rows = sessions(3, ("A",))
     table = ParquetTable(spark, str(tmp_path / "f"), ("date",), ("symbol",))
@@ -91,6 +134,15 @@ def test_refresh_removes_a_partition_that_has_no_rows_any_more(spark, tmp_path):
     assert sorted(r.date for r in table.read().collect()) == [r[1] for r in rows[:2]]
 
 
+def test_refresh_keeps_other_rows_of_a_partition_that_only_loses_some(spark, tmp_path):
+    rows = sessions(3, ("A", "B"))
+    table = ParquetTable(spark, str(tmp_path / "f"), ("date",), ("symbol",))
+    table.create(full(spark, rows, []))
+    left = [r for r in rows if r[:2] != rows[2][:2]]
+    incremental.refresh(table, spark.createDataFrame(left, DAILY), spark.createDataFrame([], SPLITS), spark.createDataFrame([rows[2][:2]], "symbol string, date date"), spark.createDataFrame([], SPLITS))
+    assert sorted((r.symbol, r.date) for r in table.read().collect()) == [r[:2] for r in left]
+
+
 def test_only_what_is_reached_is_derived(spark):
     daily = spark.createDataFrame(sessions(1000, ("A", "B")), DAILY)
     changed = spark.createDataFrame([("A", START + dt.timedelta(days=500))], "symbol string, date date")
